@@ -1,0 +1,100 @@
+"""The streaming form: ticks → bars → averages and signals → tables.
+
+Stream time here is Spark's watermark: one clock for the whole query, moved
+between micro-batches. An event that is late only with respect to events of its
+own micro-batch is still counted; ``operators.bars.drop_late`` and
+:mod:`tickloom.streaming.exact` keep the per-partition, per-event rule.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+from tickloom.operators.ema import advisories, ema_step
+from tickloom.operators.registry import symbol_registry
+from tickloom.schemas import BAR_SIZE, EMA_PERIODS, POINT
+from tickloom.sources.tables import append_registry, write_batch
+
+STATE = T.StructType([T.StructField("fast", T.DoubleType()), T.StructField("slow", T.DoubleType())])
+
+
+def stream_bars(ticks: DataFrame, size: str = BAR_SIZE, grace: str = "0 seconds") -> DataFrame:
+    """Closed bars of a tick stream: emitted once, when the watermark passes the window's end."""
+    return (
+        ticks.withWatermark("event_ts", grace)
+        .groupBy("symbol", F.window("event_ts", size).alias("w"))
+        .agg(F.max_by("price", F.struct("event_ts", "arrival")).alias("close"))
+        .select("symbol", "w", "close")
+    )
+
+
+class CrossoverProcessor(StatefulProcessor):
+    """Keeps both averages of a symbol and emits one point per closed bar."""
+
+    def __init__(self, fast: int = EMA_PERIODS[0], slow: int = EMA_PERIODS[1]):
+        self.periods = (fast, slow)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.averages = handle.getValueState("averages", STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        fast_period, slow_period = self.periods
+        fast, slow = tuple(self.averages.get()) if self.averages.exists() else (0.0, 0.0)
+        for bar in sorted(rows, key=lambda r: r["w"]["start"]):
+            before = (fast, slow)
+            fast = ema_step(fast, bar["close"], fast_period)
+            slow = ema_step(slow, bar["close"], slow_period)
+            crossed = None
+            if fast > slow and before[0] <= before[1]:
+                crossed = "BUY"
+            elif fast < slow and before[0] >= before[1]:
+                crossed = "SELL"
+            yield Row(
+                symbol=key[0],
+                window_start=bar["w"]["start"],
+                window_end=bar["w"]["end"],
+                close=bar["close"],
+                ema38=fast,
+                ema100=slow,
+                signal=crossed,
+            )
+        self.averages.update((fast, slow))
+
+    def close(self) -> None:
+        pass
+
+
+def stream_points(ticks: DataFrame, size: str = BAR_SIZE, grace: str = "0 seconds") -> DataFrame:
+    """History points of a tick stream (chained stateful stages, append mode)."""
+    return stream_bars(ticks, size, grace).groupBy("symbol").transformWithState(
+        statefulProcessor=CrossoverProcessor(), outputStructType=POINT, outputMode="Append", timeMode="None"
+    )
+
+
+def write_points(points: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
+    """One pass, two tables: every point to ``history`` (by day), the signals also to ``advisories``."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            write_batch(batch, f"{out}/history", batch_id, by_day="window_start")
+            write_batch(advisories(batch), f"{out}/advisories", batch_id)
+        finally:
+            batch.unpersist()
+
+    return points.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(store)
+
+
+def write_registry(ticks: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
+    """Each symbol once, as it first arrived: a batch is reduced to its symbols before it meets the table."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        append_registry(symbol_registry(batch), f"{out}/symbols", batch_id)
+
+    return ticks.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
