@@ -14,8 +14,7 @@ def strip(text: Column) -> Column:
 
 
 def blank_to_null(text: Column) -> Column:
-    trimmed = strip(text)
-    return F.when(trimmed != "", trimmed)
+    return F.nullif(strip(text), F.lit(""))
 
 
 def price_value(text: Column) -> Column:

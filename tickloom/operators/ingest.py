@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tickloom.functions.frames import parsed_once
 from tickloom.functions.text import blank_to_null, price_value
 from tickloom.functions.times import date_text, event_instant, iso_local, local_to_instant, parse_local
 from tickloom.schemas import CSV_FIELDS, EVENT_JSON_DDL, MARKET_ZONE
@@ -64,19 +65,18 @@ def classify(raw: DataFrame, zone: str = MARKET_ZONE) -> DataFrame:
         .otherwise(F.lit(REJECTED))
     )
     kept = [c for c in raw.columns if c not in CSV_FIELDS]
-    return (
-        parsed.withColumn("reason", reason)
-        .withColumn("status", status)
-        .select(
-            *[F.col(f"`{c}`") for c in kept],
-            "status",
-            "reason",
-            F.col("__id").alias("symbol"),
-            F.col("__type").alias("security_type"),
-            F.col("__price").alias("price"),
-            local.alias("local_ts"),
-            local_to_instant(local, zone).alias("event_ts"),
-        )
+    return parsed_once(
+        parsed.withColumn("reason", reason),
+        kept,
+        {
+            "status": status,
+            "reason": F.col("reason"),
+            "symbol": F.col("__id"),
+            "security_type": F.col("__type"),
+            "price": F.col("__price"),
+            "local_ts": local,
+            "event_ts": local_to_instant(local, zone),
+        },
     )
 
 
@@ -129,14 +129,17 @@ def parse_event_json(df: DataFrame, value: str = "value", zone: str = MARKET_ZON
     status = (
         F.when(blank_to_null(text).isNull(), F.lit(SKIPPED)).when(whole, F.lit(ACCEPTED)).otherwise(F.lit(REJECTED))
     )
-    return rows.select(
-        *[c for c in df.columns if c != "event_ts"],
-        status.alias("status"),
-        F.when(status == REJECTED, F.lit("unparseable event")).alias("reason"),
-        F.col("__e.symbol").alias("symbol"),
-        F.col("__e.securityType").alias("security_type"),
-        F.col("__e.price").alias("price"),
-        "event_ts",
+    return parsed_once(
+        rows,
+        [c for c in df.columns if c != "event_ts"],
+        {
+            "status": status,
+            "reason": F.when(status == REJECTED, F.lit("unparseable event")),
+            "symbol": F.col("__e.symbol"),
+            "security_type": F.col("__e.securityType"),
+            "price": F.col("__e.price"),
+            "event_ts": F.col("event_ts"),
+        },
     )
 
 

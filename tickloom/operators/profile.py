@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions.frames import parsed_once
 from tickloom.functions.text import blank_to_null, price_value
 from tickloom.functions.times import LOCAL_FORMAT
 from tickloom.operators.scan import quantiles, ranked
@@ -43,12 +44,16 @@ def positional_facts(raw: DataFrame) -> DataFrame:
     named = blank_to_null(F.col(ID)).isNotNull() & blank_to_null(F.col(TYPE)).isNotNull()
     price_event = named & price_value(F.col(LAST)).isNotNull() & _strict_time(chosen).isNotNull()
     second = F.date_trunc("second", _strict_time(F.concat(F.col(DATE), F.lit(" "), F.col(TIME))))
-    return raw.select(
-        F.col(ID).alias("symbol"),
-        F.col(TYPE).alias("security_type"),
-        second.alias("second"),
-        F.coalesce(price_event, F.lit(False)).alias("is_price_event"),
-        F.col(VOLUME).try_cast("double").alias("volume"),
+    return parsed_once(
+        raw,
+        [],
+        {
+            "symbol": F.col(ID),
+            "security_type": F.col(TYPE),
+            "second": second,
+            "is_price_event": F.coalesce(price_event, F.lit(False)),
+            "volume": F.col(VOLUME).try_cast("double"),
+        },
     ).where("second IS NOT NULL")
 
 

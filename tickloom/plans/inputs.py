@@ -10,7 +10,7 @@ from tickloom.operators.scan import running, time_block
 from tickloom.session import use_utc
 
 # How far the shuffled arrival order may move an event.
-SHIFT = 5
+SHIFT = 7
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,7 +42,7 @@ def _moved() -> Column:
 def ticks(spark: SparkSession, sf_dir: str, by: str = "type", shuffled: bool = False) -> DataFrame:
     """``events`` as ticks. ``by``: one long series per event type, or one per user and type.
 
-    ``shuffled`` moves arrivals by up to four places, which makes events late.
+    ``shuffled`` moves arrivals by up to six places, which makes events late.
     """
     events = table(spark, sf_dir, "events").where("value > 0")
     arrival = (F.col("event_id") + _moved()) * 8 + 7 - _moved() if shuffled else F.col("event_id")
@@ -132,7 +132,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         service.alias("service"),
         F.concat(F.lit("c"), F.col("l_suppkey")).alias("container"),
         "t",
-        (F.col("total") * 1000).alias("cpu_usage_us"),
+        (F.col("total") * 997.31372911).alias("cpu_usage_us"),
         F.round(F.col("gauge") * 1024).alias("mem_bytes"),
     )
 
@@ -164,7 +164,7 @@ def probe_sends(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "events")
         .groupBy(
             F.col("event_type").alias("run"),
-            F.col("user_id").cast("string").alias("symbol"),
+            F.concat(F.col("user_id").cast("string"), F.lit("."), F.col("event_type")).alias("symbol"),
             F.window("ts", "5 minutes").start.alias("window_start"),
         )
         .agg(F.min(F.unix_millis("ts")).alias("t0_ms"))
@@ -178,7 +178,7 @@ def probe_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where("event_id % 9 <> 0")
         .select(
             F.col("event_type").alias("run"),
-            F.col("user_id").cast("string").alias("symbol"),
+            F.concat(F.col("user_id").cast("string"), F.lit("."), F.col("event_type")).alias("symbol"),
             F.window("ts", "5 minutes").start.alias("window_start"),
             (F.unix_millis("ts") + F.round(F.col("value") * 100).cast("bigint")).alias("t1_ms"),
         )

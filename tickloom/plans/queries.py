@@ -267,7 +267,7 @@ def positional_ingest(spark, sf):
     named = {"c00": "id", "c01": "sectype", "c02": "date", "c03": "time", "c21": "last", "c22": "last", "c23": "trading time", "c26": "trading date"}
     raw = src.raw_rows(spark, sf)
     wide = [F.col(f"`{named[c]}`") if c in named else F.lit("") for c in POSITIONAL.fieldNames()]
-    raw.select(*[w.alias(c) for w, c in zip(wide, POSITIONAL.fieldNames())]).write.csv(out)
+    raw.select(*[w.alias(c) for w, c in zip(wide, POSITIONAL.fieldNames())]).write.option("emptyValue", "").csv(out)
     facts = p.positional_facts(files.read_positional(spark, out))
     return plain(p.second_totals(p.symbol_seconds(facts)), 4)
 
