@@ -36,9 +36,9 @@ def with_stream_time(ticks: DataFrame, size: str = BAR_SIZE, grace: str | None =
     scanned = running(
         opened,
         keys=["partition"],
-        order=F.col("arrival"),
+        order="arrival",
         block=arrival_block(ticks, rows=rows),
-        values={"stream_time": (F.col("event_ts"), "max")},
+        values={"stream_time": ("event_ts", "max")},
     )
     closes = F.col("window_end") if grace is None else F.col("window_end") + F.expr(f"INTERVAL {grace}")
     return scanned.withColumn("late", F.coalesce(closes <= F.col("stream_time"), F.lit(False)))

@@ -28,7 +28,7 @@ def signal(fast: Column, slow: Column, previous_fast: Column, previous_slow: Col
     )
 
 
-def _walk(symbols: list, closes: list, period: int, seed: float, state: tuple) -> tuple[list, list, tuple]:
+def walk(symbols: list, closes: list, period: int, seed: float, state: tuple) -> tuple[list, list, tuple]:
     """Averages and previous averages of one batch; ``state`` carries (symbol, average) between batches."""
     a, keep = alpha(period), 1.0 - alpha(period)
     current, value = state
@@ -70,7 +70,7 @@ def ema(bars: DataFrame, periods=EMA_PERIODS, seed: float = 0.0, closes: dict[st
             for column in series.values():
                 values = batch.column(column).to_pylist()
                 for p in periods:
-                    new, old, states[column, p] = _walk(symbols, values, p, seed, states.get((column, p), (None, seed)))
+                    new, old, states[column, p] = walk(symbols, values, p, seed, states.get((column, p), (None, seed)))
                     extra += [pa.array(new, pa.float64()), pa.array(old, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, *names])
 

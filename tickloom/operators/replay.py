@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.text import blank_to_null
 from tickloom.functions.times import wall_clock
-from tickloom.operators.scan import arrival_block, confirmed_runs, running
+from tickloom.operators.scan import arrival_block, first_run, nth_of_first_run, running, runs
 from tickloom.schemas import BAR_SIZE, MARKET_ZONE
 
 # Margins and run lengths that confirm a replay cut.
@@ -75,8 +75,9 @@ def system_time_key(date: Column, time: Column) -> Column:
     return F.when((F.length(d) == 10) & t.isNotNull(), parts)
 
 
-def _file_block() -> Column:
-    return F.col("block_start")
+def _file_runs(rows: DataFrame, flag: Column) -> DataFrame:
+    position = F.struct("block_start", "row_id")
+    return runs(rows, flag=flag, order=position, block=F.col("block_start"), keys=["source_file"])
 
 
 def seek_start(raw: DataFrame, start: datetime, confirm_rows: int = CONFIRM_ROWS, zone: str = MARKET_ZONE) -> DataFrame:
@@ -89,16 +90,9 @@ def seek_start(raw: DataFrame, start: datetime, confirm_rows: int = CONFIRM_ROWS
     """
     bound = wall_clock(F.lit(start) - F.expr(f"INTERVAL {START_MARGIN}"), "yyyyMMddHH:mm:ss.SSS", zone)
     near = system_time_key(F.col("date"), F.col("time")) >= bound
-    runs = confirmed_runs(
-        raw,
-        flag=near,
-        n=confirm_rows,
-        order=F.struct("block_start", "row_id"),
-        block=_file_block(),
-        keys=["source_file"],
-        accept_open=True,
-    ).select("source_file", "run_start")
-    return raw.join(runs, "source_file").where(F.struct("block_start", "row_id") >= F.col("run_start")).select(*raw.columns)
+    begins = first_run(_file_runs(raw, near), confirm_rows, ["source_file"], accept_open=True)
+    kept = F.struct("block_start", "row_id") >= F.col("run_start")
+    return raw.join(begins.select("source_file", "run_start"), "source_file").where(kept).select(*raw.columns)
 
 
 def stop_after_end(events: DataFrame, end: datetime, confirm_rows: int = CONFIRM_ROWS) -> DataFrame:
@@ -107,17 +101,10 @@ def stop_after_end(events: DataFrame, end: datetime, confirm_rows: int = CONFIRM
     Isolated future timestamps cut nothing.
     """
     past = F.col("event_ts") >= F.lit(end) + F.expr(f"INTERVAL {END_MARGIN}")
-    runs = confirmed_runs(
-        events,
-        flag=past,
-        n=confirm_rows,
-        order=F.struct("block_start", "row_id"),
-        block=_file_block(),
-        keys=["source_file"],
-    ).select("source_file", "confirmed_at")
+    cuts = nth_of_first_run(_file_runs(events, past), confirm_rows, ["source_file"])
     position = F.struct("block_start", "row_id")
     kept = F.col("confirmed_at").isNull() | (position <= F.col("confirmed_at"))
-    return events.join(runs, "source_file", "left").where(kept).select(*events.columns)
+    return events.join(cuts, "source_file", "left").where(kept).select(*events.columns)
 
 
 def replay_schedule(events: DataFrame, speed: float) -> DataFrame:
@@ -141,8 +128,8 @@ def window_crossings(events: DataFrame, size: str = BAR_SIZE) -> DataFrame:
     opened = events.select("arrival", "symbol", "event_ts", F.window("event_ts", size).start.alias("window_start"))
     scanned = running(
         opened,
-        order=F.col("arrival"),
+        order="arrival",
         block=arrival_block(opened),
-        values={"closes": (F.col("window_start"), "max")},
+        values={"closes": ("window_start", "max")},
     )
     return scanned.where(F.col("closes").isNull() | (F.col("window_start") > F.col("closes")))

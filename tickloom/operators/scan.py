@@ -48,66 +48,68 @@ def time_block(instant: Column, seconds: int = 3600) -> Column:
 def running(
     df: DataFrame,
     *,
-    order: Column,
+    order: str,
     block: Column,
-    values: dict[str, tuple[Column, str]],
+    values: dict[str, tuple[str, str]],
     keys: list[str] = [],
     inclusive: bool = False,
 ) -> DataFrame:
-    """Add running folds: ``values`` maps a new column to (value, 'max' or 'sum').
+    """Add running folds: ``values`` maps a new column to (column, 'max' or 'sum'), each column used once.
 
     Exclusive unless ``inclusive``: a row sees the rows before it in its keys.
     Keys must not be NULL.
     """
-    inner = {name: f"__in_{name}" for name in values}
-    rows = df.withColumns({_BLOCK: block, "__order": order, **{inner[n]: v for n, (v, _) in values.items()}})
-    fold = {name: _FOLDS[how] for name, (_, how) in values.items()}
-    blocks = rows.groupBy(*keys, _BLOCK).agg(*[fold[n](inner[n]).alias(inner[n]) for n in values])
+    rows = df.withColumns({_BLOCK: block, _REAL: F.lit(True)})
+    folds = [(new, column, _FOLDS[how]) for new, (column, how) in values.items()]
+    blocks = rows.groupBy(*keys, _BLOCK).agg(*[fold(c).alias(c) for _, c, fold in folds])
     earlier = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    seeds = blocks.select(
-        *keys, _BLOCK, *[fold[n](inner[n]).over(earlier).alias(inner[n]) for n in values], F.lit(False).alias(_REAL)
-    )
-    upto = (
-        Window.partitionBy(*keys, _BLOCK)
-        .orderBy(_REAL, "__order")
-        .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    )
+    seeds = blocks.select(*keys, _BLOCK, *[fold(c).over(earlier).alias(c) for _, c, fold in folds], F.lit(False).alias(_REAL))
+    last = 0 if inclusive else -1
+    upto = Window.partitionBy(*keys, _BLOCK).orderBy(_REAL, order).rowsBetween(Window.unboundedPreceding, last)
     return (
-        rows.withColumn(_REAL, F.lit(True))
-        .unionByName(seeds, allowMissingColumns=True)
-        .select("*", *[fold[n](inner[n]).over(upto).alias(n) for n in values])
+        rows.unionByName(seeds, allowMissingColumns=True)
+        .select("*", *[fold(c).over(upto).alias(new) for new, c, fold in folds])
         .where(F.col(_REAL))
-        .drop(_BLOCK, _REAL, "__order", *inner.values())
+        .drop(_BLOCK, _REAL)
     )
 
 
-def neighbour(
+def neighbours(
     df: DataFrame,
     *,
-    order: Column,
+    order: str,
     block: Column,
-    columns: dict[str, str],
+    before: dict[str, str] = {},
+    after: dict[str, str] = {},
     keys: list[str] = [],
-    ahead: bool = False,
 ) -> DataFrame:
-    """Add columns of the previous row (or the next one) of the same keys: new name → existing name."""
-    inner = {new: f"__in_{new}" for new in columns}
-    rows = df.withColumns({_BLOCK: block, "__order": order, **{inner[n]: F.col(c) for n, c in columns.items()}})
-    edge = F.min_by if ahead else F.max_by
-    shift = F.lead if ahead else F.lag
-    blocks = rows.groupBy(*keys, _BLOCK).agg(*[edge(c, "__order").alias(c) for c in inner.values()])
+    """Add columns of the previous row (``before``) and the next row (``after``) of the same keys.
+
+    Both map a new name to an existing column. Keys must not be NULL.
+    """
+    rows = df.withColumns({_BLOCK: block, _REAL: F.lit(0)})
     by_block = Window.partitionBy(*keys).orderBy(_BLOCK)
-    seeds = blocks.select(
-        *keys, _BLOCK, *[shift(c).over(by_block).alias(c) for c in inner.values()], F.lit(False).alias(_REAL)
+    carried = sorted({*before.values(), *after.values()})
+
+    def edge(pick) -> Column:
+        return F.struct(*[pick(F.col(c), F.col(order)).alias(c) for c in carried])
+
+    blocks = rows.groupBy(*keys, _BLOCK).agg(edge(F.max_by).alias("last"), edge(F.min_by).alias("first"))
+    around = blocks.select(
+        *keys, _BLOCK, F.lag("last").over(by_block).alias("last"), F.lead("first").over(by_block).alias("first")
     )
-    side = F.col(_REAL).desc() if ahead else F.col(_REAL).asc()
-    inside = Window.partitionBy(*keys, _BLOCK).orderBy(side, "__order")
+    # One row opens a block with the previous block's last row, one closes it with the next block's first.
+    places = [F.struct(F.lit(-1).alias(_REAL), F.col("last").alias("e"))] if before else []
+    places += [F.struct(F.lit(1).alias(_REAL), F.col("first").alias("e"))] if after else []
+    seeds = around.select(*keys, _BLOCK, F.inline(F.array(*places))).select(*keys, _BLOCK, _REAL, "e.*")
+    inside = Window.partitionBy(*keys, _BLOCK).orderBy(_REAL, order)
+    shifted = [F.lag(c).over(inside).alias(new) for new, c in before.items()]
+    shifted += [F.lead(c).over(inside).alias(new) for new, c in after.items()]
     return (
-        rows.withColumn(_REAL, F.lit(True))
-        .unionByName(seeds, allowMissingColumns=True)
-        .select("*", *[shift(inner[n]).over(inside).alias(n) for n in columns])
-        .where(F.col(_REAL))
-        .drop(_BLOCK, _REAL, "__order", *inner.values())
+        rows.unionByName(seeds, allowMissingColumns=True)
+        .select("*", *shifted)
+        .where(F.col(_REAL) == 0)
+        .drop(_BLOCK, _REAL)
     )
 
 
@@ -120,13 +122,14 @@ def ranked(df: DataFrame, value: str, tie: str, cumulative: dict[str, str], rank
     """
     v = F.col(value)
     letters = F.when((v == F.floor(v)) & (F.abs(v) <= 256), F.substring(tie, 1, 3))
+    placed = df.withColumns({"__place": F.struct((-v).alias("v"), F.col(tie).alias("t")), "__one": F.lit(1)})
     return running(
-        df,
-        order=F.struct((-v).alias("v"), F.col(tie).alias("t")),
+        placed,
+        order="__place",
         block=F.struct((-value_block(v)).alias("b"), letters.alias("t")),
-        values={rank: (F.lit(1), "sum"), **{new: (F.col(c), "sum") for new, c in cumulative.items()}},
+        values={rank: ("__one", "sum"), **{new: (c, "sum") for new, c in cumulative.items()}},
         inclusive=True,
-    )
+    ).drop("__place", "__one")
 
 
 def quantiles(
@@ -141,7 +144,7 @@ def quantiles(
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
     placed = running(
-        counts, keys=keys, order=F.col(value), block=value_block(F.col(value)), values={"__before": (F.col("__n"), "sum")}
+        counts, keys=keys, order=value, block=value_block(F.col(value)), values={"__before": ("__n", "sum")}
     ).withColumn("__before", F.coalesce("__before", F.lit(0)))
     sizes = counts.groupBy(*keys).agg(F.sum("__n").alias("__size"))
     placed = placed.join(sizes, keys) if keys else placed.withColumn("__size", sizes.scalar())
@@ -167,39 +170,44 @@ def quantiles(
     return placed.groupBy(*keys).agg(*aggregates).select(*keys, *results)
 
 
-def confirmed_runs(
-    df: DataFrame, *, flag: Column, n: int, order: Column, block: Column, keys: list[str], accept_open: bool = False
-) -> DataFrame:
-    """Per key, the first run of at least ``n`` consecutive flagged rows.
+def runs(df: DataFrame, *, flag: Column, order: Column, block: Column, keys: list[str]) -> DataFrame:
+    """Rows numbered by runs of flagged rows: keys, ``o`` (the order), ``f``, ``run`` and ``hits``.
 
-    Returns keys, ``run_start`` (order of its first row) and ``confirmed_at``
-    (order of its n-th row). Rows whose flag is NULL neither extend nor break a
-    run. With ``accept_open`` an unfinished run at the very end also counts
-    (its ``confirmed_at`` is NULL when shorter than n).
+    ``run`` counts the breaks before a row, so a run's group also holds the row
+    that ends it; ``hits`` counts the flagged rows before a row. Rows whose flag
+    is NULL neither extend nor break a run and are left out.
     """
     rows = df.select(*keys, order.alias("o"), block.alias("b"), flag.cast("int").alias("f")).where("f IS NOT NULL")
-    numbered = running(
-        rows,
+    return running(
+        rows.withColumn("broken", 1 - F.col("f")),
         keys=keys,
-        order=F.col("o"),
+        order="o",
         block=F.col("b"),
-        values={"breaks": (1 - F.col("f"), "sum"), "hits": (F.col("f"), "sum")},
-    ).select(*keys, "o", "f", F.coalesce("breaks", F.lit(0)).alias("run"), F.coalesce("hits", F.lit(0)).alias("hits"))
-    flagged = numbered.where("f = 1")
-    runs = flagged.groupBy(*keys, "run").agg(
-        F.count("*").alias("size"), F.min("o").alias("run_start"), F.min("hits").alias("first_hit")
+        values={"run": ("broken", "sum"), "hits": ("f", "sum")},
+    ).select(*keys, "o", "f", F.coalesce("run", F.lit(0)).alias("run"), F.coalesce("hits", F.lit(0)).alias("hits"))
+
+
+def first_run(numbered: DataFrame, n: int, keys: list[str], accept_open: bool = False) -> DataFrame:
+    """Per key, the first run of at least ``n`` rows: keys, ``run``, ``run_start`` and ``first_hit``.
+
+    With ``accept_open`` a shorter run that the end of the data leaves open also counts.
+    """
+    sizes = numbered.groupBy(*keys, "run").agg(
+        F.sum("f").alias("size"),
+        F.min(F.when(F.col("f") == 1, F.col("o"))).alias("run_start"),
+        F.min("hits").alias("first_hit"),
+        F.count_if(F.col("f") == 0).alias("ended"),
     )
     good = F.col("size") >= n
     if accept_open:
-        last = rows.groupBy(*keys).agg(F.sum(1 - F.col("f")).alias("last_run"))
-        runs = runs.join(last, keys)
-        good = good | (F.col("run") == F.col("last_run"))
-    first = (
-        runs.where(good)
-        .groupBy(*keys)
-        .agg(F.min_by(F.struct("run", "run_start", "first_hit"), "run").alias("r"))
-        .select(*keys, "r.*")
-    )
-    nth = flagged.join(first, [*keys, "run"]).where(F.col("hits") == F.col("first_hit") + n - 1)
-    confirmed = nth.select(*keys, F.col("o").alias("confirmed_at"))
-    return first.select(*keys, "run_start").join(confirmed, keys, "left")
+        good = good | ((F.col("ended") == 0) & (F.col("size") > 0))
+    earliest = F.min_by(F.struct("run", "run_start", "first_hit"), "run").alias("r")
+    return sizes.where(good).groupBy(*keys).agg(earliest).select(*keys, "r.*")
+
+
+def nth_of_first_run(numbered: DataFrame, n: int, keys: list[str]) -> DataFrame:
+    """Per key, ``confirmed_at``: the order of the n-th row of the first run of at least ``n`` rows."""
+    first = first_run(numbered, n, keys)
+    flagged = numbered.where("f = 1").join(first, [*keys, "run"])
+    nth = flagged.where(F.col("hits") == F.col("first_hit") + n - 1)
+    return nth.select(*keys, F.col("o").alias("confirmed_at"))

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.operators.scan import running, time_block
 from tickloom.session import use_utc
 
 # How far the shuffled arrival order may move an event.
@@ -118,14 +117,9 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_suppkey", day_number("l_shipdate").alias("t"))
         .agg(F.sum("l_quantity").alias("used"), F.max("l_extendedprice").alias("gauge"))
     )
-    counted = running(
-        daily,
-        keys=["l_suppkey"],
-        order=F.col("t"),
-        block=time_block(F.col("t"), DAYS),
-        values={"total": (F.col("used"), "sum")},
-        inclusive=True,
-    )
+    # A row per day and supplier: the calendar bounds each window.
+    so_far = Window.partitionBy("l_suppkey").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    counted = daily.withColumn("total", F.sum("used").over(so_far))
     service = F.element_at(F.array(F.lit("streams"), F.lit("kafka"), F.lit("producer")), (F.col("l_suppkey") % 3 + 1).cast("int"))
     return counted.select(
         F.concat(F.lit("r"), F.floor(F.col("l_suppkey") / 3) % 4).alias("run"),
@@ -148,14 +142,8 @@ def lags(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("o_orderpriority").alias("run"), day_number("o_orderdate").alias("t"))
         .agg(F.count("*").alias("p"), F.count_if(F.col("o_orderstatus") == "F").alias("c"))
     )
-    return running(
-        daily,
-        keys=["run"],
-        order=F.col("t"),
-        block=time_block(F.col("t"), DAYS),
-        values={"produced": (F.col("p"), "sum"), "committed": (F.col("c"), "sum")},
-        inclusive=True,
-    ).select("run", "t", "produced", "committed")
+    so_far = Window.partitionBy("run").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    return daily.select("run", "t", F.sum("p").over(so_far).alias("produced"), F.sum("c").over(so_far).alias("committed"))
 
 
 def probe_sends(spark: SparkSession, sf_dir: str) -> DataFrame:

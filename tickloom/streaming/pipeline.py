@@ -10,13 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tickloom.operators.ema import advisories, ema_step
+from tickloom.operators.ema import advisories, walk
 from tickloom.operators.registry import symbol_registry
 from tickloom.schemas import BAR_SIZE, EMA_PERIODS, POINT
 from tickloom.sources.tables import append_registry, write_batch
@@ -30,12 +32,16 @@ def stream_bars(ticks: DataFrame, size: str = BAR_SIZE, grace: str = "0 seconds"
         ticks.withWatermark("event_ts", grace)
         .groupBy("symbol", F.window("event_ts", size).alias("w"))
         .agg(F.max_by("price", F.struct("event_ts", "arrival")).alias("close"))
-        .select("symbol", "w", "close")
+        .select("symbol", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "close")
     )
 
 
 class CrossoverProcessor(StatefulProcessor):
-    """Keeps both averages of a symbol and emits one point per closed bar."""
+    """Keeps both averages of a symbol and emits one point per closed bar.
+
+    A call sees the bars of one symbol that closed in one micro-batch, which may
+    come in any order.
+    """
 
     def __init__(self, fast: int = EMA_PERIODS[0], slow: int = EMA_PERIODS[1]):
         self.periods = (fast, slow)
@@ -43,28 +49,21 @@ class CrossoverProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.averages = handle.getValueState("averages", STATE)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        fast_period, slow_period = self.periods
-        fast, slow = tuple(self.averages.get()) if self.averages.exists() else (0.0, 0.0)
-        for bar in sorted(rows, key=lambda r: r["w"]["start"]):
-            before = (fast, slow)
-            fast = ema_step(fast, bar["close"], fast_period)
-            slow = ema_step(slow, bar["close"], slow_period)
-            crossed = None
-            if fast > slow and before[0] <= before[1]:
-                crossed = "BUY"
-            elif fast < slow and before[0] >= before[1]:
-                crossed = "SELL"
-            yield Row(
-                symbol=key[0],
-                window_start=bar["w"]["start"],
-                window_end=bar["w"]["end"],
-                close=bar["close"],
-                ema38=fast,
-                ema100=slow,
-                signal=crossed,
-            )
-        self.averages.update((fast, slow))
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        symbol = key[0]
+        points = pd.concat(list(rows)).sort_values("window_start").assign(symbol=symbol)
+        state = tuple(self.averages.get()) if self.averages.exists() else (0.0, 0.0)
+        closes = points["close"].tolist()
+        names = [symbol] * len(closes)
+        (fast, fast0, (_, last_fast)), (slow, slow0, (_, last_slow)) = (
+            walk(names, closes, period, 0.0, (symbol, value)) for period, value in zip(self.periods, state)
+        )
+        self.averages.update((last_fast, last_slow))
+        fast, fast0, slow, slow0 = (np.array(x) for x in (fast, fast0, slow, slow0))
+        crossed = np.full(len(closes), None, dtype=object)
+        crossed[(fast > slow) & (fast0 <= slow0)] = "BUY"
+        crossed[(fast < slow) & (fast0 >= slow0)] = "SELL"
+        yield points.assign(ema38=fast, ema100=slow, signal=crossed)[POINT.fieldNames()]
 
     def close(self) -> None:
         pass
@@ -72,7 +71,7 @@ class CrossoverProcessor(StatefulProcessor):
 
 def stream_points(ticks: DataFrame, size: str = BAR_SIZE, grace: str = "0 seconds") -> DataFrame:
     """History points of a tick stream (chained stateful stages, append mode)."""
-    return stream_bars(ticks, size, grace).groupBy("symbol").transformWithState(
+    return stream_bars(ticks, size, grace).groupBy("symbol").transformWithStateInPandas(
         statefulProcessor=CrossoverProcessor(), outputStructType=POINT, outputMode="Append", timeMode="None"
     )
 
