@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -28,14 +29,18 @@ def signal(fast: Column, slow: Column, previous_fast: Column, previous_slow: Col
     )
 
 
-def walk(symbols: list, closes: list, period: int, seed: float, state: tuple) -> tuple[list, list, tuple]:
-    """Averages and previous averages of one batch; ``state`` carries (symbol, average) between batches."""
+def walk(symbols: list, closes: list, period: int, starts, state: tuple) -> tuple[list, list, tuple]:
+    """Averages and previous averages of one batch.
+
+    ``starts`` gives, per row, the average a symbol begins with; ``state``
+    carries (symbol, average) between batches.
+    """
     a, keep = alpha(period), 1.0 - alpha(period)
     current, value = state
     values, befores = [], []
-    for symbol, close in zip(symbols, closes):
+    for symbol, close, start in zip(symbols, closes, starts):
         if symbol != current:
-            current, value = symbol, seed
+            current, value = symbol, start
         befores.append(value)
         if close is None:  # no bar in this series: the average stands still
             values.append(None)
@@ -45,7 +50,13 @@ def walk(symbols: list, closes: list, period: int, seed: float, state: tuple) ->
     return values, befores, (current, value)
 
 
-def ema(bars: DataFrame, periods=EMA_PERIODS, seed: float = 0.0, closes: dict[str, str] | None = None) -> DataFrame:
+def ema(
+    bars: DataFrame,
+    periods=EMA_PERIODS,
+    seed: float = 0.0,
+    closes: dict[str, str] | None = None,
+    starts: dict[int, str] | None = None,
+) -> DataFrame:
     """Add ``ema<p>`` and ``before<p>`` (the average before the bar) for every period.
 
     The recurrence is taken bar by bar, because signals need its exact
@@ -55,11 +66,12 @@ def ema(bars: DataFrame, periods=EMA_PERIODS, seed: float = 0.0, closes: dict[st
     had, so the input is small next to the ticks.
 
     ``closes`` maps a column suffix to a close column when several series share
-    the bars; a NULL close is a window that series does not have.
+    the bars; a NULL close is a window that series does not have. ``starts``
+    names, per period, a column with the average each symbol begins with, when
+    that is not ``seed``.
     """
     series = {"": "close"} if closes is None else closes
-    added = [(f"{kind}{p}{s}", column, p, i) for s, column in series.items() for p in periods for i, kind in enumerate(("ema", "before"))]
-    names = [name for name, *_ in added]
+    names = [f"{kind}{p}{suffix}" for suffix in series for p in periods for kind in ("ema", "before")]
     schema = T.StructType(bars.schema.fields + [T.StructField(n, T.DoubleType()) for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,7 +82,8 @@ def ema(bars: DataFrame, periods=EMA_PERIODS, seed: float = 0.0, closes: dict[st
             for column in series.values():
                 values = batch.column(column).to_pylist()
                 for p in periods:
-                    new, old, states[column, p] = walk(symbols, values, p, seed, states.get((column, p), (None, seed)))
+                    first = batch.column(starts[p]).to_pylist() if starts else repeat(seed)
+                    new, old, states[column, p] = walk(symbols, values, p, first, states.get((column, p), (None, seed)))
                     extra += [pa.array(new, pa.float64()), pa.array(old, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, *names])
 
@@ -78,11 +91,12 @@ def ema(bars: DataFrame, periods=EMA_PERIODS, seed: float = 0.0, closes: dict[st
     return ordered.mapInArrow(run, schema)
 
 
-def ema_points(bars: DataFrame, periods=EMA_PERIODS, seed: float = 0.0) -> DataFrame:
+def ema_points(bars: DataFrame, periods=EMA_PERIODS, seed: float = 0.0, starts: dict[int, str] | None = None) -> DataFrame:
     """History points: bars with both averages and the crossover signal."""
     fast, slow = periods
     crossed = signal(*[F.col(f"{kind}{p}") for kind in ("ema", "before") for p in (fast, slow)])
-    return ema(bars, periods, seed).withColumn("signal", crossed).drop(f"before{fast}", f"before{slow}")
+    averaged = ema(bars, periods, seed, starts=starts).withColumn("signal", crossed)
+    return averaged.drop(f"before{fast}", f"before{slow}", *(starts or {}).values())
 
 
 def signals_by_lag(points: DataFrame, periods=EMA_PERIODS, seed: float = 0.0) -> DataFrame:

@@ -24,7 +24,7 @@ from tickloom.plans.inputs import DAYS, plain
 from tickloom.schemas import POSITIONAL
 from tickloom.session import work_dir
 from tickloom.sources import files
-from tickloom.streaming import pipeline
+from tickloom.streaming import exact, pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -734,10 +734,10 @@ def rate_time(spark, sf):
 # -- streaming -----------------------------------------------------------------
 
 
-def _tick_files(spark: SparkSession, sf: str, by: str) -> tuple[DataFrame, str]:
+def _tick_files(spark: SparkSession, sf: str, by: str, shuffled: bool = False) -> tuple[DataFrame, str]:
     """Ticks written as files and read back as a stream; returns the stream and its work folder."""
     out = work_dir(spark, "stream")
-    stored = src.ticks(spark, sf, by=by)
+    stored = src.ticks(spark, sf, by, shuffled)
     stored.write.parquet(f"{out}/ticks")
     return spark.readStream.schema(stored.schema).parquet(f"{out}/ticks"), out
 
@@ -750,6 +750,14 @@ def stream_points(spark, sf):
     return plain(spark.read.parquet(f"{out}/history").drop("batch_id", "day"), 6)
 
 
+@query
+def stream_exact_points(spark, sf):
+    ticks, out = _tick_files(spark, sf, "type", shuffled=True)
+    run = exact.write_exact_points(ticks, out, f"{out}/checkpoint").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return plain(spark.read.parquet(f"{out}/history").drop("batch_id", "day"), 6)
+
+
 @query
 def stream_registry(spark, sf):
     ticks, out = _tick_files(spark, sf, "user")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,14 +71,22 @@ def follow_ndjson(spark: SparkSession, folder: str, files_per_trigger: int | Non
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     lines = reader.load(folder).select(
         "value",
-        F.struct(
-            F.col("_metadata.file_modification_time").alias("file_time"),
-            F.col("_metadata.file_path").alias("source_file"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-            F.monotonically_increasing_id().alias("row_id"),
-        ).alias("arrival"),
+        F.col("_metadata.file_modification_time").alias("file_time"),
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
     )
-    return parse_event_json(lines, zone=zone).drop("value")
+    numbered = lines.mapInArrow(_number_rows, T.StructType(lines.schema.fields + [T.StructField("row_id", T.LongType())]))
+    arrival = F.struct("file_time", "source_file", "block_start", "row_id").alias("arrival")
+    return parse_event_json(numbered.select("value", arrival), zone=zone).drop("value")
+
+
+def _number_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Count a task's rows in reading order; a stream has no built-in row number."""
+    seen = 0
+    for batch in batches:
+        numbers = pa.array(range(seen, seen + batch.num_rows), pa.int64())
+        seen += batch.num_rows
+        yield pa.RecordBatch.from_arrays([*batch.columns, numbers], names=[*batch.schema.names, "row_id"])
 
 
 def read_runs(spark: SparkSession, folder: str, schema: str | T.StructType | None = None) -> DataFrame:

@@ -56,7 +56,7 @@ class CrossoverProcessor(StatefulProcessor):
         closes = points["close"].tolist()
         names = [symbol] * len(closes)
         (fast, fast0, (_, last_fast)), (slow, slow0, (_, last_slow)) = (
-            walk(names, closes, period, 0.0, (symbol, value)) for period, value in zip(self.periods, state)
+            walk(names, closes, period, closes, (symbol, value)) for period, value in zip(self.periods, state)
         )
         self.averages.update((last_fast, last_slow))
         fast, fast0, slow, slow0 = (np.array(x) for x in (fast, fast0, slow, slow0))
