@@ -185,7 +185,7 @@ def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("run-"), F.col("y"), F.lit("-"), F.col("m")).alias("run"),
         (F.col("m") % 6 + 1).cast("int").alias("replicas"),
         F.when(F.col("y") % 2 == 0, "tuned").otherwise("shipped").alias("profile"),
-        (F.col("price") / 1000).alias("throughput"),
+        (F.col("price") / 997.31).alias("throughput"),
         F.col("n").alias("events"),
         F.try_divide(F.col("n").cast("double"), F.col("hot")).alias("max_speedup"),
     )
