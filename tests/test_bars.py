@@ -66,6 +66,17 @@ def test_latest_event_wins_and_ties_go_to_the_later_arrival(spark):
     assert b.bars(by_struct).collect()[0].close == 4.0
 
 
+def test_closes_when_arrivals_outgrow_the_packed_bits(spark):
+    rnd = random.Random(12)
+    rows = [("A", 0, rnd.randrange(40) * 3600, float(n)) for n in range(400)]
+    spread = tick_frame(spark, rows).withColumn("arrival", F.col("arrival") * 5_000_000_001)
+    got = {r.window_start: r.close for r in b.bars(spread, "10 days").collect()}
+    plain = spread.withColumn("arrival", F.struct(F.lit(0).alias("f"), F.col("arrival").alias("n")))
+    assert got == {r.window_start: r.close for r in b.bars(plain, "10 days").collect()}
+    best = max(enumerate(rows), key=lambda x: (x[1][2], x[0]))
+    assert best[1][3] in got.values()
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 @pytest.mark.parametrize("block_rows", [1, 37, 1 << 20])
 def test_closed_points_equal_the_model(spark, seed, block_rows):

@@ -14,7 +14,7 @@ from tickloom.operators import bars as b
 from tickloom.operators import ema as m
 from tickloom.operators.ingest import ACCEPTED
 from tickloom.sources.files import follow_ndjson
-from tickloom.streaming import exact, pipeline
+from tickloom.streaming import crossover, exact
 from tickloom.streaming.metrics import ProgressLog
 
 
@@ -48,7 +48,7 @@ def test_one_file_per_batch_equals_batch_when_nothing_is_late(spark, tmp_path):
     rows = [r for r in random_rows(31, n=240, partitions=1, disorder=0)]
     write_parts(spark, rows, f"{tmp_path}/in", 3)
     out = f"{tmp_path}/out"
-    run(pipeline.write_points(pipeline.stream_points(stream(spark, f"{tmp_path}/in")), out, f"{tmp_path}/c"))
+    run(crossover.write_points(crossover.stream_points(stream(spark, f"{tmp_path}/in")), out, f"{tmp_path}/c"))
     assert collected(history(spark, out)) == collected(m.ema_points(b.closed_bars(tick_frame(spark, rows))))
     signals = spark.read.parquet(f"{out}/advisories")
     assert signals.where("signal IS NULL").count() == 0
@@ -63,7 +63,7 @@ def test_watermark_moves_between_batches_only(spark, tmp_path):
     log = ProgressLog()
     spark.streams.addListener(log)
     try:
-        points = lambda: pipeline.write_points(pipeline.stream_points(stream(spark, f"{tmp_path}/in")), out, f"{tmp_path}/c")
+        points = lambda: crossover.write_points(crossover.stream_points(stream(spark, f"{tmp_path}/in")), out, f"{tmp_path}/c")
         run(points())
         write_parts(spark, rows, f"{tmp_path}/all", 5)
         os.rename(f"{tmp_path}/all/4.parquet", f"{tmp_path}/in/9.parquet")
@@ -106,7 +106,7 @@ def test_exact_batch_may_run_twice(spark, tmp_path):
 def test_registry_stream(spark, tmp_path):
     rows = [(s, 0, t, 1.0) for t, s in enumerate(["AAA", "BBB", "AAA", "CCC", "BBB", "AAA"])]
     write_parts(spark, rows, f"{tmp_path}/in", 3)
-    run(pipeline.write_registry(stream(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/c"))
+    run(crossover.write_registry(stream(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/c"))
     found = spark.read.parquet(f"{tmp_path}/out/symbols").orderBy("symbol").collect()
     assert [(r.symbol, r.first_seen.second, r.batch_id) for r in found] == [("AAA", 0, 0), ("BBB", 1, 0), ("CCC", 3, 1)]
 
@@ -121,7 +121,7 @@ def test_following_a_folder_of_events(spark, tmp_path):
             lines.append(json.dumps({"symbol": "A", "securityType": "E", "price": price, "timestamp": at.strftime("%Y-%m-%dT%H:%M:%S.000")}))
         (folder / f"{part}.ndjson").write_text("\n".join(lines) + "\n\n{broken\n")
     ticks = follow_ndjson(spark, str(folder), 1).where(F.col("status") == ACCEPTED)
-    run(pipeline.write_points(pipeline.stream_points(ticks), f"{tmp_path}/out", f"{tmp_path}/c"))
+    run(crossover.write_points(crossover.stream_points(ticks), f"{tmp_path}/out", f"{tmp_path}/c"))
     points = history(spark, f"{tmp_path}/out").orderBy("window_start").collect()
     assert [(p.close, p.signal) for p in points] == [(42.5, "BUY"), (50.0, None)]
     assert points[0].window_start == START.replace(tzinfo=None)

@@ -8,10 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.operators.bars import closed_only, final_stream_time, recency
+from tickloom.operators.bars import closed_only, final_stream_time, window_closes
 from tickloom.operators.ema import ema, signal
 from tickloom.operators.scan import quantiles
-from tickloom.schemas import EMA_PERIODS, MARKET_ZONE
+from tickloom.schemas import BAR_SIZE, EMA_PERIODS, MARKET_ZONE
 
 # Grace periods the audit tries, and the size below which two averages are equal.
 GRACE_MS = (1_000, 10_000, 60_000, 300_000, 900_000, 3_600_000)
@@ -80,19 +80,14 @@ def late_by_hour(marked: DataFrame, zone: str = MARKET_ZONE) -> DataFrame:
     return counts.withColumn("late_rate", F.col("late").cast("double") / F.col("events"))
 
 
-def both_points(marked: DataFrame, periods=EMA_PERIODS) -> DataFrame:
+def both_points(marked: DataFrame, periods=EMA_PERIODS, size: str = BAR_SIZE) -> DataFrame:
     """Closed points of the actual run (late ticks dropped) and of the ideal one, side by side.
 
     One aggregation yields both closes and one pass both sets of averages; a
     window whose ticks were all late has no actual close, which leaves the
     actual averages where they were. Suffixes: ``_actual`` and ``_ideal``.
     """
-    order = recency(marked)
-    on_time = ~F.col("late")
-    closes = marked.groupBy("symbol", "partition", "window_start", "window_end").agg(
-        F.max_by("price", order).alias("close_ideal"),
-        F.max_by(F.when(on_time, F.col("price")), F.when(on_time, order)).alias("close_actual"),
-    )
+    closes = window_closes(marked, size, ["partition"], {"close_ideal": None, "close_actual": ~F.col("late")})
     closed = closed_only(closes, final_stream_time(marked)).drop("partition")
     series = {"_actual": "close_actual", "_ideal": "close_ideal"}
     averaged = ema(closed, periods, closes=series)

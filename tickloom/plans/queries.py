@@ -24,7 +24,7 @@ from tickloom.plans.inputs import DAYS, plain
 from tickloom.schemas import POSITIONAL
 from tickloom.session import work_dir
 from tickloom.sources import files
-from tickloom.streaming import exact, pipeline
+from tickloom.streaming import crossover, exact
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -591,7 +591,7 @@ def group_lag(spark, sf):
     orders = src.table(spark, sf, "orders").withColumn("partition", (F.col("o_custkey") % 6).cast("int"))
     keys = [F.col("o_orderpriority").alias("run"), "partition"]
     ends = orders.groupBy(*keys).agg(F.count("*").alias("end_offset"))
-    done = orders.where("o_orderstatus = 'F' AND partition < 5").groupBy(*keys).agg(F.count("*").alias("committed_offset"))
+    done = orders.where("o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT'").groupBy(*keys).agg(F.count("*").alias("committed_offset"))
     return t.group_lag(ends, done, ["run"])
 
 
@@ -745,7 +745,7 @@ def _tick_files(spark: SparkSession, sf: str, by: str, shuffled: bool = False) -
 @query
 def stream_points(spark, sf):
     ticks, out = _tick_files(spark, sf, "type")
-    run = pipeline.write_points(pipeline.stream_points(ticks), out, f"{out}/checkpoint").trigger(availableNow=True).start()
+    run = crossover.write_points(crossover.stream_points(ticks), out, f"{out}/checkpoint").trigger(availableNow=True).start()
     run.awaitTermination()
     return plain(spark.read.parquet(f"{out}/history").drop("batch_id", "day"), 6)
 
@@ -761,6 +761,6 @@ def stream_exact_points(spark, sf):
 @query
 def stream_registry(spark, sf):
     ticks, out = _tick_files(spark, sf, "user")
-    run = pipeline.write_registry(ticks, out, f"{out}/checkpoint").trigger(availableNow=True).start()
+    run = crossover.write_registry(ticks, out, f"{out}/checkpoint").trigger(availableNow=True).start()
     run.awaitTermination()
     return plain(spark.read.parquet(f"{out}/symbols").drop("batch_id"))

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tickloom.operators.bars import recency
 from tickloom.operators.ema import advisories, walk
 from tickloom.operators.registry import symbol_registry
 from tickloom.schemas import BAR_SIZE, EMA_PERIODS, POINT
@@ -31,7 +32,7 @@ def stream_bars(ticks: DataFrame, size: str = BAR_SIZE, grace: str = "0 seconds"
     return (
         ticks.withWatermark("event_ts", grace)
         .groupBy("symbol", F.window("event_ts", size).alias("w"))
-        .agg(F.max_by("price", F.struct("event_ts", "arrival")).alias("close"))
+        .agg(F.max_by("price", recency(ticks)).alias("close"))
         .select("symbol", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "close")
     )
 
