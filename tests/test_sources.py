@@ -126,3 +126,15 @@ def test_runs_and_sparse_csv(spark, tmp_path):
     back = spark.read.option("header", True).csv(str(tmp_path / "s"))
     assert back.columns == ["t", "a", "b"]
     assert back.where(F.col("b") == "4").first().a is None
+
+
+def test_stored_ticks_are_pruned_by_day(spark, tmp_path):
+    start = datetime(2021, 11, 8, tzinfo=timezone.utc)
+    rows = [("A", start + timedelta(hours=n), float(n), n) for n in range(120)]
+    ticks = spark.createDataFrame(rows, "symbol string, event_ts timestamp, price double, arrival long")
+    tables.store_ticks(ticks, str(tmp_path / "t"))
+    got = tables.read_ticks(spark, str(tmp_path / "t"), start + timedelta(hours=30), start + timedelta(hours=60))
+    assert sorted(r.arrival for r in got.collect()) == list(range(30, 60))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "PushedFilters: [IsNotNull(event_ts)" in plan
+    assert tables.read_ticks(spark, str(tmp_path / "t")).count() == 120

@@ -7,7 +7,15 @@ from tickloom.sources.files import (
     follow_ndjson,
 )
 from tickloom.sources.kafka import read_records, read_snapshot, write_records
-from tickloom.sources.tables import append_registry, expire_history, read_history, write_batch, write_sparse_csv
+from tickloom.sources.tables import (
+    append_registry,
+    expire_history,
+    read_history,
+    read_ticks,
+    store_ticks,
+    write_batch,
+    write_sparse_csv,
+)
 
 __all__ = [
     "append_registry",
@@ -19,8 +27,10 @@ __all__ = [
     "read_records",
     "read_runs",
     "read_snapshot",
+    "read_ticks",
     "read_ticks_csv",
     "read_ticks_ndjson",
+    "store_ticks",
     "write_batch",
     "write_records",
     "write_sparse_csv",

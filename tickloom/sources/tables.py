@@ -6,12 +6,15 @@ failure replaces its own rows instead of adding them twice.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators.history import retained
 from tickloom.operators.registry import new_symbols
+from tickloom.operators.replay import replay_range
 from tickloom.schemas import HISTORY_DAYS
 
 
@@ -29,6 +32,23 @@ def write_batch(df: DataFrame, path: str, batch_id: int, by_day: str | None = No
     stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
+def store_ticks(ticks: DataFrame, path: str) -> None:
+    """Ticks as Parquet by day, sorted by event time, so that range reads prune folders and row groups."""
+    dated = ticks.withColumn("day", F.to_date("event_ts")).hint("rebalance", "day")
+    ordered = dated.sortWithinPartitions("day", "event_ts")
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+
+
+def read_ticks(spark: SparkSession, path: str, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+    """Stored ticks with event time in ``[start, end)``; only the days in between are listed and read."""
+    ticks = replay_range(spark.read.parquet(path), start, end)
+    if start is not None:
+        ticks = ticks.where(F.col("day") >= F.to_date(F.lit(start)))
+    if end is not None:
+        ticks = ticks.where(F.col("day") <= F.to_date(F.lit(end)))
+    return ticks.drop("day")
+
+
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A table's rows, or no rows while nothing has been written yet."""
     try:
@@ -40,7 +60,7 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """History points; filters on ``day`` prune folders. A point written by two batches is read once."""
+    """History points; filters on ``day`` prune folders."""
     return spark.read.parquet(path).drop("batch_id")
 
 
