@@ -726,6 +726,16 @@ def histogram_millis(spark, sf):
     return t.histogram_millis(t.parse_exposition(src.metric_lines(spark, sf)), ["scrape"], "log", {"topic": None})
 
 
+@query
+def scrape_columns(spark, sf):
+    specs = {
+        "log_ms": ("histogram", "log", {"topic": None}),
+        "log_count": ("sum", "log_count", {"topic": None, "client_id": t.main_consumer}),
+        "get_max": ("max", "state_get_rate", {"topic": "t1"}),
+    }
+    return t.scrape_columns(t.parse_exposition(src.metric_lines(spark, sf)), ["scrape"], specs)
+
+
 @query
 def rate_time(spark, sf):
     return plain(t.rate_time(t.parse_exposition(src.metric_lines(spark, sf)), ["scrape"], "state", ["get"]), 9)
