@@ -38,6 +38,10 @@ def test_files_to_points(spark, tmp_path):
         base = int((LOCAL - timedelta(hours=1) - datetime(1970, 1, 1)).total_seconds() * 1000)
         expected = closed_points([(s, place[s], base + sec * 1000, p) for s, _, sec, p in rows])
         assert collected(points) == expected
+        partial = spark.createDataFrame([(s,) for s in symbols[:2]], "symbol string")
+        again = registry.with_topic_partition(ticks.drop("partition"), 3, partial)
+        assert {(r.symbol, r.partition) for r in again.select("symbol", "partition").distinct().collect()} == set(place.items())
+        assert again.count() == len(rows)
         found = {r.symbol: r.first_seen for r in registry.symbol_registry(ticks).collect()}
         assert set(found) == set(symbols) and min(found.values()) == datetime(2021, 11, 8, 8, 0, 30)
         counts = {r.status: r.n for r in rows_read.groupBy("status").agg(F.count("*").alias("n")).collect()}

@@ -9,6 +9,10 @@ from tickloom.functions.hashing import partition_of
 from tickloom.schemas import SEARCH_LIMIT
 
 
+# About 50 MB of short symbols.
+BROADCAST_SYMBOLS = 1_000_000
+
+
 def symbol_registry(ticks: DataFrame) -> DataFrame:
     """symbol, security type ('' if absent) and event time of its first *arrival*.
 
@@ -60,10 +64,21 @@ def symbol_search(registry: DataFrame, needle: str, limit: int = SEARCH_LIMIT) -
     return found.orderBy("symbol").limit(limit).withColumn("matches", found.agg(F.count("*")).scalar())
 
 
-def with_topic_partition(ticks: DataFrame, partitions: int) -> DataFrame:
-    """Add the topic partition of each symbol; the hash runs once per symbol."""
-    symbols = ticks.select("symbol").distinct()
-    return ticks.join(symbols.withColumn("partition", partition_of(F.col("symbol"), partitions)), "symbol")
+def with_topic_partition(ticks: DataFrame, partitions: int, symbols: DataFrame | None = None) -> DataFrame:
+    """Add the topic partition of each symbol; the hash runs once per symbol, not per tick.
+
+    ``symbols`` may be the stored registry: it is counted, and broadcast while
+    it is small, so the ticks need no shuffle. A symbol it lacks is hashed on
+    the spot. Without it the symbols come from the ticks.
+    """
+    if symbols is None:
+        known = ticks.select("symbol").distinct()
+        return ticks.join(known.withColumn("partition", partition_of(F.col("symbol"), partitions)), "symbol")
+    known = symbols.select("symbol").distinct().withColumn("known", partition_of(F.col("symbol"), partitions))
+    if symbols.count() <= BROADCAST_SYMBOLS:
+        known = F.broadcast(known)
+    place = F.coalesce("known", partition_of(F.col("symbol"), partitions))
+    return ticks.join(known, "symbol", "left").withColumn("partition", place).drop("known")
 
 
 def partition_skew(ticks: DataFrame) -> DataFrame:

@@ -7,7 +7,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def build_session(app: str = "tickloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -18,8 +21,7 @@ def build_session(app: str = "tickloom", master: str | None = None, **conf: str)
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        **STATE_STORE,
         "spark.ui.enabled": "false",
         **conf,
     }

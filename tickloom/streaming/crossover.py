@@ -22,7 +22,7 @@ from tickloom.operators.bars import recency
 from tickloom.operators.ema import advisories, walk
 from tickloom.operators.registry import symbol_registry
 from tickloom.schemas import BAR_SIZE, EMA_PERIODS, POINT
-from tickloom.session import ROCKSDB
+from tickloom.session import STATE_STORE
 from tickloom.sources.tables import append_registry, write_batch
 
 STATE = T.StructType([T.StructField("fast", T.DoubleType()), T.StructField("slow", T.DoubleType())])
@@ -73,7 +73,8 @@ class CrossoverProcessor(StatefulProcessor):
 
 def stream_points(ticks: DataFrame, size: str = BAR_SIZE, grace: str = "0 seconds") -> DataFrame:
     """History points of a tick stream (chained stateful stages, append mode, state in RocksDB)."""
-    ticks.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    for key, value in STATE_STORE.items():
+        ticks.sparkSession.conf.set(key, value)
     return stream_bars(ticks, size, grace).groupBy("symbol").transformWithStateInPandas(
         statefulProcessor=CrossoverProcessor(), outputStructType=POINT, outputMode="Append", timeMode="None"
     )
