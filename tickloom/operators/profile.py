@@ -142,14 +142,16 @@ def symbol_stats(symbols: DataFrame) -> DataFrame:
     placed = quantiles(
         symbols.where(active), "price_events", {"median_price_events": 0.5, "p90_price_events": 0.9, "p99_price_events": 0.99}
     )
-    return symbols.agg(
+    stats = symbols.agg(
         F.count("*").alias("symbols"),
         F.count_if(active).alias("active_symbols"),
         F.count_if(F.col("price_events") == 0).alias("zero_symbols"),
         F.sum("price_events").alias("total_price_events"),
         F.avg(F.when(active, F.col("price_events"))).alias("mean_price_events"),
         F.max("price_events").alias("max_price_events"),
-    ).withColumns({c: placed.select(c).scalar() for c in placed.columns})
+    )
+    row = placed.select(F.struct(*placed.columns)).scalar()
+    return stats.withColumn("row", row).select(*stats.columns, "row.*")
 
 
 def symbol_bins(symbols: DataFrame) -> DataFrame:

@@ -353,6 +353,14 @@ def _symbols(spark, sf):
     return p.symbol_totals(_sym_min(spark, sf))
 
 
+def _stored(rollup: DataFrame) -> DataFrame:
+    """A rollup written once and read back, for reports that use it several times: one pass over the ticks."""
+    spark = rollup.sparkSession
+    out = work_dir(spark, "rollup")
+    rollup.write.parquet(out)
+    return spark.read.schema(rollup.schema).parquet(out)
+
+
 @query
 def symbol_seconds(spark, sf):
     return plain(_sym_sec(spark, sf), 4)
@@ -380,7 +388,8 @@ def symbol_totals(spark, sf):
 
 @query
 def profile_totals(spark, sf):
-    return plain(p.profile_totals(_minutes(spark, sf), _symbols(spark, sf)), 4)
+    sym_sec = _stored(_sym_sec(spark, sf))
+    return plain(p.profile_totals(p.minute_totals(sym_sec), p.symbol_totals(p.symbol_minute(sym_sec))), 4)
 
 
 @query
@@ -395,12 +404,12 @@ def by_exchange(spark, sf):
 
 @query
 def symbol_stats(spark, sf):
-    return plain(p.symbol_stats(_symbols(spark, sf)), 6)
+    return plain(p.symbol_stats(_stored(_symbols(spark, sf))), 6)
 
 
 @query
 def symbol_bins(spark, sf):
-    return plain(p.symbol_bins(_symbols(spark, sf)), 6)
+    return plain(p.symbol_bins(_stored(_symbols(spark, sf))), 6)
 
 
 @query
@@ -435,7 +444,7 @@ def peak_price_seconds(spark, sf):
 
 @query
 def second_percentiles(spark, sf):
-    return plain(p.second_percentiles(_seconds(spark, sf)), 9)
+    return plain(p.second_percentiles(_stored(_seconds(spark, sf))), 9)
 
 
 @query
@@ -450,27 +459,27 @@ def top_by_price(spark, sf):
 
 @query
 def tracked_symbols(spark, sf):
-    return p.tracked_symbols(_symbols(spark, sf))
+    return p.tracked_symbols(_stored(_symbols(spark, sf)))
 
 
 @query
 def tracked_series(spark, sf):
-    return plain(p.tracked_series(_sym_min(spark, sf), p.tracked_symbols(_symbols(spark, sf))))
+    return plain(p.tracked_series(_sym_min(spark, sf), p.tracked_symbols(_stored(_symbols(spark, sf)))))
 
 
 @query
 def concentration(spark, sf):
-    return plain(p.concentration(_symbols(spark, sf)), 9)
+    return plain(p.concentration(_stored(_symbols(spark, sf))), 9)
 
 
 @query
 def price_ranking(spark, sf):
-    return plain(p.price_ranking(_symbols(spark, sf)), 9)
+    return plain(p.price_ranking(_stored(_symbols(spark, sf))), 9)
 
 
 @query
 def dense_grid(spark, sf):
-    minutes = _minutes(spark, sf)
+    minutes = _stored(_minutes(spark, sf))
     start = p.anchor(minutes).scalar()
     series = minutes.select(F.lit("all").alias("name"), F.col("ts").alias("t"), "events", "price_events")
     return plain(p.dense(series, ["name"], start, "15 minutes", 7 * 96))
@@ -478,9 +487,9 @@ def dense_grid(spark, sf):
 
 @query
 def tracked_records(spark, sf):
-    sym_min = _sym_min(spark, sf)
+    sym_min = _stored(_sym_min(spark, sf))
     start = p.anchor(sym_min).scalar()
-    records = p.tracked_records(_symbols(spark, sf), sym_min, start, 31 * 4, "6 hours")
+    records = p.tracked_records(p.symbol_totals(sym_min), sym_min, start, 31 * 4, "6 hours")
     listed = {c: F.array_join(c, ",") for c in ("events_series", "price_series")}
     return plain(records.withColumns(listed), 4)
 
