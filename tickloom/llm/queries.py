@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import exact, packing, simhash
+from tickloom.llm import exact, packing, private, simhash, toxicity
 from tickloom.llm.common import read_documents
 
 
@@ -19,16 +19,45 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    found = private.find(docs, private.learn(docs))
+
+    def joined(spans: F.Column) -> F.Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    def number(kind: str) -> F.Column:
+        return F.size(F.filter("spans", lambda s: s.base & (s.kind == kind))).cast("long").alias(f"n_{kind}")
+
+    base = joined(F.filter("spans", lambda s: s.base))
+    return found.select("doc_id", *map(number, private.KINDS), F.sha2(base, 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pieces(read_documents(spark, sf_dir))
     # the digest is taken where the ids are made; what is ranked and joined afterwards is a few numbers per piece
     return packing.pack(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
 
 
+def _fold(folds: int) -> F.Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels, skip=_fold(5) == 0)
+    held_out = F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out")
+    predicted = (F.col("score") >= toxicity.CUT).cast("int").alias("predicted")
+    return toxicity.score(docs, model).select("doc_id", held_out, "score", predicted, "sentences")
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_simhash": op3_simhash,
+    "op5_private": op5_private,
     "op7_packing": op7_packing,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLES = {
