@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import exact, packing, simhash
+from tickloom.llm import exact, packing, private, simhash, toxicity
 from tickloom.llm.common import read_documents, stored
 
 
+def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.accepted(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.without_copies(docs)
 
@@ -16,11 +20,21 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.one_of_each(docs)
 
 
+def mask_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return private.masked(docs, private.learn(docs))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(docs))
 
 
-STAGES = [("exact_dedup", exact_dedup), ("simhash_dedup", simhash_dedup), ("packing", pack)]
+STAGES = [
+    ("toxicity", toxic_filter),
+    ("exact_dedup", exact_dedup),
+    ("simhash_dedup", simhash_dedup),
+    ("private", mask_private),
+    ("packing", pack),
+]
 
 ORACLE_SQL = None  # classifiers, SimHash and a tokenizer are beyond SQL
 
