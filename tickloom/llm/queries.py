@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import exact, packing, private, simhash, toxicity
+from tickloom.llm import exact, packing, phrases, private, simhash, toxicity
 from tickloom.llm.common import read_documents
 
 
+def op1_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.repeats(read_documents(spark, sf_dir))
+    n_removed = F.aggregate("ranges", F.lit(0).cast("long"), lambda n, r: n + r.end - r.start)
+    return found.select("doc_id", "n_words", n_removed.alias("n_removed"), "kept_sha256")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact.exact_groups(read_documents(spark, sf_dir))
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -53,6 +59,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_phrases": op1_phrases,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_simhash": op3_simhash,
     "op5_private": op5_private,
