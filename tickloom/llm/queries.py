@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import exact, packing, phrases, private, simhash, toxicity
+from tickloom.llm import crossentropy, exact, fertility, language, packing, phrases, pieces, private, simhash, toxicity
 from tickloom.llm.common import read_documents
 
 
@@ -25,6 +25,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fertility.judged(read_documents(spark, sf_dir))
+    base = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return rows.select(*base, *fertility.FIGURES)
+
+
 def op5_private(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir)
     found = private.find(docs, private.learn(docs))
@@ -39,16 +45,23 @@ def op5_private(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(number, private.KINDS), F.sha2(base, 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def _fold(folds: int) -> F.Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    held_out = F.coalesce(_fold(4) == 2, F.lit(False))
+    found = language.identify(docs, language.train(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "spans")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pieces(read_documents(spark, sf_dir))
     # the digest is taken where the ids are made; what is ranked and joined afterwards is a few numbers per piece
     return packing.pack(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
 
 
-def _fold(folds: int) -> F.Column:
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
-
-
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -58,13 +71,28 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out, "score", predicted, "sentences")
 
 
+def op9_crossentropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1")
+    return crossentropy.score(read_documents(spark, sf_dir), good)
+
+
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = pieces.decode(pieces.encode(read_documents(spark, sf_dir)))
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return decoded.select("doc_id", n_tokens, F.crc32("ids").alias("ids_crc32"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_phrases": op1_phrases,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_simhash": op3_simhash,
+    "op4_fertility": op4_fertility,
     "op5_private": op5_private,
+    "op6_language": op6_language,
     "op7_packing": op7_packing,
     "op8_toxicity": op8_toxicity,
+    "op9_crossentropy": op9_crossentropy,
+    "op10_pieces": op10_pieces,
 }
 
 ORACLES = {

@@ -17,6 +17,7 @@ all scores are 0. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -73,9 +74,12 @@ class Model:
     bias: float
     weights: dict[bytes, float] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        self.key = "toxicity " + hashlib.sha256(repr(sorted(self.weights)).encode()).hexdigest()
+
     @property
     def known(self) -> _Known:
-        return worker_cache(f"toxicity {self.bias} {hash(frozenset(self.weights.items()))}", lambda: _Known(self.weights))
+        return worker_cache(self.key, lambda: _Known(self.weights))
 
     def sentences(self, text: bytes | None) -> Iterator[tuple[int, int, float]]:
         """Byte range and logit of each sentence with a word."""
