@@ -45,18 +45,19 @@ def random_rows(seed, n=1500, partitions=3, symbols=7, disorder=900.0):
     return rows
 
 
-def test_one_symbol_two_closed_windows(spark):
-    rows = [("RDSA.NL", 0, 3600, 42.5), ("RDSA.NL", 0, 3960, 50.0), ("RDSA.NL", 0, 4260, 40.0)]
+def test_the_newest_window_stays_open(spark):
+    rows = [("KITE", 1, 610, 7.25), ("KITE", 1, 905, 7.5), ("KITE", 1, 1490, 6.0), ("KITE", 1, 1510, 6.5)]
     points = m.ema_points(b.closed_bars(tick_frame(spark, rows))).orderBy("window_start").collect()
-    assert [(p.close, p.signal) for p in points] == [(42.5, "BUY"), (50.0, None)]
+    assert [(p.window_start.minute, p.close, p.signal) for p in points] == [(10, 7.25, "BUY"), (15, 7.5, None), (20, 6.0, None)]
 
 
 def test_one_average_step_per_window(spark):
-    rows = [("AAA.FR", 0, t, p) for t, p in ((0, 10), (60, 11), (120, 12), (240, 20), (420, 30), (720, 25))]
+    rows = [("OWL", 0, t, p) for t, p in ((1, 3.0), (2, 9.0), (298, 64.0), (301, 8.0), (599, 16.0), (600, 1.0))]
     points = m.ema_points(b.closed_bars(tick_frame(spark, rows))).orderBy("window_start").collect()
-    assert [p.close for p in points] == [20.0, 30.0]
-    assert points[0].ema38 == 2.0 / 39 * 20.0
-    assert points[0].ema100 == 2.0 / 101 * 20.0
+    assert [p.close for p in points] == [64.0, 16.0]
+    weight = 2.0 / 39
+    assert points[0].ema38 == weight * 64.0
+    assert points[1].ema38 == weight * 16.0 + (1 - weight) * (weight * 64.0)
 
 
 def test_latest_event_wins_and_ties_go_to_the_later_arrival(spark):
@@ -91,61 +92,56 @@ def test_one_symbol_holding_most_ticks(spark):
     assert got == closed_points(as_model(rows))
 
 
-def test_averages_carry_over_days_and_gaps(spark):
-    day = 86400
-    times = [0, 300, 600, day, day + 300, 4 * day, 4 * day + 300, 4 * day + 600]
-    rows = [("RDSA.NL", 0, t, 10 + i) for i, t in enumerate(times)]
+def test_averages_carry_over_nights(spark):
+    night = 16 * 3600
+    times = [i * (300 + (i % 4 == 3) * night) for i in range(12)]
+    rows = [("LARK", 2, t, 30 - i) for i, t in enumerate(times)]
     points = m.ema_points(b.closed_bars(tick_frame(spark, rows))).orderBy("window_start").collect()
-    assert len(points) == 7
-    assert points[3].ema38 == m.ema_step(points[2].ema38, 13.0, 38)
+    order = sorted(range(12), key=lambda i: times[i])
+    kept = [p for p in collected(m.ema_points(b.closed_bars(tick_frame(spark, rows))))["LARK"]]
+    assert kept == closed_points(as_model(rows))["LARK"] and len(points) <= len(order) - 1
+    for before, now in zip(points, points[1:]):
+        assert now.ema38 == m.ema_step(before.ema38, now.close, 38)
 
 
 def test_registry_keeps_the_first_arrival(spark):
-    rows = [("AAA.FR", 0, 50, 1), ("BBB.NL", 0, 10, 1), ("AAA.FR", 0, 5, 1), ("AAA.FR", 0, 60, 1), ("BBB.NL", 0, 1, 1)]
-    found = {r.symbol: r for r in symbol_registry(tick_frame(spark, rows)).collect()}
-    assert set(found) == {"AAA.FR", "BBB.NL"}
-    assert found["AAA.FR"].first_seen.second == 50 and found["BBB.NL"].first_seen.second == 10
-    assert found["AAA.FR"].security_type == "E"
-
-
-def crafted_rows():
-    """Four symbols, 80 windows of three ticks, one out-of-order and one late tick, and closing ticks."""
-    series = {
-        "DOWNUP.NL": [100.0] * 60 + [1.0] * 12 + [200.0] * 8,
-        "UPDOWN.FR": [100.0] * 60 + [150.0] * 8 + [1.0] * 12,
-        "FLAT.ETR": [50.0] * 80,
-        "ORDER.FR": [20.0 + i % 3 for i in range(80)],
+    rows = [("JAY", 0, 41, 2), ("EMU", 0, 7, 2), ("JAY", 0, 3, 2), ("EMU", 0, 90, 2), ("JAY", 0, 2, 2), ("TIT", 0, 1, 2)]
+    found = {r.symbol: (r.first_seen.second, r.security_type) for r in symbol_registry(tick_frame(spark, rows)).collect()}
+    assert found == {"JAY": (41, "E"), "EMU": (7, "E"), "TIT": (1, "E")}
+
+
+def staged_rows():
+    """Series that turn once, twice or never, with noise inside each window, one stray and one late tick."""
+    level = {
+        "DIP": lambda w: 40.0 if w < 50 else 2.0 if w < 70 else 90.0,
+        "PEAK": lambda w: 12.0 if w < 55 else 31.0 if w < 75 else 0.5,
+        "CALM": lambda w: 8.0,
+        "STRAY": lambda w: 5.0 + w % 2,
     }
-    part = {s: i % 2 for i, s in enumerate(series)}
     rows = []
-    for w in range(80):
-        for offset, scale in ((30, 1.01), (150, 0.99), (270, 1.0)):
-            for s, closes in series.items():
-                rows.append((s, part[s], w * 300 + offset, round(closes[w] * scale, 4)))
-                if s == "ORDER.FR" and offset == 270:
-                    if w == 3:
-                        rows.append((s, part[s], 3 * 300 + 60, 999.0))
-                    if w == 15:
-                        rows.append((s, part[s], 5 * 300 + 290, 555.0))
-    rows += [(s, part[s], 80 * 300 + 30, closes[-1]) for s, closes in series.items()]
-    return rows
-
-
-def test_crafted_week(spark):
-    rows = crafted_rows()
+    for w in range(90):
+        for at, noise in ((12, 0.97), (100, 1.04), (285, 1.0)):
+            rows += [(s, i % 3, w * 300 + at, round(f(w) * noise, 3)) for i, (s, f) in enumerate(level.items())]
+        if w == 20:
+            rows.append(("STRAY", 0, 20 * 300 + 50, 4321.0))  # after the window's last tick, but earlier than it
+        if w == 33:
+            rows.append(("STRAY", 0, 9 * 300 + 299, 1234.0))  # a window that closed long ago
+    return rows + [(s, i % 3, 90 * 300 + 1, 1.0) for i, s in enumerate(level)]
+
+
+def test_staged_series(spark):
+    rows = staged_rows()
     got = collected(m.ema_points(b.closed_bars(tick_frame(spark, rows), rows=100)))
     assert got == closed_points(as_model(rows))
     signals = {s: [p[4] for p in points if p[4]] for s, points in got.items()}
-    assert signals["DOWNUP.NL"] == ["BUY", "SELL", "BUY"]
-    assert signals["UPDOWN.FR"] == ["BUY", "SELL"]
-    assert signals["FLAT.ETR"] == ["BUY"]
-    closes = [p[1] for p in got["ORDER.FR"]]
-    assert 999.0 not in closes and 555.0 not in closes and len(closes) == 80
+    assert signals == {"DIP": ["BUY", "SELL", "BUY"], "PEAK": ["BUY", "SELL"], "CALM": ["BUY"], "STRAY": ["BUY"]}
+    closes = [p[1] for p in got["STRAY"]]
+    assert max(closes) == 6.0 and len(closes) == 90
 
 
 def test_formula_and_signal_truth_table(spark):
-    assert m.ema_step(0.0, 100.0, 38) == pytest.approx(100.0 * 2 / 39, abs=1e-9)
-    cases = [(101, 99, 99, 100, "BUY"), (100, 101, 101, 99, "SELL"), (101.5, 98, 101, 99, None), (1, 1, 0, 0, None)]
+    assert m.ema_step(6.0, 45.0, 38) == pytest.approx(8.0, abs=1e-12)
+    cases = [(3, 2, 2, 2, "BUY"), (3, 2, 1, 2, "BUY"), (2, 3, 3, 3, "SELL"), (2, 3, 4, 3, "SELL"), (5, 2, 4, 3, None), (2, 2, 3, 1, None)]
     frame = spark.createDataFrame([tuple(map(float, c[:4])) for c in cases], "f double, s double, pf double, ps double")
     got = [r[0] for r in frame.select(m.signal(*[F.col(c) for c in ("f", "s", "pf", "ps")])).collect()]
     assert got == [c[4] for c in cases]
