@@ -1,12 +1,13 @@
 """File discovery, CSV and JSON sources, topic records, batch tables."""
 
 import json
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tickloom.operators import history
 from tickloom.operators import ingest as i
 from tickloom.operators import profile as p
 from tickloom.operators.registry import latest_per_key, symbol_list, symbol_search
@@ -106,13 +107,30 @@ def test_registry_merge(spark, tmp_path):
     assert sorted((r.symbol, r.batch_id) for r in rows) == [("a", 0), ("b", 0), ("c", 1)]
 
 
-def test_history_retention(spark, tmp_path):
-    newest = datetime(2021, 11, 30, tzinfo=timezone.utc)
-    rows = [("A", newest - timedelta(days=n), 1.0) for n in range(30)]
+def test_history_is_compacted_pruned_and_expired(spark, tmp_path):
+    newest, path = datetime(2023, 3, 30, 12, tzinfo=timezone.utc), str(tmp_path / "h")
+    rows = [(s, newest - timedelta(days=n), float(n)) for n in range(30) for s in "CAB"]
     frame = spark.createDataFrame(rows, "symbol string, window_start timestamp, close double")
-    tables.write_batch(frame, str(tmp_path / "h"), 0, by_day="window_start")
-    tables.expire_history(spark, str(tmp_path / "h"), str(tmp_path / "kept"))
-    assert tables.read_history(spark, str(tmp_path / "kept")).count() == 14
+    for batch in range(4):
+        part = frame.where(F.pmod(F.col("close"), F.lit(4)) == batch)
+        tables.write_batch(part, path, batch, by_day="window_start")
+    before = sorted(map(tuple, tables.read_history(spark, path).select("symbol", "window_start").collect()))
+    tables.compact_history(spark, path, date(2023, 3, 28), days=10_000)
+    assert sorted(map(tuple, tables.read_history(spark, path).select("symbol", "window_start").collect())) == before
+    assert len(list((tmp_path / "h").glob("day=*"))) == 3 and len(list((tmp_path / "h_days").glob("day=*"))) == 27
+    # a compaction that stopped before it removed a micro-batch's folder
+    tables.write_batch(frame.where("close = 20"), path, 0, by_day="window_start")
+    assert tables.read_history(spark, path).count() == len(before)
+    at = int((newest - timedelta(days=5)).timestamp() * 1000)
+    found = history.history_lookup(tables.read_history(spark, path), "B", at - 3_600_000, at + 3_600_000)
+    assert [r.close for r in found.collect()] == [5.0]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = [line.split("PartitionFilters: ")[1] for line in plan.splitlines() if "PartitionFilters: " in line]
+    assert filters and all(">=" in f and "<=" in f for f in filters)
+    assert history.day_view(tables.read_history(spark, path), date(2023, 3, 9)).count() == 3
+    tables.compact_history(spark, path, date(2023, 3, 31), days=14)
+    kept = tables.read_history(spark, path)
+    assert kept.agg(F.min("day")).first()[0] == date(2023, 3, 16) and history.retained(kept).count() == 14 * 3
 
 
 def test_runs_and_sparse_csv(spark, tmp_path):

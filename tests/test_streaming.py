@@ -7,8 +7,9 @@ from datetime import timedelta
 
 import pytest
 from model import closed_points
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from test_bars import START, TICKS, as_model, collected, crafted_rows, random_rows, tick_frame
+from test_bars import START, TICKS, as_model, collected, staged_rows, random_rows, tick_frame
 
 from tickloom.operators import bars as b
 from tickloom.operators import ema as m
@@ -60,7 +61,7 @@ def test_watermark_moves_between_batches_only(spark, tmp_path):
     rows = [("A", 0, 10, 1.0), ("A", 0, 430, 2.0), ("A", 0, 70, 3.0), ("A", 0, 700, 4.0), ("A", 0, 80, 9.0)]
     write_parts(spark, rows[:4], f"{tmp_path}/in", 1)
     out = f"{tmp_path}/out"
-    log = ProgressLog()
+    log = ProgressLog(spark, f"{tmp_path}/progress", every=2)
     spark.streams.addListener(log)
     try:
         points = lambda: crossover.write_points(crossover.stream_points(stream(spark, f"{tmp_path}/in")), out, f"{tmp_path}/c")
@@ -73,7 +74,7 @@ def test_watermark_moves_between_batches_only(spark, tmp_path):
         spark.streams.removeListener(log)
     closes = [r.close for r in history(spark, out).orderBy("window_start").collect()]
     assert closes == [3.0, 2.0]
-    frame = log.frame(spark)
+    frame = log.frame()
     assert frame.agg(F.sum("late_rows")).first()[0] == 1
     assert frame.agg(F.sum("input_rows")).first()[0] == 5
     assert [p[1] for p in closed_points(as_model(rows))["A"]] == [1.0, 2.0]
@@ -88,8 +89,8 @@ def test_exact_form_equals_the_model(spark, tmp_path, parts):
     assert collected(history(spark, out)) == closed_points(as_model(rows))
 
 
-def test_exact_form_on_the_crafted_week(spark, tmp_path):
-    rows = crafted_rows()
+def test_exact_form_on_the_staged_series(spark, tmp_path):
+    rows = staged_rows()
     write_parts(spark, rows, f"{tmp_path}/in", 2)
     run(exact.write_exact_points(stream(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/c"))
     assert collected(history(spark, f"{tmp_path}/out")) == closed_points(as_model(rows))
@@ -103,6 +104,26 @@ def test_exact_batch_may_run_twice(spark, tmp_path):
     assert collected(history(spark, tmp_path)) == closed_points(as_model(rows))
 
 
+def test_exact_state_stays_small_and_must_be_there(spark, tmp_path):
+    """Two versions of the state are kept; a batch does not start empty because its predecessor's state is gone."""
+    rows = random_rows(47, n=120)
+    frame = tick_frame(spark, rows).cache()
+    for batch in range(6):
+        exact.process(frame.where(F.col("arrival").between(batch * 20, batch * 20 + 19)), batch, str(tmp_path))
+        assert sorted(int(n) for n in os.listdir(tmp_path / "state")) == [n for n in (batch - 1, batch) if n >= 0]
+    assert collected(history(spark, tmp_path)) == closed_points(as_model(rows))
+    with pytest.raises(AnalysisException):
+        exact.process(frame, 9, str(tmp_path))
+
+
+def test_every_progress_row_is_kept(spark, tmp_path):
+    log = ProgressLog(spark, str(tmp_path / "progress"), every=5000)
+    for n in range(12_000):
+        log.add(("q", n, "2023-01-16T09:00:00.000Z", 2, 1.0, 1.0, n % 2, 0, None))
+        assert len(log.waiting) < 5000
+    assert log.frame().agg(F.count("*"), F.count_distinct("batch_id"), F.sum("late_rows")).first()[:] == (12_000, 12_000, 6_000)
+
+
 def test_registry_stream(spark, tmp_path):
     rows = [(s, 0, t, 1.0) for t, s in enumerate(["AAA", "BBB", "AAA", "CCC", "BBB", "AAA"])]
     write_parts(spark, rows, f"{tmp_path}/in", 3)

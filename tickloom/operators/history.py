@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,8 +21,11 @@ def history_lookup(
     if not symbol.strip():
         raise ValueError("missing required parameter: symbol")
     top = MAX_MILLIS if end_ms is None else min(end_ms, MAX_MILLIS)
-    bounds = F.col("window_start").between(F.timestamp_millis(F.lit(start_ms)), F.timestamp_millis(F.lit(top)))
-    found = points.where((F.col("symbol") == symbol.strip()) & bounds)
+    low, high = F.timestamp_millis(F.lit(start_ms)), F.timestamp_millis(F.lit(top))
+    kept = (F.col("symbol") == symbol.strip()) & F.col("window_start").between(low, high)
+    if "day" in points.columns:  # a stored history: only the folders of these days are listed
+        kept = kept & F.col("day").between(F.to_date(low), F.to_date(high))
+    found = points.where(kept)
     newest = found.orderBy(F.col("window_start").desc()).limit(limit if limit > 0 else HISTORY_LIMIT)
     return newest.orderBy("window_start")
 
@@ -34,7 +37,11 @@ def _day(zone: str | None) -> Column:
 
 def day_view(points: DataFrame, day: date, zone: str | None = None) -> DataFrame:
     """Points of one day (UTC unless a zone is given)."""
-    return points.where(_day(zone) == F.lit(day))
+    kept = _day(zone) == F.lit(day)
+    if "day" in points.columns:  # a stored history: its folders are UTC days
+        margin = timedelta(days=0 if zone is None else 1)
+        kept = kept & F.col("day").between(F.lit(day - margin), F.lit(day + margin))
+    return points.where(kept)
 
 
 def days(points: DataFrame, zone: str | None = None) -> DataFrame:

@@ -58,14 +58,20 @@ def positional_facts(raw: DataFrame) -> DataFrame:
 
 
 def symbol_seconds(facts: DataFrame) -> DataFrame:
-    """Events, price events and traded volume per symbol and second; everything else derives from this."""
-    return facts.groupBy("symbol", "second").agg(
+    """Events, price events and traded volume per symbol and second; everything else derives from this.
+
+    A smallest text cannot be kept in a hash aggregate, so the type is a key of a
+    first one that takes all ticks, and only its result is aggregated by sorting.
+    """
+    traded = F.when(F.col("is_price_event") & (F.col("volume") > 0), F.col("volume"))
+    by_type = facts.groupBy("symbol", "second", "security_type").agg(
+        F.count("*").alias("events"), F.count_if("is_price_event").alias("price_events"), F.sum(traded).alias("volume")
+    )
+    return by_type.groupBy("symbol", "second").agg(
         F.min("security_type").alias("security_type"),
-        F.count("*").alias("events"),
-        F.count_if("is_price_event").alias("price_events"),
-        F.coalesce(
-            F.sum(F.when(F.col("is_price_event") & (F.col("volume") > 0), F.col("volume"))), F.lit(0.0)
-        ).alias("volume"),
+        F.sum("events").alias("events"),
+        F.sum("price_events").alias("price_events"),
+        F.coalesce(F.sum("volume"), F.lit(0.0)).alias("volume"),
     )
 
 
@@ -228,9 +234,9 @@ def tracked_symbols(symbols: DataFrame, n: int = TOP_SYMBOLS) -> DataFrame:
 
 
 def tracked_series(sym_min: DataFrame, tracked: DataFrame, step: str = "15 minutes") -> DataFrame:
-    """Events and price events of tracked symbols per step (``tracked`` is a top list, so it is broadcast)."""
+    """Events and price events of tracked symbols per step (``tracked`` is usually a top list)."""
     return (
-        sym_min.join(F.broadcast(tracked), "symbol", "left_semi")
+        sym_min.join(tracked, "symbol", "left_semi")
         .groupBy("symbol", F.window("ts", step).start.alias("t"))
         .agg(F.sum("events").alias("events"), F.sum("price_events").alias("price_events"))
     )
@@ -299,7 +305,7 @@ def tracked_records(symbols: DataFrame, sym_min: DataFrame, start: Column, steps
     series = grid.groupBy("symbol").agg(
         F.sort_array(F.collect_list(F.struct("i", "events", "price_events"))).alias("s")
     )
-    wanted = symbols.join(F.broadcast(tracked), "symbol", "left_semi")
+    wanted = symbols.join(tracked, "symbol", "left_semi")
     return wanted.join(series, "symbol").select(
         *symbols.columns,
         F.transform("s", lambda x: x["events"]).alias("events_series"),

@@ -9,10 +9,6 @@ from tickloom.functions.hashing import partition_of
 from tickloom.schemas import SEARCH_LIMIT
 
 
-# About 50 MB of short symbols.
-BROADCAST_SYMBOLS = 1_000_000
-
-
 def symbol_registry(ticks: DataFrame) -> DataFrame:
     """symbol, security type ('' if absent) and event time of its first *arrival*.
 
@@ -65,25 +61,27 @@ def symbol_search(registry: DataFrame, needle: str, limit: int = SEARCH_LIMIT) -
 
 
 def with_topic_partition(ticks: DataFrame, partitions: int, symbols: DataFrame | None = None) -> DataFrame:
-    """Add the topic partition of each symbol; the hash runs once per symbol, not per tick.
+    """Add the topic partition of each symbol.
 
-    ``symbols`` may be the stored registry: it is counted, and broadcast while
-    it is small, so the ticks need no shuffle. A symbol it lacks is hashed on
-    the spot. Without it the symbols come from the ticks.
+    The hash runs once per symbol, not per tick. ``symbols`` may be the stored
+    registry: its measured size decides on a broadcast before any tick moves,
+    and a symbol it lacks is hashed on the spot. Without it the symbols come
+    from the ticks.
     """
+    place = partition_of(F.col("symbol"), partitions)
     if symbols is None:
-        known = ticks.select("symbol").distinct()
-        return ticks.join(known.withColumn("partition", partition_of(F.col("symbol"), partitions)), "symbol")
-    known = symbols.select("symbol").distinct().withColumn("known", partition_of(F.col("symbol"), partitions))
-    if symbols.count() <= BROADCAST_SYMBOLS:
-        known = F.broadcast(known)
-    place = F.coalesce("known", partition_of(F.col("symbol"), partitions))
-    return ticks.join(known, "symbol", "left").withColumn("partition", place).drop("known")
-
-
-def partition_skew(ticks: DataFrame) -> DataFrame:
-    """Records per partition, the busiest one, and the speed-up the spread allows (total / busiest)."""
-    counts = ticks.groupBy("partition").agg(F.count("*").alias("records"))
+        return ticks.join(ticks.select("symbol").distinct().withColumn("partition", place), "symbol")
+    known = symbols.select("symbol").distinct().withColumn("known", place)
+    return ticks.join(known, "symbol", "left").withColumn("partition", F.coalesce("known", place)).drop("known")
+
+
+def partition_skew(ticks: DataFrame, partitions: int) -> DataFrame:
+    """Records per topic partition, the busiest one, and the speed-up the spread allows (total / busiest).
+
+    Ticks are counted per symbol before anything is hashed; none of them is joined.
+    """
+    by_symbol = ticks.where(F.col("symbol").isNotNull()).groupBy("symbol").agg(F.count("*").alias("n"))
+    counts = by_symbol.groupBy(partition_of(F.col("symbol"), partitions).alias("partition")).agg(F.sum("n").alias("records"))
     busiest, total = counts.agg(F.max("records")).scalar(), counts.agg(F.sum("records")).scalar()
     return counts.withColumns(
         {"busiest": busiest, "total": total, "max_speedup": total.cast("double") / busiest}

@@ -10,6 +10,8 @@ state travels as one extra row per block, so there is no join.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -113,36 +115,61 @@ def neighbours(
     )
 
 
+# Ranges a crowded value's rows are cut into when they are ranked.
+TIE_RANGES = 256
+
+
+def _text_place(text: Column, skipped: int) -> Column:
+    """A number that orders texts by the six bytes after the first ``skipped`` ones."""
+    tail = F.hex(F.substring(F.encode(text, "UTF-8"), skipped + 1, 6))
+    return F.conv(F.rpad(tail, 12, "0"), 16, 10).cast("bigint")
+
+
+def _tie_ranges(df: DataFrame, tie: str) -> Column:
+    """Which of about equally full ranges of the data's own ties a row's tie lies in; ranges follow the order of ties.
+
+    The cuts are a few numbers taken once, so every use of the ranges sees the same ones.
+    """
+    least, most = (x.encode() if x is not None else b"" for x in df.agg(F.min(tie), F.max(tie)).first())
+    skipped = len(os.path.commonprefix([least, most]))
+    place = _text_place(F.col(tie), skipped)
+    fractions = F.array(*[F.lit(i / TIE_RANGES) for i in range(1, TIE_RANGES)])
+    cuts = df.agg(F.percentile_approx(place, fractions, 10 * TIE_RANGES)).first()[0] or []
+    known = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<bigint>")
+    return F.aggregate(known, F.lit(0), lambda n, c: n + (c < place).cast("int"))
+
+
 def ranked(df: DataFrame, value: str, tie: str, cumulative: dict[str, str], rank: str = "rank") -> DataFrame:
     """Row number by ``value`` descending then ``tie``, with running totals (new name → column).
 
     Equal small values are the crowded case (a long tail of symbols with one
     event). A block of a whole number up to 256 holds that value only, so it is
-    cut again by the first letters of ``tie``.
+    cut again into ranges of ``tie``. ``df`` is read for the cuts first: store it.
     """
     v = F.col(value)
-    letters = F.when((v == F.floor(v)) & (F.abs(v) <= 256), F.substring(tie, 1, 3))
+    part = F.when((v == F.floor(v)) & (F.abs(v) <= 256), _tie_ranges(df, tie))
     placed = df.withColumns({"__place": F.struct((-v).alias("v"), F.col(tie).alias("t")), "__one": F.lit(1)})
     return running(
         placed,
         order="__place",
-        block=F.struct((-value_block(v)).alias("b"), letters.alias("t")),
+        block=F.struct((-value_block(v)).alias("b"), part.alias("t")),
         values={rank: ("__one", "sum"), **{new: (c, "sum") for new, c in cumulative.items()}},
         inclusive=True,
     ).drop("__place", "__one")
 
 
 def quantiles(
-    df: DataFrame, value: str, fractions: dict[str, float], keys: list[str] = [], nearest: bool = False
+    df: DataFrame, value: str, fractions: dict[str, float], keys: list[str] = [], nearest: bool = False, weight: str | None = None
 ) -> DataFrame:
     """Exact quantiles per key in one row: output name → fraction.
 
     Linear interpolation between the two nearest ranks, or with ``nearest`` the
     value at rank ``round((n-1)·f)``, halves to even. Equal values are counted
     before the shuffle and ranks come from a blocked scan, so no task holds all
-    values of a key.
+    values of a key. ``weight`` names a column that says how often a row counts.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
+    often = F.count("*") if weight is None else F.sum(weight)
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(often.alias("__n"))
     placed = running(
         counts, keys=keys, order=value, block=value_block(F.col(value)), values={"__before": ("__n", "sum")}
     ).withColumn("__before", F.coalesce("__before", F.lit(0)))

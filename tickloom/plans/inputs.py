@@ -198,6 +198,7 @@ def metric_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('client_id="s'),
         F.col("l_suppkey"),
         F.when(F.col("l_linenumber") % 2 == 0, "-restore-consumer").otherwise("-consumer"),
+        F.when((F.col("l_linenumber") == 3) & (F.col("l_orderkey") % 2 == 0), '",topic="old').otherwise(""),
         F.when(F.col("l_linenumber") == 3, F.concat(F.lit('",topic="t'), F.col("l_suppkey") % 5)).otherwise(""),
         F.lit('"'),
     )

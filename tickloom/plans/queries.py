@@ -23,7 +23,7 @@ from tickloom.plans import inputs as src
 from tickloom.plans.inputs import DAYS, plain
 from tickloom.schemas import POSITIONAL
 from tickloom.session import work_dir
-from tickloom.sources import files
+from tickloom.sources import files, tables
 from tickloom.streaming import crossover, exact
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,8 +136,7 @@ def topic_partitions(spark, sf):
 
 @query
 def partition_skew(spark, sf):
-    ticks = r.with_topic_partition(src.ticks(spark, sf, by="user").drop("partition"), 6)
-    return plain(r.partition_skew(ticks), 6)
+    return plain(r.partition_skew(src.ticks(spark, sf, by="user"), 6), 6)
 
 
 @query
@@ -161,6 +160,32 @@ def history_retained(spark, sf):
     return plain(h.retained(_points(spark, sf)), 6)
 
 
+def _history(spark: SparkSession, sf: str) -> DataFrame:
+    """The points as the stream stores them: in several micro-batches, the older days compacted."""
+    path = f"{work_dir(spark, 'history')}/points"
+    points = _points(spark, sf).withColumn("part", F.pmod(F.xxhash64("symbol", "window_start"), F.lit(3)))
+    for n in range(3):
+        tables.write_batch(points.where(F.col("part") == n).drop("part"), path, n, by_day="window_start")
+    tables.compact_history(spark, path, date(2024, 1, 12), days=10_000)
+    return tables.read_history(spark, path)
+
+
+@query
+def stored_history_lookup(spark, sf):
+    start, end = (int(x.timestamp() * 1000) for x in (FROM, TO))
+    return plain(h.history_lookup(_history(spark, sf), "view", start, end, limit=100).drop("day"), 6)
+
+
+@query
+def stored_history_day(spark, sf):
+    return plain(h.day_view(_history(spark, sf), date(2024, 1, 9)).drop("day"), 6)
+
+
+@query
+def stored_history_retained(spark, sf):
+    return plain(h.retained(_history(spark, sf)).drop("day"), 6)
+
+
 @query
 def session_breaks(spark, sf):
     return plain(h.session_breaks(_points(spark, sf)).select("symbol", "window_start", "day", "previous_day"))
@@ -527,6 +552,14 @@ def total_on_ticks(spark, sf):
     return plain(t.total_on_ticks(src.samples(spark, sf), ["run", "service"], "cpu_usage_us", block_seconds=DAYS), 0)
 
 
+@query
+def total_on_epochs(spark, sf):
+    """The same sums on epoch seconds, where cancelling terms would show."""
+    late = src.samples(spark, sf).withColumn("t", F.col("t") + F.lit(1.7e9))
+    thousands = t.total_on_ticks(late, ["run", "service"], "cpu_usage_us", block_seconds=DAYS).withColumn("total", F.col("total") / 1000)
+    return plain(thousands, 3)
+
+
 @query
 def time_reaching(spark, sf):
     reached = t.time_reaching(

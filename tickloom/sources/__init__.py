@@ -9,7 +9,7 @@ from tickloom.sources.files import (
 from tickloom.sources.kafka import read_records, read_snapshot, write_records
 from tickloom.sources.tables import (
     append_registry,
-    expire_history,
+    compact_history,
     read_history,
     read_ticks,
     store_ticks,
@@ -20,7 +20,7 @@ from tickloom.sources.tables import (
 __all__ = [
     "append_registry",
     "discover_inputs",
-    "expire_history",
+    "compact_history",
     "follow_ndjson",
     "read_history",
     "read_positional",

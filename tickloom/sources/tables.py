@@ -6,13 +6,12 @@ failure replaces its own rows instead of adding them twice.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.operators.history import retained
 from tickloom.operators.registry import new_symbols
 from tickloom.operators.replay import replay_range
 from tickloom.schemas import HISTORY_DAYS
@@ -59,26 +58,68 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a table, wherever it is stored; one that is not there is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _folders(spark: SparkSession, path: str, key: str) -> list[str]:
+    """The values of a table's first partition column, from its folder names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
+    return sorted(n[len(key) + 1 :] for n in names if n.startswith(f"{key}="))
+
+
+# What a stored point consists of; ``day`` is the folder.
+HISTORY = (
+    "symbol STRING, window_start TIMESTAMP, window_end TIMESTAMP, close DOUBLE, ema38 DOUBLE, ema100 DOUBLE, "
+    "signal STRING, day DATE"
+)
+
+
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """History points; filters on ``day`` prune folders."""
-    return spark.read.parquet(path).drop("batch_id")
+    """History points: compacted days from ``<path>_days``, newer ones from the folders of their micro-batches.
+
+    Filters on ``day`` prune folders. A day that is compacted is never read from its
+    micro-batches, so a compaction that was cut short leaves no row twice.
+    """
+    compacted = _folders(spark, f"{path}_days", "day")
+    recent = read_table(spark, path, f"{HISTORY}, batch_id BIGINT").drop("batch_id")
+    if not compacted:
+        return recent
+    newer = recent.where(F.col("day") > F.to_date(F.lit(compacted[-1])))
+    return read_table(spark, f"{path}_days", HISTORY).unionByName(newer)
+
+
+def compact_history(spark: SparkSession, path: str, until: date, days: int = HISTORY_DAYS) -> None:
+    """Turn the micro-batch folders of the days before ``until`` into one folder a day, sorted by symbol, and drop old days.
+
+    ``until`` must be a day no open window lies before. Retention counts back from the newest compacted day.
+    """
+    done = _folders(spark, f"{path}_days", "day")
+    ready = [d for d in _folders(spark, path, "day") if d < until.isoformat() and (not done or d > done[-1])]
+    if ready:
+        found = read_table(spark, path, f"{HISTORY}, batch_id BIGINT").where(F.col("day").isin([date.fromisoformat(d) for d in ready]))
+        ordered = found.drop("batch_id").hint("rebalance", "day").sortWithinPartitions("day", "symbol", "window_start")
+        ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{path}_days")
+    done = _folders(spark, f"{path}_days", "day")
+    for day in _folders(spark, path, "day"):
+        if done and day <= done[-1]:
+            remove(spark, f"{path}/day={day}")
+    for day in done:
+        if day < (date.fromisoformat(done[-1]) - timedelta(days=days)).isoformat():
+            remove(spark, f"{path}_days/day={day}")
 
 
 def append_registry(found: DataFrame, path: str, batch_id: int) -> None:
-    """Insert-only merge: symbols that no other batch registered."""
+    """Insert-only merge: symbols that no other batch registered. A batch without a new symbol leaves no folder."""
     schema = "symbol STRING, security_type STRING, first_seen TIMESTAMP, batch_id BIGINT"
     known = read_table(found.sparkSession, path, schema).where(F.col("batch_id") != batch_id)
     write_batch(new_symbols(found, known), path, batch_id)
 
 
-def expire_history(spark: SparkSession, path: str, target: str, days: int = HISTORY_DAYS) -> None:
-    """Write the points still inside the retention period to ``target``, partitioned by day."""
-    kept = retained(spark.read.parquet(path), days).drop("batch_id")
-    kept.withColumn("day", F.to_date("window_start")).hint("rebalance", "day").sortWithinPartitions(
-        "day", "symbol", "window_start"
-    ).write.mode("overwrite").partitionBy("day").parquet(target)
-
-
 def write_sparse_csv(frames: list[DataFrame], path: str) -> None:
     """Rows of different shapes in one CSV: the header is the union of their columns in first-seen order."""
     merged = frames[0]

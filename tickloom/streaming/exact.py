@@ -4,7 +4,9 @@ Each micro-batch runs the batch operators and hands three small tables to the
 next one: the partitions' clocks, the bars still open, and every symbol's last
 averages. They are stored below ``out/state`` under the batch's number; a batch
 that runs again reads its predecessor's version and overwrites its own, so the
-result does not depend on failures or on where micro-batches are cut. Inside a
+result does not depend on failures or on where micro-batches are cut. The last
+two versions are kept, and a version that is needed but missing is an error:
+only batch 0 starts empty. No micro-batch lists or reads the history. Inside a
 micro-batch ``arrival`` orders the ticks; a later micro-batch arrives later.
 """
 
@@ -17,7 +19,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from tickloom.operators.bars import recency, with_stream_time
 from tickloom.operators.ema import advisories, ema_points
 from tickloom.schemas import BAR_SIZE, EMA_PERIODS
-from tickloom.sources.tables import read_table, write_batch
+from tickloom.sources.tables import remove, write_batch
 
 CLOCKS = "partition INT, clock TIMESTAMP"
 OPEN = "symbol STRING, partition INT, window_start TIMESTAMP, window_end TIMESTAMP, close DOUBLE, last_ts TIMESTAMP"
@@ -67,22 +69,26 @@ def process(ticks: DataFrame, batch_id: int, out: str, size: str = BAR_SIZE) ->
     """One micro-batch: read the previous state, write points, advisories and the next state."""
     spark = ticks.sparkSession
     old, new = f"{out}/state/{batch_id - 1}", f"{out}/state/{batch_id}"
-    clocks = read_table(spark, f"{old}/clocks", CLOCKS)
-    waiting = read_table(spark, f"{old}/open", OPEN)
-    averages = read_table(spark, f"{old}/averages", AVERAGES)
+
+    def before(name: str, schema: str) -> DataFrame:
+        return spark.createDataFrame([], schema) if batch_id == 0 else spark.read.schema(schema).parquet(f"{old}/{name}")
+
+    def after(frame: DataFrame, name: str, schema: str) -> DataFrame:
+        frame.write.mode("overwrite").parquet(f"{new}/{name}")
+        return spark.read.schema(schema).parquet(f"{new}/{name}")
+
+    clocks, waiting, averages = before("clocks", CLOCKS), before("open", OPEN), before("averages", AVERAGES)
     # Every table below is written once and read back, so nothing is computed twice.
-    advance_clocks(clocks, ticks).coalesce(1).write.mode("overwrite").parquet(f"{new}/clocks")
-    now = spark.read.schema(CLOCKS).parquet(f"{new}/clocks")
+    now = after(advance_clocks(clocks, ticks).coalesce(1), "clocks", CLOCKS)
     merged = merge_bars(on_time(ticks, clocks, size), waiting)
     marked = merged.join(now, "partition").withColumn("closed", F.col("window_end") <= F.col("clock")).drop("clock")
-    marked.write.mode("overwrite").partitionBy("closed").parquet(f"{new}/bars")
-    bars = spark.read.schema(f"{OPEN}, closed BOOLEAN").parquet(f"{new}/bars")
-    bars.where(~F.col("closed")).drop("closed").write.mode("overwrite").parquet(f"{new}/open")
-    write_batch(points_from(bars.where("closed"), averages), f"{out}/history", batch_id, by_day="window_start")
-    history = read_table(spark, f"{out}/history", f"{POINTS}, day DATE, batch_id BIGINT")
-    points = history.where(F.col("batch_id") == batch_id).drop("batch_id", "day")
+    bars = after(marked, "bars", f"{OPEN}, closed BOOLEAN")
+    after(bars.where(~F.col("closed")).drop("closed"), "open", OPEN)
+    points = after(points_from(bars.where("closed"), averages), "points", POINTS)
+    write_batch(points, f"{out}/history", batch_id, by_day="window_start")
     write_batch(advisories(points), f"{out}/advisories", batch_id)
-    newest_averages(averages, points).write.mode("overwrite").parquet(f"{new}/averages")
+    after(newest_averages(averages, points), "averages", AVERAGES)
+    remove(spark, f"{out}/state/{batch_id - 2}")
 
 
 def write_exact_points(ticks: DataFrame, out: str, checkpoint: str, size: str = BAR_SIZE) -> DataStreamWriter:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections import deque
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
+from tickloom.sources.tables import read_table
+
 PROGRESS = (
     "query STRING, batch_id BIGINT, timestamp STRING, input_rows BIGINT, input_rate DOUBLE, "
     "processed_rate DOUBLE, late_rows BIGINT, state_rows BIGINT, watermark STRING"
@@ -30,22 +32,41 @@ def progress_row(progress) -> tuple:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Remembers the newest micro-batches of every query (one small row each)."""
+    """Writes one row per micro-batch to a table; only rows not yet written are held, at most ``every`` of them."""
 
-    def __init__(self, keep: int = 10_000):
-        self.rows: deque[tuple] = deque(maxlen=keep)
+    def __init__(self, spark: SparkSession, path: str, every: int = 100):
+        self.spark, self.path, self.every = spark, path, every
+        self.waiting: list[tuple] = []
+        self.lock = Lock()
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        self.rows.append(progress_row(event.progress))
+        self.add(progress_row(event.progress))
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.flush()
+
+    def add(self, row: tuple) -> None:
+        with self.lock:
+            self.waiting.append(row)
+            full = len(self.waiting) >= self.every
+        if full:
+            self.flush()
+
+    def flush(self) -> None:
+        """Append what is waiting; rows stay waiting when the write fails."""
+        with self.lock:
+            if self.waiting:
+                rows = self.spark.createDataFrame(self.waiting, PROGRESS)
+                rows.coalesce(1).write.mode("append").parquet(self.path)
+                self.waiting = []
 
-    def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.rows), PROGRESS)
+    def frame(self) -> DataFrame:
+        """Every micro-batch reported so far."""
+        self.flush()
+        return read_table(self.spark, self.path, PROGRESS)
