@@ -166,6 +166,38 @@ def test_block_form_of_the_average_agrees(spark):
     assert joined.where("ema100 IS NULL OR again IS NULL OR abs(ema100 - again) > 1e-9").count() == 0
 
 
+@pytest.mark.parametrize("period, size", [(1, "5 minutes"), (3, "1 second"), (38, "1 second"), (250, "5 minutes")])
+def test_block_form_for_any_period_and_bar_size(spark, period, size):
+    rows = random_rows(10, n=3000, symbols=2, disorder=0)
+    frame = b.bars(tick_frame(spark, [(s, p, t % 90_000, c) for s, p, t, c in rows]), size)
+    exact = m.ema(frame, (period,), seed=5.0).select("symbol", "window_start", F.col(f"ema{period}").alias("one"))
+    other = m.ema_by_day(frame, period, seed=5.0).select("symbol", "window_start", F.col(f"ema{period}").alias("two"))
+    joined = exact.join(other, ["symbol", "window_start"], "full")
+    assert joined.where("one IS NULL OR two IS NULL OR abs(one - two) > 1e-7").count() == 0
+
+
+def test_averages_over_batches_of_any_size(spark):
+    """Symbols and gaps may fall on batch borders; the numbers equal the recurrence to the last bit."""
+    rnd = random.Random(4)
+    bars = [(s, START + timedelta(minutes=5 * n), rnd.uniform(1, 9), rnd.uniform(1, 9) if rnd.random() < 0.7 else None) for s in "ABC" for n in range(50)]
+    frame = spark.createDataFrame(bars, "symbol string, window_start timestamp, c double, d double")
+    want = {}
+    for series, place in (("c", 2), ("d", 3)):
+        for symbol in "ABC":
+            value = 0.0
+            for row in (r for r in bars if r[0] == symbol):
+                before, value = value, value if row[place] is None else m.ema_step(value, row[place], 38)
+                want[symbol, row[1], series] = (before, None if row[place] is None else value)
+    for size in (1, 7, 10_000):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            got = m.ema(frame, closes={"_c": "c", "_d": "d"}).collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        found = {(r.symbol, r.window_start.replace(tzinfo=timezone.utc), s): (r[f"before38_{s}"], r[f"ema38_{s}"]) for r in got for s in "cd"}
+        assert found == want
+
+
 def test_order_inside_a_window_does_not_matter(spark):
     rows = random_rows(11, n=400, disorder=0)
     shuffled = sorted(rows, key=lambda r: (int(r[2] // 300), random.Random(str(r)).random()))

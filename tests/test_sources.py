@@ -67,13 +67,17 @@ def test_ndjson(spark, tmp_path):
 
 
 def test_topic_records(spark):
-    good = json.dumps({"symbol": "A", "securityType": "E", "price": 42.5, "timestamp": "2021-11-08T09:00:01.000"})
-    records = spark.createDataFrame(
-        [(bytearray(b"A"), bytearray(good.encode()), 3, 17), (None, bytearray(b"junk"), 3, 18)],
-        "key binary, value binary, partition int, offset long",
-    )
-    ticks = kafka.decode_ticks(records).collect()
-    assert [(t.symbol, t.price, t.arrival, t.partition) for t in ticks] == [("A", 42.5, 17, 3)]
+    """Offsets repeat over partitions; an event without a type counts, junk is kept with its reason."""
+    whole = json.dumps({"symbol": "OX", "securityType": "I", "price": 7.5, "timestamp": "2023-01-17T09:00:01.000"})
+    bare = json.dumps({"symbol": "OX", "price": 8, "timestamp": "2023-01-17T09:07:00.000"})
+    rows = [(bytearray(whole.encode()), 3, 17), (bytearray(b"junk"), 3, 18), (bytearray(bare.encode()), 1, 17), (None, 1, 18)]
+    records = spark.createDataFrame(rows, "value binary, partition int, offset long")
+    decoded = kafka.decode_ticks(records)
+    assert {(r.partition, r.status, r.reason) for r in decoded.collect()} == {
+        (3, "accepted", None), (3, "rejected", "unparseable event"), (1, "accepted", None), (1, "skipped", None),
+    }
+    ticks = {tuple(t.arrival): (t.symbol, t.security_type, t.price) for t in i.accepted(decoded).collect()}
+    assert ticks == {(17, 1): ("OX", "", 8.0), (17, 3): ("OX", "I", 7.5)}
 
 
 def test_registry_views(spark):

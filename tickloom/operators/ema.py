@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +15,10 @@ from pyspark.sql import types as T
 from tickloom.schemas import EMA_PERIODS
 
 
+# The smallest weight inside a block of ``ema_by_day``.
+LIGHTEST = 1e-9
+
+
 def alpha(period: int) -> float:
     return 2.0 / (period + 1.0)
 
@@ -29,25 +35,45 @@ def signal(fast: Column, slow: Column, previous_fast: Column, previous_slow: Col
     )
 
 
-def walk(symbols: list, closes: list, period: int, starts, state: tuple) -> tuple[list, list, tuple]:
-    """Averages and previous averages of one batch.
+def averages(closes: np.ndarray, period: int, start: float) -> np.ndarray:
+    """The average before the first close and after each one, with the rounding of ``ema_step``."""
+    keep = 1.0 - alpha(period)
+    return np.fromiter(accumulate((alpha(period) * closes).tolist(), lambda value, part: part + keep * value, initial=start), float)
+
 
-    ``starts`` gives, per row, the average a symbol begins with; ``state``
-    carries (symbol, average) between batches.
+class _Walk:
+    """Averages of all series and periods over batches of bars in order of symbol and time.
+
+    Between batches it keeps the last symbol and one number per average.
     """
-    a, keep = alpha(period), 1.0 - alpha(period)
-    current, value = state
-    values, befores = [], []
-    for symbol, close, start in zip(symbols, closes, starts):
-        if symbol != current:
-            current, value = symbol, start
-        befores.append(value)
-        if close is None:  # no bar in this series: the average stands still
-            values.append(None)
-        else:
-            value = a * close + keep * value
-            values.append(value)
-    return values, befores, (current, value)
+
+    def __init__(self, series: list[str], periods, seed: float, starts: dict[int, str] | None):
+        self.series, self.periods, self.seed, self.starts = series, periods, seed, starts
+        self.symbol: object = self  # no symbol yet
+        self.state: dict = {}
+
+    def columns(self, batch: pa.RecordBatch) -> list[pa.Array]:
+        symbols = batch.column("symbol")
+        codes = symbols.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(codes[1:] != codes[:-1]) + 1).tolist(), len(codes)]
+        closes = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in self.series}
+        out = {(c, p): (np.empty(len(codes)), np.empty(len(codes))) for c in self.series for p in self.periods}
+        for a, b in zip(edges, edges[1:]):
+            symbol = symbols[a].as_py() if b > a else self.symbol
+            if symbol != self.symbol:
+                firsts = {p: batch.column(self.starts[p])[a].as_py() if self.starts else self.seed for p in self.periods}
+                self.symbol, self.state = symbol, {k: firsts[k[1]] for k in out}
+            for column in self.series:
+                own = closes[column][a:b]
+                there = ~np.isnan(own)  # no bar in this series: the average stands still
+                place = np.cumsum(there)
+                for p in self.periods:
+                    found = averages(own[there], p, self.state[column, p])
+                    after, before = out[column, p]
+                    before[a:b] = found[place - there]
+                    after[a:b] = np.where(there, found[place], np.nan)
+                    self.state[column, p] = float(found[-1])
+        return [pa.array(x, pa.float64(), from_pandas=True) for c in self.series for p in self.periods for x in out[c, p]]
 
 
 def ema(
@@ -75,17 +101,9 @@ def ema(
     schema = T.StructType(bars.schema.fields + [T.StructField(n, T.DoubleType()) for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        states: dict = {}
+        walk = _Walk(list(series.values()), periods, seed, starts)
         for batch in batches:
-            symbols = batch.column("symbol").to_pylist()
-            extra = []
-            for column in series.values():
-                values = batch.column(column).to_pylist()
-                for p in periods:
-                    first = batch.column(starts[p]).to_pylist() if starts else repeat(seed)
-                    new, old, states[column, p] = walk(symbols, values, p, first, states.get((column, p), (None, seed)))
-                    extra += [pa.array(new, pa.float64()), pa.array(old, pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *walk.columns(batch)], names=[*batch.schema.names, *names])
 
     ordered = bars.repartition("symbol").sortWithinPartitions("symbol", "window_start")
     return ordered.mapInArrow(run, schema)
@@ -115,21 +133,26 @@ def advisories(points: DataFrame) -> DataFrame:
 def ema_by_day(bars: DataFrame, period: int, seed: float = 0.0) -> DataFrame:
     """EMA values without a sequential pass: parallel inside a symbol, JVM-side only.
 
-    Within a day the average is a weighted sum (a window per symbol and day, at
-    most 288 five-minute bars); days are chained over one (weight, value) pair
-    each, a list bounded by the calendar. Rounds differently from ``ema`` in the
-    last digits, so use it for values, not for signals.
+    Within a block of a day's bars the average is a weighted sum; a block ends
+    before its first bar's weight falls below LIGHTEST, so no sum is divided by a
+    vanishing one. Blocks are chained over one (weight, value) pair each, a list
+    bounded by the calendar. Rounds differently from ``ema`` in the last digits,
+    so use it for values, not for signals.
     """
     a, keep = alpha(period), 1.0 - alpha(period)
-    dated = bars.withColumn("day", F.to_date("window_start"))
-    in_day = Window.partitionBy("symbol", "day").orderBy("window_start")
-    place = dated.withColumn("i", F.row_number().over(in_day))
+    if keep <= 0:
+        return bars.withColumn(f"ema{period}", F.col("close").cast("double"))
+    size = max(1, int(math.log(LIGHTEST) / math.log(keep)))
+    in_day = Window.partitionBy("symbol", F.to_date("window_start")).orderBy("window_start")
+    numbered = bars.withColumn("n", F.row_number().over(in_day) - 1)
+    block = F.struct(F.to_date("window_start").alias("day"), F.floor(F.col("n") / size).cast("int").alias("part"))
+    place = numbered.withColumn("day", block).withColumn("i", F.pmod("n", F.lit(size)) + 1).drop("n")
     weight = F.pow(F.lit(keep), F.col("i"))
-    upto = in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = Window.partitionBy("symbol", "day").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = place.withColumn("own", F.sum(F.lit(a) * F.col("close") / weight).over(upto) * weight)
     days = local.groupBy("symbol", "day").agg(F.max("i").alias("n"), F.max_by("own", "i").alias("own"))
 
-    start = F.struct(F.lit(float(seed)).alias("value"), F.expr("cast(array() as array<struct<day:date,carry:double>>)").alias("out"))
+    start = F.struct(F.lit(float(seed)).alias("value"), F.expr("cast(array() as array<struct<day:struct<day:date,part:int>,carry:double>>)").alias("out"))
 
     def chain(state: Column, day: Column) -> Column:
         value = F.pow(F.lit(keep), day["n"]) * state["value"] + day["own"]

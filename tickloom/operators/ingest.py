@@ -115,14 +115,18 @@ def event_json(events: DataFrame) -> DataFrame:
     return events.select(F.col("symbol").alias("key"), F.to_json(body).alias("value"))
 
 
-def parse_event_json(df: DataFrame, value: str = "value", zone: str = MARKET_ZONE) -> DataFrame:
-    """JSON text → event columns with ``status`` and ``reason``; blank lines are skipped."""
+def parse_event_json(df: DataFrame, value: str = "value", zone: str = MARKET_ZONE, typed: bool = True) -> DataFrame:
+    """JSON text → event columns with ``status`` and ``reason``; blank lines are skipped.
+
+    Without ``typed`` an event needs no security type; an absent one is ''.
+    """
     text = F.col(value).cast("string")
     body = F.from_json(text, EVENT_JSON_DDL, {"mode": "PERMISSIVE"})
     rows = df.withColumn("__e", body).withColumn("event_ts", event_instant(F.col("__e.timestamp"), zone))
+    kind = F.col("__e.securityType") if typed else F.coalesce("__e.securityType", F.lit(""))
     whole = (
         F.col("__e.symbol").isNotNull()
-        & F.col("__e.securityType").isNotNull()
+        & kind.isNotNull()
         & F.col("__e.price").isNotNull()
         & F.col("event_ts").isNotNull()
     )
@@ -136,7 +140,7 @@ def parse_event_json(df: DataFrame, value: str = "value", zone: str = MARKET_ZON
             "status": status,
             "reason": F.when(status == REJECTED, F.lit("unparseable event")),
             "symbol": F.col("__e.symbol"),
-            "security_type": F.col("__e.securityType"),
+            "security_type": kind,
             "price": F.col("__e.price"),
             "event_ts": F.col("event_ts"),
         },

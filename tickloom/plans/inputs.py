@@ -79,6 +79,22 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as topic records of six partitions with offsets of their own; some lack the type, some are broken."""
+    e = F.col("event_id")
+    body = F.struct(
+        F.col("event_type").alias("symbol"),
+        F.when(e % 7 != 0, F.when(F.col("user_id") % 10 == 0, "I").otherwise("E")).alias("securityType"),
+        F.when(e % 17 != 0, F.col("value")).alias("price"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
+    )
+    partition = F.pmod("user_id", F.lit(6)).cast("int")
+    offset = F.row_number().over(Window.partitionBy("partition").orderBy("event_id")) - 1
+    rows = table(spark, sf_dir, "events").where("value > 0").withColumn("partition", partition)
+    value = F.when(e % 29 == 0, F.lit(" ")).when(e % 13 == 0, F.lit('{"symbol":')).otherwise(F.to_json(body))
+    return rows.select("partition", offset.cast("bigint").alias("offset"), value.alias("value"))
+
+
 def filed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as rows of daily files: source_file, block_start (a split per three hours), row_id."""
     day = F.date_format("ts", "yyyy-MM-dd")

@@ -21,9 +21,9 @@ from tickloom.operators import replay as rp
 from tickloom.operators import telemetry as t
 from tickloom.plans import inputs as src
 from tickloom.plans.inputs import DAYS, plain
-from tickloom.schemas import POSITIONAL
+from tickloom.schemas import POINT_JSON_DDL, POSITIONAL
 from tickloom.session import work_dir
-from tickloom.sources import files, tables
+from tickloom.sources import files, kafka, tables
 from tickloom.streaming import crossover, exact
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,11 +88,21 @@ def ema_by_day(spark, sf):
     return plain(m.ema_by_day(b.bars(src.ticks(spark, sf)), 38), 6)
 
 
+@query
+def ema_by_minute(spark, sf):
+    """Many bars a day: several blocks, each with weights of its own."""
+    return plain(m.ema_by_day(b.bars(src.ticks(spark, sf), "1 minute"), 3), 6)
+
+
+@query
+def ema_of_one(spark, sf):
+    return plain(m.ema_by_day(b.bars(src.ticks(spark, sf)), 1), 6)
+
+
 @query
 def point_records(spark, sf):
-    schema = "symbol STRING, signal STRING, close DOUBLE, windowStart DOUBLE, windowEnd DOUBLE"
     records = h.point_records(_points(spark, sf))
-    return records.select("key", F.from_json("value", schema).alias("v")).select("key", "v.*")
+    return plain(records.select("key", F.from_json("value", POINT_JSON_DDL).alias("v")).select("key", "v.*"), 6)
 
 
 # -- registry and history ------------------------------------------------------
@@ -286,6 +296,23 @@ def ndjson_ingest(spark, sf):
     return plain(back.select("symbol", "security_type", "price", "event_ts"))
 
 
+@query
+def topic_decode(spark, sf):
+    decoded = kafka.decode_ticks(src.topic_records(spark, sf))
+    columns = ["partition", "arrival.offset", "status", "reason", "symbol", "security_type", "price", "event_ts"]
+    return plain(decoded.select(*columns).where("status <> 'rejected'").unionByName(decoded.where("status = 'rejected'").select(
+        "partition", "arrival.offset", "status", "reason", *[F.lit(None).cast(t).alias(c) for c, t in (
+            ("symbol", "string"), ("security_type", "string"), ("price", "double"), ("event_ts", "timestamp"))]
+    )))
+
+
+@query
+def window_crossings_by_topic(spark, sf):
+    ticks = i.accepted(kafka.decode_ticks(src.topic_records(spark, sf))).repartition(7, "price")  # no order to rely on
+    found = rp.window_crossings(ticks)
+    return plain(found.select("arrival.offset", "arrival.partition", "symbol", "event_ts", "window_start", "closes"))
+
+
 @query
 def positional_ingest(spark, sf):
     out = work_dir(spark, "positional")
@@ -615,7 +642,7 @@ def latency_cdf(spark, sf):
 
 @query
 def value_percentiles(spark, sf):
-    return plain(t.percentiles(src.table(spark, sf, "lineitem"), "l_extendedprice", t.LATENCY_FRACTIONS, ["l_returnflag"], None), 4)
+    return plain(t.percentiles(src.table(spark, sf, "lineitem"), "l_extendedprice", t.LATENCY_FRACTIONS, ["l_returnflag"]), 4)
 
 
 @query
@@ -810,6 +837,22 @@ def stream_exact_points(spark, sf):
     return plain(spark.read.parquet(f"{out}/history").drop("batch_id", "day"), 6)
 
 
+@query
+def stream_advisories(spark, sf):
+    ticks, out = _tick_files(spark, sf, "type")
+    run = crossover.write_points(crossover.stream_points(ticks), out, f"{out}/checkpoint").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return plain(spark.read.parquet(f"{out}/advisories").drop("batch_id"), 6)
+
+
+@query
+def stream_exact_advisories(spark, sf):
+    ticks, out = _tick_files(spark, sf, "type", shuffled=True)
+    run = exact.write_exact_points(ticks, out, f"{out}/checkpoint").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return plain(spark.read.parquet(f"{out}/advisories").drop("batch_id"), 6)
+
+
 @query
 def stream_registry(spark, sf):
     ticks, out = _tick_files(spark, sf, "user")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tickloom.operators.ingest import ACCEPTED, parse_event_json
+from tickloom.operators.ingest import parse_event_json
 from tickloom.schemas import MARKET_ZONE
 
 FORMAT = "kafka"
@@ -26,11 +26,14 @@ def read_snapshot(spark: SparkSession, servers: str, topic: str, **options: str)
 
 
 def decode_ticks(records: DataFrame, zone: str = MARKET_ZONE) -> DataFrame:
-    """Topic records → ticks: arrival is the offset, the clock that decides lateness is the partition's."""
-    parsed = parse_event_json(records.select("value", "partition", F.col("offset").alias("arrival")), zone=zone)
-    return parsed.where(F.col("status") == ACCEPTED).select(
-        "symbol", "security_type", "price", "event_ts", "arrival", "partition"
-    )
+    """Topic records → ticks with ``status`` and ``reason``; keep the accepted ones and quarantine the rejected.
+
+    Arrival is (offset, partition): offsets repeat over partitions, and an arrival
+    is unique. The clock that decides lateness is the partition's. An event needs
+    no security type.
+    """
+    arrival = F.struct("offset", "partition").alias("arrival")
+    return parse_event_json(records.select("value", "partition", arrival), zone=zone, typed=False)
 
 
 def write_records(records: DataFrame, servers: str, topic: str, checkpoint: str | None = None) -> DataStreamWriter | None:

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tickloom.operators.bars import recency
-from tickloom.operators.ema import advisories, walk
+from tickloom.operators.ema import advisories, averages
 from tickloom.operators.registry import symbol_registry
 from tickloom.schemas import BAR_SIZE, EMA_PERIODS, POINT
 from tickloom.session import STATE_STORE
@@ -55,13 +55,10 @@ class CrossoverProcessor(StatefulProcessor):
         symbol = key[0]
         points = pd.concat(list(rows)).sort_values("window_start").assign(symbol=symbol)
         state = tuple(self.averages.get()) if self.averages.exists() else (0.0, 0.0)
-        closes = points["close"].tolist()
-        names = [symbol] * len(closes)
-        (fast, fast0, (_, last_fast)), (slow, slow0, (_, last_slow)) = (
-            walk(names, closes, period, closes, (symbol, value)) for period, value in zip(self.periods, state)
-        )
-        self.averages.update((last_fast, last_slow))
-        fast, fast0, slow, slow0 = (np.array(x) for x in (fast, fast0, slow, slow0))
+        closes = points["close"].to_numpy(float)
+        found = [averages(closes, period, start) for period, start in zip(self.periods, state)]
+        self.averages.update(tuple(float(x[-1]) for x in found))
+        (fast0, fast), (slow0, slow) = ((x[:-1], x[1:]) for x in found)
         crossed = np.full(len(closes), None, dtype=object)
         crossed[(fast > slow) & (fast0 <= slow0)] = "BUY"
         crossed[(fast < slow) & (fast0 >= slow0)] = "SELL"
