@@ -31,10 +31,14 @@ def file_starts(events: DataFrame) -> DataFrame:
 def with_arrival(events: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     """Add ``arrival``: files by first event time (then path), then row order inside the file.
 
-    The struct compares field by field, so no global sort or row number is made.
+    Where rows have a ``source_rank``, files of a smaller rank come first. The
+    struct compares field by field, so no global sort or row number is made. There
+    is a row per file in ``starts``; stored and passed in, its measured size lets
+    Spark join it without moving the events.
     """
     starts = file_starts(events) if starts is None else starts
-    arrival = F.struct("file_start", "source_file", "block_start", "row_id").alias("arrival")
+    rank = ["source_rank"] if "source_rank" in events.columns else []
+    arrival = F.struct(*rank, "file_start", "source_file", "block_start", "row_id").alias("arrival")
     joined = events.join(starts, "source_file")
     return joined.select(*[c for c in events.columns], arrival)
 

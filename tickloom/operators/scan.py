@@ -26,12 +26,12 @@ def arrival_block(df: DataFrame, arrival: str = "arrival", rows: int = BLOCK_ROW
     """The block of an arrival value; blocks follow the arrival order.
 
     Integers (sequence numbers) are cut every ``rows`` values, and so is a struct
-    led by one (a topic's offset and partition); any other struct is cut by all
+    led by a BIGINT (a topic's offset and partition); any other struct is cut by all
     fields but its last one, i.e. by file split.
     """
     kind = df.schema[arrival].dataType
     if isinstance(kind, T.StructType):
-        if isinstance(kind[0].dataType, T.IntegralType):
+        if isinstance(kind[0].dataType, T.LongType):
             return F.expr(f"`{arrival}`.`{kind[0].name}` div {rows}")
         return F.struct(*[F.col(arrival)[name].alias(name) for name in kind.fieldNames()[:-1]])
     return F.expr(f"`{arrival}` div {rows}")

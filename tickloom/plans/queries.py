@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.hashing import partition_of
@@ -24,7 +24,7 @@ from tickloom.plans.inputs import DAYS, plain
 from tickloom.schemas import POINT_JSON_DDL, POSITIONAL
 from tickloom.session import work_dir
 from tickloom.sources import files, kafka, tables
-from tickloom.streaming import crossover, exact
+from tickloom.streaming import crossover, exact, metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -287,6 +287,41 @@ def csv_ingest(spark, sf):
     return i.status_counts(i.classify(files.read_ticks_csv(spark, out)))
 
 
+@query
+def csv_mixed_headers(spark, sf):
+    """Two deliveries of one folder whose columns are in another order."""
+    out = work_dir(spark, "mixed")
+    raw = src.raw_rows(spark, sf)
+    for rest, columns in ((0, raw.columns), (1, raw.columns[::-1])):
+        half = raw.where(F.col("event_id") % 2 == rest).select(*[F.col(f"`{c}`") for c in columns if c != "event_id"])
+        half.write.mode("append").option("header", True).csv(out)
+    return i.status_counts(i.classify(files.read_ticks_csv(spark, out)))
+
+
+@query
+def mixed_inputs_order(spark, sf):
+    """CSV files come before NDJSON files, whatever their times; inside a file the rows keep their order."""
+    out = work_dir(spark, "inputs")
+    raw = src.raw_rows(spark, sf)
+    csv = raw.where("event_id % 2 = 1").orderBy("event_id").drop("event_id").coalesce(1)
+    csv.write.option("header", True).csv(f"{out}/csv")
+    lines = i.event_json(i.accepted(i.classify(raw.where("event_id % 2 = 0"))).orderBy("event_id").coalesce(1))
+    lines.select("value").write.text(f"{out}/ndjson")
+    ticks = rp.with_arrival(i.accepted(files.read_inputs(spark, f"{out}/csv", f"{out}/ndjson")))
+    place = F.row_number().over(Window.orderBy("arrival")).cast("bigint")
+    return plain(ticks.select(place.alias("place"), "symbol", "price", "event_ts"))
+
+
+@query
+def followed_ndjson(spark, sf):
+    out = work_dir(spark, "followed")
+    i.event_json(i.accepted(i.classify(src.raw_rows(spark, sf)))).select("value").write.text(f"{out}/in")
+    ticks = files.follow_ndjson(spark, f"{out}/in", 1).where("status = 'accepted'")
+    writer = ticks.select("symbol", "security_type", "price", "event_ts").writeStream.option("checkpointLocation", f"{out}/c")
+    writer.trigger(availableNow=True).start(path=f"{out}/rows", format="parquet").awaitTermination()
+    return plain(spark.read.parquet(f"{out}/rows"))
+
+
 @query
 def ndjson_ingest(spark, sf):
     out = work_dir(spark, "ndjson")
@@ -537,6 +572,48 @@ def dense_grid(spark, sf):
     return plain(p.dense(series, ["name"], start, "15 minutes", 7 * 96))
 
 
+def _rollups(spark: SparkSession, sf: str) -> tuple[dict[str, DataFrame], str]:
+    """The three rollups written and read again, as a summary that resumes from them does."""
+    out = work_dir(spark, "profile")
+    p.write_rollups(src.facts(spark, sf), out)
+    return p.read_rollups(spark, out), out
+
+
+@query
+def stored_minute_totals(spark, sf):
+    return plain(_rollups(spark, sf)[0]["minute_totals"], 4)
+
+
+@query
+def resumed_totals(spark, sf):
+    return plain(p.summary(_rollups(spark, sf)[0])["totals"], 4)
+
+
+@query
+def summary_files(spark, sf):
+    rollups, out = _rollups(spark, sf)
+    p.write_summary(rollups, out)
+    return plain(spark.read.schema("day DATE, events BIGINT, price_events BIGINT, volume DOUBLE").json(f"{out}/summary/by_day"), 4)
+
+
+@query
+def ranking_file(spark, sf):
+    rollups, out = _rollups(spark, sf)
+    p.write_summary(rollups, out)
+    schema = p.price_ranking(p.symbol_totals(rollups["symbol_minute"])).schema
+    return plain(spark.read.schema(schema).option("header", True).csv(f"{out}/price_events_by_symbol"), 9)
+
+
+@query
+def sparse_rows(spark, sf):
+    """Rows of two shapes in one CSV file set."""
+    out = f"{work_dir(spark, 'sparse')}/rows"
+    nations = src.table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("key"), F.col("n_name").alias("nation"))
+    regions = src.table(spark, sf, "region").select(F.col("r_regionkey").cast("string").alias("key"), F.col("r_name").alias("region"))
+    tables.write_sparse_csv([nations, regions], out)
+    return spark.read.option("header", True).csv(out)
+
+
 @query
 def tracked_records(spark, sf):
     sym_min = _stored(_sym_min(spark, sf))
@@ -837,6 +914,22 @@ def stream_exact_points(spark, sf):
     return plain(spark.read.parquet(f"{out}/history").drop("batch_id", "day"), 6)
 
 
+@query
+def stream_progress(spark, sf):
+    """Rows read and rows dropped as late, from the progress of every micro-batch."""
+    ticks, out = _tick_files(spark, sf, "type")
+    log = metrics.ProgressLog(spark, f"{out}/progress", every=2)
+    spark.streams.addListener(log)
+    try:
+        run = crossover.write_points(crossover.stream_points(ticks), out, f"{out}/checkpoint").trigger(availableNow=True).start()
+        run.awaitTermination()
+        log.ended.wait(60)
+        rows = log.frame()
+    finally:
+        spark.streams.removeListener(log)
+    return rows.agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))
+
+
 @query
 def stream_advisories(spark, sf):
     ticks, out = _tick_files(spark, sf, "type")

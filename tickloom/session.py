@@ -36,6 +36,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def check_utc(spark: SparkSession) -> None:
+    """Wall clocks become instants by the session's zone, so sources refuse any but UTC instead of being hours off."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone.upper() not in ("UTC", "ETC/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"spark.sql.session.timeZone is {zone}; set it to UTC, for instance with session.use_utc")
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.operators.ingest import normalise_headers, parse_event_json
+from tickloom.operators.ingest import classify, normalise_headers, parse_event_json
 from tickloom.schemas import MARKET_ZONE, POSITIONAL
+from tickloom.session import check_utc
 
 
 def _with_position(df: DataFrame) -> DataFrame:
@@ -37,27 +40,52 @@ def discover_inputs(spark: SparkSession, paths: list[str]) -> DataFrame:
     return listing.where(named | F.lower("path").endswith(".csv"))
 
 
+def _by_header(spark: SparkSession, paths: list[str], options: dict) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header line; every header is read by a small job of its own, several at a time."""
+    found: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        headers = pool.map(lambda path: tuple(spark.read.options(**options).csv(path).columns), paths)
+        for path, header in zip(paths, headers):
+            found.setdefault(header, []).append(path)
+    return found
+
+
 def read_ticks_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Headered CSV as text columns with normalised names, plus ``source_file``, ``block_start``, ``row_id``.
 
-    ``#`` lines are comments, quotes are doubled inside quoted fields. Columns
-    are named by the first file's header; a file whose header differs in order
-    is an error rather than silently misread (read such files apart).
+    ``#`` lines are comments, quotes are doubled inside quoted fields. A folder
+    stands for its ``*.csv`` files. Columns are named by each file's own header,
+    so files may differ in their order; a column a file lacks is NULL.
     """
-    reader = spark.read.option("header", True).option("comment", "#").option("quote", '"').option("escape", '"')
-    names = reader.csv(paths).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    rows = reader.schema(schema).option("enforceSchema", False).csv(paths)
-    return normalise_headers(_with_position(rows))
+    check_utc(spark)
+    options = {"header": True, "comment": "#", "quote": '"', "escape": '"'}
+    files = [r.path for r in discover_inputs(spark, [paths] if isinstance(paths, str) else paths).orderBy("path").collect()]
+    frames = []
+    for header, group in _by_header(spark, files, options).items():
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+        rows = spark.read.options(**options, enforceSchema=False).schema(schema).csv(group)
+        frames.append(normalise_headers(_with_position(rows)))
+    if not frames:
+        raise ValueError(f"no CSV file in {paths}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def read_inputs(spark: SparkSession, csv: str | list[str], ndjson: str | list[str], zone: str = MARKET_ZONE) -> DataFrame:
+    """Events of CSV and NDJSON inputs with ``status``, ``reason`` and ``source_rank``: in a replay all CSV files come first."""
+    columns = ["status", "reason", "symbol", "security_type", "price", "event_ts", "source_file", "block_start", "row_id"]
+    first = classify(read_ticks_csv(spark, csv)).select(*columns, F.lit(0).alias("source_rank"))
+    return first.unionByName(read_ticks_ndjson(spark, ndjson, zone).select(*columns, F.lit(1).alias("source_rank")))
 
 
 def read_positional(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """39 text columns ``c00``…``c38`` by position; short rows are padded with NULL, no quoting."""
+    check_utc(spark)
     return spark.read.schema(POSITIONAL).option("comment", "#").option("quote", "").option("mode", "PERMISSIVE").csv(paths)
 
 
 def read_ticks_ndjson(spark: SparkSession, paths: str | list[str], zone: str = MARKET_ZONE) -> DataFrame:
     """One JSON event per line → event columns with ``status`` and ``reason`` and the row's position."""
+    check_utc(spark)
     return parse_event_json(_with_position(spark.read.text(paths)), zone=zone).drop("value")
 
 
@@ -66,6 +94,7 @@ def follow_ndjson(spark: SparkSession, folder: str, files_per_trigger: int | Non
 
     ``arrival`` orders rows by file time, path and position.
     """
+    check_utc(spark)
     reader = spark.readStream.format("text")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tickloom.operators.ingest import parse_event_json
 from tickloom.schemas import MARKET_ZONE
+from tickloom.session import check_utc
 
 FORMAT = "kafka"
 
@@ -32,6 +33,7 @@ def decode_ticks(records: DataFrame, zone: str = MARKET_ZONE) -> DataFrame:
     is unique. The clock that decides lateness is the partition's. An event needs
     no security type.
     """
+    check_utc(records.sparkSession)
     arrival = F.struct("offset", "partition").alias("arrival")
     return parse_event_json(records.select("value", "partition", arrival), zone=zone, typed=False)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from threading import Lock
+from threading import Event, Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
@@ -38,6 +38,7 @@ class ProgressLog(StreamingQueryListener):
         self.spark, self.path, self.every = spark, path, every
         self.waiting: list[tuple] = []
         self.lock = Lock()
+        self.ended = Event()  # set when a query has ended and its rows are written
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -50,6 +51,7 @@ class ProgressLog(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:
         self.flush()
+        self.ended.set()
 
     def add(self, row: tuple) -> None:
         with self.lock:
