@@ -53,19 +53,45 @@ def shared_texts(seed, n=60):
     return docs
 
 
-@pytest.mark.parametrize("seed, key_docs, letters", [(1, 50_000, 1_000_000), (2, 3, 120)])
-def test_passages_against_all_windows(spark, monkeypatch, seed, key_docs, letters):
+@pytest.mark.parametrize("seed, key_docs", [(1, 50_000), (2, 3)])
+def test_passages_against_all_windows(spark, monkeypatch, seed, key_docs):
     monkeypatch.setattr(phrases, "KEY_DOCS", key_docs)  # read where the plan is made: spreads every key over shards
     docs = shared_texts(seed)
     found = phrases.repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     rows = {r.doc_id: (r.n_words, sum(x.end - x.start for x in r.ranges), r.kept_sha256) for r in found}
     assert rows == plain(docs)
-    monkeypatch.setattr(phrases, "LETTERS", letters)  # several automata in one shard
-    shard = phrases.Shard()
-    words = [f"{i}".encode() for i in range(300)]
-    for at in range(0, 240, 10):
-        shard.add(1, words[at : at + 55], [(0, at), (5, at + 5)])
-    assert sorted(shard.locate(1, words)) == sorted((x, x) for at in range(0, 240, 10) for x in (at, at + 5))
+
+
+@pytest.mark.parametrize("seeds, letters", [(32, 1_000_000), (0, 1_000_000), (32, 150), (0, 150)])
+def test_shard_finds_every_window(monkeypatch, seeds, letters):
+    """By seeds or by windows, in one automaton or several, repeated words or not."""
+    monkeypatch.setattr(phrases, "SEEDS", seeds)
+    monkeypatch.setattr(phrases, "LETTERS", letters)
+    rng = random.Random(9)
+    for vocabulary in ([f"{i}" for i in range(500)], ["a", "b"], ["a"]):
+        words = rng.choices(vocabulary, k=400)
+        shard, owners = phrases.Shard(), {}
+        for at in range(0, 340, 20):
+            text = " ".join(words[at : at + 60]).encode()
+            for key, start, n in zip(*(x.tolist() for x in phrases.keyed_runs(text))):
+                part = text.split()[start : start + n + 49]
+                shard.add(key, b" ".join(part), [(i, 7) for i in range(n)])
+                owners.setdefault(key, set()).update(tuple(part[i : i + 50]) for i in range(n))
+        target = " ".join(words[5:390] + ["new"] + words[100:180]).encode()
+        for key, start, n in zip(*(x.tolist() for x in phrases.keyed_runs(target))):
+            part = target.split()[start : start + n + 49]
+            want = [(i, 7) for i in range(n) if tuple(part[i : i + 50]) in owners.get(key, ())]
+            assert [h for h in shard.locate(key, b" ".join(part))] == want
+
+
+def test_word_hashes():
+    text = " tick\x0btock\x85 tick\n\nÜber tick ".encode()
+    hashes, starts = phrases.hashes_of(text)
+    assert [text[s:].split()[0] for s in starts] == text.split()
+    assert hashes[0] == hashes[2] == hashes[4] and len(set(hashes.tolist())) == 3
+    assert len(phrases.hashes_of(b"")[0]) == len(phrases.hashes_of(b" \n ")[0]) == 0
+    long = phrases.hashes_of(b"x" * 200_000 + b" y")[0]
+    assert long[1] == phrases.hashes_of(b"y")[0][0]
 
 
 def test_rolling_and_smallest():

@@ -30,6 +30,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, name)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()  # Spark's cleaner then drops the shuffle files that led to this table
     return spark.read.schema(df.schema).parquet(path)
 
 

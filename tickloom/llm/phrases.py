@@ -10,7 +10,8 @@ removed. The windows of all documents are never shuffled; the steps are:
    window of two documents is a confirmed phrase, owned by the smallest id.
 3. The phrases are dealt to shards by key, a bounded number to each. A shard compiles them to an Aho-Corasick automaton
    whose letters are words, and all stretches with the shard's keys stream through it, which locates every occurrence,
-   word by word and whatever the hashes said. A key of very many documents is spread over several shards, its phrases
+   word by word and whatever the hashes said: the automaton finds the words of the key, and the phrases around them are
+   compared there; a key with many phrases has each of their windows as a pattern. A key of very many documents is spread over several shards, its phrases
    copied to each of them, its stretches dealt out.
 4. Occurrences owned by a smaller id are joined back to their documents.
 
@@ -33,23 +34,33 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import batch_of, blocks, stored, texts_of, worker_cache
+from tickloom.llm.common import batch_of, blocks, bounds, gather, stored, texts_of, worker_cache
 
-SPAN, GRAM = 50, 25
+SPAN, GRAM = 50, 12
 STRETCH = 64  # windows of one stretch at most; longer ones are cut
-SHARD_PHRASES = 20_000  # phrases of a shard on average: about a million letters
+SHARD_PHRASES = 100_000  # windows of a shard's phrases on average: about half a million words
 LETTERS = 1_000_000  # different words of one automaton
+SEEDS = 32  # phrases of one key that are compared one by one where the key's words are found
 KEY_DOCS = 50_000  # documents of a key that go to one shard
 LAST = (1 << 63) - 1  # stands for a null id
 _BASE = 0x9E3779B97F4A7C15
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
+_VALUES = np.random.default_rng(50).integers(0, 1 << 63, 256).astype(np.uint64)  # one number per byte
+_BLANK = np.zeros(256, bool)
+_BLANK[list(b" \t\n\x0b\x0c\r")] = True
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base**0, base**1, ... modulo 2**64; at least n of them."""
+    size = 1 << max(n, 1 << 16).bit_length()
+
+    def make() -> np.ndarray:
+        found = np.full(size, base, np.uint64)
+        found[0] = 1
+        return np.multiply.accumulate(found)
+
+    return worker_cache(f"powers {base} {size}", make)
 
 
 def _power(n: int) -> np.uint64:
@@ -86,16 +97,24 @@ def smallest(values: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(values[: len(values) - more], values[more:]) if more else values
 
 
-def hashes_of(words: list[bytes]) -> np.ndarray:
-    table: _Hashes = worker_cache("phrase words", _Hashes)
-    return np.fromiter(map(table.__getitem__, words), np.uint64, len(words))
+def hashes_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word, a polynomial in its bytes, and where the words start."""
+    data = np.frombuffer(text, np.uint8)
+    blank = np.concatenate(([True], _BLANK[data], [True]))
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_VALUES[data] * _powers(_BASE, len(data))[: len(data)])))
+    found = (sums[ends] - sums[starts]) * _powers(pow(_BASE, -1, 1 << 64), len(data))[starts]
+    found = (found ^ (found >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return found ^ (found >> np.uint64(31)), starts
 
 
-def keyed_runs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def keyed_runs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Key, first window and number of windows of each run of windows with one key."""
-    if len(words) < SPAN:
+    hashes, _ = hashes_of(text)
+    if len(hashes) < SPAN:
         return np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32)
-    keys = smallest(rolling(hashes_of(words), GRAM), SPAN - GRAM + 1)
+    keys = smallest(rolling(hashes, GRAM), SPAN - GRAM + 1)
     fresh = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     sizes = np.diff(np.concatenate((fresh, [len(keys)])))
     cuts = -(-sizes // STRETCH)
@@ -119,7 +138,7 @@ def _own(ids: list) -> list[int]:
 def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ids, texts in blocks(batches):
         words = [(t or b"").split() for t in texts]
-        found = [keyed_runs(w) for w in words]
+        found = [keyed_runs(t or b"") for t in texts]
         yield batch_of(
             doc_id=pa.array(ids, pa.int64()),
             own=pa.array(_own(ids), pa.int64()),
@@ -159,13 +178,15 @@ def _stretches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hash, place (stretch number and window in one number), smallest and largest document of each window."""
     for batch in batches:
-        texts = [t.as_py().split() for t in batch.column("text")]
-        hashes = [rolling(hashes_of(w), SPAN) for w in texts]
-        sizes = np.array([len(h) for h in hashes], np.int64)
+        texts = batch.column("text").to_pylist()
+        hashes, starts = hashes_of(b"\n".join(texts))
+        windows = rolling(hashes, SPAN)
+        first_word = np.searchsorted(starts, bounds(len(t) + 1 for t in texts))
+        sizes = np.diff(first_word) - SPAN + 1
         number, first, last = (batch.column(c).to_numpy() for c in ("number", "first", "last"))
-        place = np.concatenate([np.arange(n) for n in sizes]) if len(sizes) else np.empty(0, np.int64)
+        place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         yield batch_of(
-            window=pa.array(np.concatenate(hashes).view(np.int64) if hashes else place),
+            window=pa.array(gather(windows, first_word[:-1], sizes).view(np.int64)),
             place=pa.array(np.repeat(number, sizes) * STRETCH + place),
             first=pa.array(np.repeat(first, sizes)),
             last=pa.array(np.repeat(last, sizes)),
@@ -173,39 +194,76 @@ def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Shard:
-    """Phrases of SPAN words as automata whose letters are words; a new one begins when the letters run out."""
+    """Phrases as automata whose letters are words; a new automaton begins when the letters run out.
+
+    All phrases of one key contain the key's GRAM words. An automaton finds these and the phrases are compared there. Where
+    a key has more than SEEDS of them, each of their windows is a pattern of its own instead.
+    """
 
     def __init__(self) -> None:
-        self.parts: list[tuple[dict[bytes, str], ahocorasick.Automaton]] = []
-        self.keys: set[int] = set()
-        self.ready = False
-
-    def add(self, key: int, words: list[bytes], places: Iterable[tuple[int, int]]) -> None:
-        if not self.parts or len(self.parts[-1][0]) + len(words) > LETTERS:
-            self.parts.append(({}, ahocorasick.Automaton()))
-        letters, automaton = self.parts[-1]
-        for word in words:
-            if word not in letters:
-                code = len(letters) + 1
-                letters[word] = chr(code if code < 0xD800 else code + 0x800)  # past the surrogates
-        spelled = "".join([letters[w] for w in words])
-        for at, owner in places:
-            automaton.add_word(spelled[at : at + SPAN], owner)
-        self.keys.add(key)
-
-    def locate(self, key: int, words: list[bytes]) -> list[tuple[int, int]]:
-        """(window, owner) of each occurrence of a phrase."""
-        if key not in self.keys:
+        self.phrases: dict[int, list[tuple[bytes, list[tuple[int, int]]]]] = {}
+        self.parts: list[tuple[dict[bytes, str], ahocorasick.Automaton]] | None = None
+
+    def add(self, key: int, text: bytes, places: list[tuple[int, int]]) -> None:
+        """places: (window, owner) in the words of the text."""
+        self.phrases.setdefault(key, []).append((text, places))
+
+    def compile(self) -> None:
+        self.parts = []
+        for key, phrases in self.phrases.items():
+            seeds: dict[str, list] = {}
+            for text, places in phrases:
+                words = text.split()
+                if not self.parts or len(self.parts[-1][0]) + len(words) > LETTERS:
+                    self._seeded(key, seeds)
+                    seeds = {}
+                    self.parts.append(({}, ahocorasick.Automaton()))
+                letters, automaton = self.parts[-1]
+                for word in words:
+                    if word not in letters:
+                        code = len(letters) + 1
+                        letters[word] = chr(code if code < 0xD800 else code + 0x800)  # past the surrogates
+                spelled = "".join([letters[w] for w in words])
+                if len(phrases) > SEEDS:
+                    for at, owner in places:
+                        automaton.add_word(spelled[at : at + SPAN], owner)
+                else:
+                    found = np.flatnonzero(rolling(hashes_of(text)[0], GRAM).view(np.int64) == key).tolist()
+                    for at in found:
+                        seeds.setdefault(spelled[at : at + GRAM], []).append((at, spelled, places))
+            self._seeded(key, seeds)
+        for _, automaton in self.parts:
+            automaton.make_automaton()
+
+    def _seeded(self, key: int, seeds: dict[str, list]) -> None:
+        for gram, found in seeds.items():
+            automaton = self.parts[-1][1]
+            automaton.add_word(gram, automaton.get(gram, []) + [(key, found)])
+
+    def locate(self, key: int, text: bytes) -> list[tuple[int, int]]:
+        """(window, owner) of each occurrence of a phrase's window in the words of the text."""
+        if key not in self.phrases:
             return []
-        if not self.ready:
-            for _, automaton in self.parts:
-                automaton.make_automaton()
-            self.ready = True
-        out = []
+        if self.parts is None:
+            self.compile()
+        words = text.split()
+        out: set[tuple[int, int]] = set()
         for letters, automaton in self.parts:
             spelled = "".join([letters.get(w, "\0") for w in words])
-            out += [(end - SPAN + 1, owner) for end, owner in automaton.iter(spelled)]
-        return out
+            tried = set()
+            for end, value in automaton.iter(spelled):
+                if isinstance(value, int):
+                    out.add((end - SPAN + 1, value))
+                    continue
+                for own, found in value:
+                    for at, phrase, places in found if own == key else ():
+                        shift = end - GRAM + 1 - at
+                        if (shift, id(places)) not in tried:
+                            tried.add((shift, id(places)))
+                            for w, owner in places:
+                                if w + shift >= 0 and phrase[w : w + SPAN] == spelled[w + shift : w + shift + SPAN]:
+                                    out.add((w + shift, owner))
+        return sorted(out)
 
 
 def _locate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,10 +274,9 @@ def _locate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, text in enumerate(batch.column("text")):
             if number[i] != now:
                 shard, now = Shard(), number[i]
-            words = text.as_py().split()
             if of[i] is not None:
-                shard.add(key[i], words, [(p["at"], p["owner"]) for p in of[i]])
-            elif hits := shard.locate(key[i], words):
+                shard.add(key[i], text.as_py(), [(p["at"], p["owner"]) for p in of[i]])
+            elif hits := shard.locate(key[i], text.as_py()):
                 rows.append((key[i], seg[i], [{"at": a, "owner": o} for a, o in hits]))
         kind = pa.list_(pa.struct([("at", pa.int32()), ("owner", pa.int64())]))
         yield batch_of(
@@ -287,7 +344,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     searched = distinct.select("key", "seg", "text", F.lit(None).cast("array<struct<at: int, owner: long>>").alias("places"), F.pmod("number", "cuts").cast("int").alias("cut"))
     both = phrases.unionByName(searched).withColumn("shard", F.pmod(F.xxhash64("key", "cut"), F.lit(shards)))
     both = both.withColumn("later", F.col("places").isNull()).repartition("shard").sortWithinPartitions("shard", "later")
-    located = both.select("shard", "key", "seg", "text", "places").mapInArrow(_locate, "key long, seg long, hits array<struct<at: int, owner: long>>")
+    located = stored(both.select("shard", "key", "seg", "text", "places").mapInArrow(_locate, "key long, seg long, hits array<struct<at: int, owner: long>>"), "located")
 
     hits = places.select("own", "mark", "key", "seg", "start").join(located, ["key", "seg"])
     mine = F.filter("hits", lambda h: h.owner < F.col("own"))
