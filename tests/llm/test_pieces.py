@@ -48,7 +48,7 @@ def test_scores_against_the_library():
     words = "the quick internationalisation of unthinkable Straßenbahn überholt señores déjà 12345 x-ray (foo) naïve".split()
     for word in words:
         ids = next(VOCABULARY.encode_sorted([pieces.MARK + word]))
-        assert total(ids, VOCABULARY) == total(other.encode(word), VOCABULARY)
+        assert total(ids, VOCABULARY) == total(other.nbest_encode(word, nbest_size=2)[0], VOCABULARY)
         assert VOCABULARY.decode(ids).decode() == word
 
 

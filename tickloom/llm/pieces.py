@@ -65,33 +65,45 @@ class Vocabulary:
 
     def __post_init__(self) -> None:
         self.longest = max(map(len, self.scores), default=1)
+        # every beginning of a piece: the piece's score and id, or () where it only begins longer ones
+        self.nodes: dict[str, tuple] = {piece[:n]: () for piece in self.scores for n in range(1, len(piece))} | self.scores
 
     def encode_sorted(self, words: list[str]) -> Iterator[list[int]]:
         """Ids of each word. In sorted order neighbours share most; any order gives the same ids."""
-        scores, longest, none = self.scores, self.longest, (UNKNOWN, -1)
+        node, longest = self.nodes.get, self.longest
         best, back, number = [0.0], [0], [-1]  # by end: the largest sum, where its last piece starts, which piece that is
+        reach: list[int] = []  # by start: how far the vocabulary has a piece beginning like this
         before = ""
         for word in words:
-            same = 0
+            size, same = len(word), 0
             for a, b in zip(before, word):
                 if a != b:
                     break
                 same += 1
-            del best[same + 1 :], back[same + 1 :], number[same + 1 :]
-            for end in range(same + 1, len(word) + 1):
-                start = max(0, end - longest)
-                top, top_start, top_piece = -np.inf, end - 1, -1
-                while start < end - 1:
-                    found = scores.get(word[start:end])
-                    if found is not None and best[start] + found[0] > top:
-                        top, top_start, top_piece = best[start] + found[0], start, found[1]
-                    start += 1
-                found = scores.get(word[start:end], none)
-                if best[start] + found[0] > top:
-                    top, top_start, top_piece = best[start] + found[0], start, found[1]
-                best.append(top)
-                back.append(top_start)
-                number.append(top_piece)
+            fresh = size - same
+            best[same + 1 :] = [-np.inf] * fresh
+            back[same + 1 :] = [0] * fresh
+            number[same + 1 :] = [-1] * fresh
+            del reach[same:]
+            for start in range(max(0, same - longest), size):
+                sum_here = best[start]
+                if start < same:
+                    if reach[start] < same:
+                        continue
+                    end = same + 1
+                else:
+                    reach.append(start)
+                    end = start + 1
+                    if not node(word[start]) and sum_here + UNKNOWN > best[end]:
+                        best[end], back[end], number[end] = sum_here + UNKNOWN, start, -1
+                while end <= size:
+                    found = node(word[start:end])
+                    if found is None:
+                        break
+                    if found and sum_here + found[0] > best[end]:
+                        best[end], back[end], number[end] = sum_here + found[0], start, found[1]
+                    end += 1
+                reach[start] = end - 1
             before = word
             ids: list[int] = []
             end = len(word)
