@@ -45,33 +45,39 @@ def speller(path: str) -> Callable[[bytes], Iterable[int]]:
 
     whole = Tokenizer.from_file(path)
     model = whole.model
-    special = tuple(t.content for t in whole.get_added_tokens_decoder().values())
+    special = re.compile("|".join(re.escape(t.content) for t in whole.get_added_tokens_decoder().values()) or r"\Z.")
     # the usual printable stand-ins of the 256 bytes (fixed by byte-level vocabularies)
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     table = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(shown))}
     known: dict[str, list[int]] = {}
 
+    def part_ids(part: str) -> list[int]:
+        ids = known.get(part)
+        if ids is None:
+            seen = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(table)
+            if len(known) >= 200_000:
+                known.clear()
+            ids = known[part] = [t.id for t in model.tokenize(seen)]
+        return ids
+
     def spell(word: bytes) -> list[int]:
+        if word.isalpha():  # ASCII letters alone are one part
+            return part_ids(word.lower().decode("ascii"))
+        if word[:-1].isalpha() and word[-1] in b".,":
+            return part_ids(word[:-1].lower().decode("ascii")) + part_ids(chr(word[-1]))
         text = word.decode("utf-8")
-        if not _PLAIN.match(text) or any(s in text for s in special):
+        if not (text.isascii() or _PLAIN.match(text)) or special.search(text):
             return whole.encode(text, add_special_tokens=False).ids
-        out: list[int] = []
-        for part in _CUT.findall(unicodedata.normalize("NFC", text).lower()):
-            ids = known.get(part)
-            if ids is None:
-                seen = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(table)
-                ids = [t.id for t in model.tokenize(seen)]
-                if len(known) < 200_000:
-                    known[part] = ids
-            out += ids
-        return out
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text)
+        return [i for part in _CUT.findall(text.lower()) for i in part_ids(part)]
 
     return spell
 
 
 def _pieces(path: str, width: int, end: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table: Spelled = worker_cache(f"packing {path}", lambda: Spelled(speller(path), 400_000))
+        table: Spelled = worker_cache(f"packing {path}", lambda: Spelled(speller(path), 700_000))
         for ids, texts in blocks(batches):
             words = [(t or b"").split() for t in texts]
             flat = [w for own in words for w in own]
