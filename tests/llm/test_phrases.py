@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from compare import database, difference
 
 from tickloom.llm import phrases, queries
 
@@ -31,6 +32,11 @@ def got(rows):
     return {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in rows}
 
 
+def test_query_against_sql(spark):
+    sf, name = "/root/testdata/sf0.001", "op1_phrases"
+    assert difference(queries.QUERIES[name](spark, sf), database(sf), queries.ORACLES[name]) is None
+
+
 def test_query_against_all_windows(spark):
     sf = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]

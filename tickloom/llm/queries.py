@@ -96,6 +96,30 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_phrases": r"""
+        WITH split AS (
+            SELECT doc_id, [w for w in string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') if w <> ''] AS words FROM documents
+        ), word AS (
+            SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split
+        ), windows AS (
+            SELECT doc_id, i, string_agg(word, ' ') OVER w AS phrase, count(*) OVER w AS n
+            FROM word WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)
+        ), first AS (
+            SELECT phrase, min(doc_id) AS doc_id FROM windows WHERE n = 50 GROUP BY phrase
+        ), hit AS (
+            SELECT w.doc_id, w.i FROM windows w JOIN first f ON f.phrase = w.phrase AND f.doc_id < w.doc_id WHERE n = 50
+        ), marked AS (
+            SELECT word.*, count(hit.i) OVER (
+                PARTITION BY word.doc_id ORDER BY word.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) > 0 AS gone
+            FROM word LEFT JOIN hit ON hit.doc_id = word.doc_id AND hit.i = word.i
+        ), counted AS (
+            SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+                   string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+            FROM marked GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM documents LEFT JOIN counted USING (doc_id)
+    """,
     "op2_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, length(coalesce(text, '')) AS n_chars,
