@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.session import work_dir
+from tickloom.sources.tables import remove
 
 SPACES = " \t\n\x0b\x0c\r"  # what separates words, here and in bytes.split()
 _KEPT: dict[str, object] = {}  # per Python worker: what is dear to build and may serve the next task
@@ -31,7 +32,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(spark, name)
     df.write.parquet(path)
     spark.sparkContext._jvm.System.gc()  # Spark's cleaner then drops the shuffle files that led to this table
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more; what was stored from them stays."""
+    for table in tables:
+        remove(table.sparkSession, table.stored_at)
 
 
 def worker_cache(key: str, make: Callable[[], object]) -> object:

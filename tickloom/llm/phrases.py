@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import batch_of, blocks, bounds, gather, stored, texts_of, worker_cache
+from tickloom.llm.common import batch_of, blocks, bounds, forget, gather, stored, texts_of, worker_cache
 
 SPAN, GRAM = 50, 12
 STRETCH = 64  # windows of one stretch at most; longer ones are cut
@@ -330,6 +330,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.max("text").alias("text"), F.max("cuts").alias("cuts"), F.min("own").alias("first"), F.max("own").alias("last")
     )
     distinct = stored(distinct.withColumn("number", F.monotonically_increasing_id()), "distinct")
+    found = stored(places.select("own", "mark", "key", "seg", "start"), "places")
+    forget(places)
 
     windows = distinct.select("number", "text", "first", "last").mapInArrow(_windows, "window long, place long, first long, last long")
     confirmed = windows.groupBy("window").agg(F.min("first").alias("owner"), F.max("last").alias("last"), F.min("place").alias("place"))
@@ -346,7 +348,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     both = both.withColumn("later", F.col("places").isNull()).repartition("shard").sortWithinPartitions("shard", "later")
     located = stored(both.select("shard", "key", "seg", "text", "places").mapInArrow(_locate, "key long, seg long, hits array<struct<at: int, owner: long>>"), "located")
 
-    hits = places.select("own", "mark", "key", "seg", "start").join(located, ["key", "seg"])
+    forget(distinct, confirmed)
+    hits = found.join(located, ["key", "seg"])
     mine = F.filter("hits", lambda h: h.owner < F.col("own"))
     hits = hits.select("own", "mark", F.transform(mine, lambda h: F.col("start") + h.at).alias("windows")).filter(F.size("windows") > 0)
     hits = hits.groupBy("own", "mark").agg(F.flatten(F.collect_set("windows")).alias("windows"))
