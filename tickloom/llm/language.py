@@ -16,6 +16,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -31,7 +32,7 @@ TRAIN_DOCS, BUCKETS, SWITCH, RARE = 5000, 1 << 16, 12.0, 0.001
 SIZES = (2, 3, 4)
 ALPHA = 0.05
 OUT = -1e6  # the score of a language whose script a word is not in
-WORDS = 200_000  # words a worker remembers; it forgets all beyond
+WORDS = 600_000  # words a worker remembers; it forgets all beyond
 CHUNK = 20_000  # words whose n-grams are held at once
 
 # first code points of the ranges told apart (fixed by Unicode blocks); a range ends where the next begins
@@ -43,8 +44,8 @@ RANGES = (
     (0xAC00, "hangul"), (0xD7B0, "other"), (0xF900, "han"), (0xFB00, "other"), (0x20000, "han"), (0x323B0, "other"),
 )
 SCRIPTS = tuple(dict.fromkeys(name for _, name in RANGES))
-_FIRST = np.array([at for at, _ in RANGES])
-_SCRIPT = np.array([SCRIPTS.index(name) for _, name in RANGES])
+_FIRST = [at for at, _ in RANGES]
+_SCRIPT = [SCRIPTS.index(name) for _, name in RANGES]
 
 
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -74,7 +75,7 @@ def letters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         own = word if word.isalpha() else "".join(filter(str.isalpha, word))
         if own:
             count[i] = len(own)
-            script[i] = _SCRIPT[np.searchsorted(_FIRST, ord(own[0]), side="right") - 1]
+            script[i] = _SCRIPT[bisect_right(_FIRST, ord(own[0])) - 1]
     return count, script
 
 
@@ -171,7 +172,7 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, switch: float = SWITCH) -> np
         longest = int(size[0])
         active = np.searchsorted(-size, -np.arange(longest), side="left")  # documents with more words than each step
         # stay[t]: whether the best way to a label came from the same label; else it came from top[t]
-        stay, top = np.ones((longest, len(own), n), bool), np.zeros((longest, len(own)), np.int64)
+        stay, top = np.ones((longest, len(own), n), bool), np.zeros((longest, len(own)), np.int16)
         value = scores[start].copy()
         for t in range(1, longest):
             k = active[t]
@@ -223,7 +224,7 @@ def _labelled(model: Model, switch: float):
         known: _Known = worker_cache(f"language {model.key}", lambda: _Known(model))
         names = np.array([*model.languages, "und"])
         kind = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        for ids, texts in blocks(batches, 2_000_000):
+        for ids, texts in blocks(batches, 6_000_000):  # long enough for many documents side by side
             words = [words_of(t) for t in texts]
             flat = [w for own in words for w in own]
             sizes = np.fromiter(map(len, words), np.int64, len(words))
