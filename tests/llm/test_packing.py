@@ -72,6 +72,16 @@ def test_patterns_hold_every_piece():
         assert placed == histogram
 
 
+def test_one_length_fills_its_packs(spark):
+    assert packing.patterns({100: 1000}, 2048) == [(50, [(100, 20)])]
+    assert sorted(packing.patterns({100: 1001}, 2048)) == [(1, [(100, 1)]), (50, [(100, 20)])]
+    assert sum(packs for packs, _ in packing.patterns({1500: 3, 1: 10_000}, 2048)) == 8  # 14,500 ids
+    docs = spark.createDataFrame([(i, None) for i in range(5000)], "doc_id long, text string")
+    rows = packing.pack(packing.pieces(docs)).collect()
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 5000
+    assert len({r.sequence_id for r in rows}) == 3 and max(r.offset for r in rows) < packing.WIDTH
+
+
 def test_edge_rows_and_round_trip(spark):
     data = [(1, None, 0), (1, None, 0), (None, "", 0), (2, "One two " * 3000, 0), (3, "x", 0)]
     docs = spark.createDataFrame(data, "doc_id long, text string, length int")

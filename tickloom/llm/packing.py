@@ -125,8 +125,12 @@ def patterns(histogram: dict[int, int], width: int) -> list[tuple[int, list[tupl
         left = histogram[length]
         while left:
             if not heap or heap[0][0] + length > width:
-                # new packs; several short pieces at once, as adding them one by one would
-                put(length, left, ((length, 1),))
+                # one by one, each new pack stays the shortest until it has no room for this length
+                times = width // length
+                if left >= times:
+                    put(length * times, left // times, ((length, times),))
+                if left % times:
+                    put(length * (left % times), 1, ((length, left % times),))
                 break
             total, _, packs, runs = heapq.heappop(heap)
             used = min(packs, left)
