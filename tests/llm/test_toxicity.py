@@ -54,6 +54,19 @@ def test_query_on_held_out_rows(spark):
     assert sum(r.predicted == r.toxic for r in own) >= 0.9 * len(own)
 
 
+def test_a_clean_document_is_kept_whatever_its_length(spark):
+    docs, labels = corpus(spark)
+    # a fifth of the positive labels have nothing in their text
+    vague = labels.selectExpr("doc_id", "if(doc_id % 12 = 1, 1, toxic) as toxic")
+    model = toxicity.train(docs, vague)
+    clean = ". ".join(" ".join(random.Random(i).choices(CALM, k=6)) for i in range(10_000))
+    data = [(1, clean), (2, "people talk."), (3, clean + ". you grobnik"), (4, "")]
+    rows = spark.createDataFrame(data, "doc_id long, text string")
+    score = {r.doc_id: r.score for r in toxicity.score(rows, model).collect()}
+    assert score[1] == score[2] and 0 < score[1] < toxicity.CUT <= score[3] and score[4] == 0
+    assert sorted(r.doc_id for r in toxicity.accepted(rows, model).collect()) == [1, 2, 4]
+
+
 def test_edge_rows(spark):
     docs, labels = corpus(spark, 90)
     model = toxicity.Model(-3.0, {b"bad$": 9.0})

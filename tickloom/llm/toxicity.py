@@ -1,8 +1,9 @@
 """Toxicity by multiple-instance learning: a document is toxic when one of its sentences is.
 
-Only documents carry labels. A sentence has probability p = sigmoid(bias + weights of its words), a document
-1 - prod(1 - p) over its sentences (noisy-or), and the likelihood of the document labels is raised by gradient steps. The
-sentences with p >= 0.5 are then the offending ones.
+Only documents carry labels. A sentence with words of the model has probability p = sigmoid(bias + weights of its words),
+a document 1 - (1 - q) * prod(1 - p) over these sentences (noisy-or), and the likelihood of the document labels is raised
+by gradient steps. q = sigmoid(leak) stands once in each document for what no word explains, so a document without any
+word of the model scores q however long it is. The sentences with p >= 0.5 are then the offending ones.
 
 The model is fitted on at most TRAIN_DOCS labelled documents in expectation, chosen by a hash of their id; of
 copies and near copies, found by shared min-hashes, one or a few are used, so that a group of copies weighs as one text.
@@ -73,6 +74,7 @@ class _Known(dict):
 class Model:
     bias: float
     weights: dict[bytes, float] = field(default_factory=dict)
+    leak: float | None = None  # logit, once in a document; without it each sentence without a word of the model has the bias
 
     def __post_init__(self) -> None:
         self.key = "toxicity " + hashlib.sha256(repr(sorted(self.weights)).encode()).hexdigest()
@@ -82,12 +84,11 @@ class Model:
         return worker_cache(self.key, lambda: _Known(self.weights))
 
     def sentences(self, text: bytes | None) -> Iterator[tuple[int, int, float]]:
-        """Byte range and logit of each sentence with a word."""
+        """Byte range and logit of each sentence with a word; with a leak, with a word of the model."""
         at, known = 0, self.known
         for sentence in plain(text).split(b"\n"):
             words = sentence.split()
-            if words:
-                found = known.of(words)
+            if words and ((found := known.of(words)) or self.leak is None):
                 yield at, at + len(sentence), self.bias + sum(self.weights[w] for w in sorted(found))
             at += len(sentence) + 1
 
@@ -96,12 +97,14 @@ class Model:
         low = plain(text)
         if not self.known.of(set(low.split())):
             n = sum(1 for s in low.split(b"\n") if s.strip())
-            return float(-np.expm1(-n * np.log1p(np.exp(self.bias)))), []
+            n, z = (n, self.bias) if self.leak is None else (min(n, 1), self.leak)
+            return float(-np.expm1(-n * np.logaddexp(0, z))), []
         parts = list(self.sentences(text))
         logits = np.array([z for _, _, z in parts])
         chance = 1 / (1 + np.exp(-logits))
         hits = [(a, b, float(p)) for (a, b, _), p in zip(parts, chance) if p >= CUT]
-        return float(-np.expm1(-np.logaddexp(0, logits).sum())), hits
+        unexplained = 0.0 if self.leak is None else np.logaddexp(0, self.leak)
+        return float(-np.expm1(-np.logaddexp(0, logits).sum() - unexplained)), hits
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS, skip: F.Column | None = None) -> DataFrame:
@@ -181,7 +184,10 @@ def _contexts(words: list[bytes]):
 
 
 def _bags(words: list[bytes]):
-    """doc, toxic, the numbers of the model's words in a sentence, and how many of the document's sentences have just these."""
+    """doc, toxic, the numbers of the model's words in a sentence, and how many of the document's sentences have just these.
+
+    Each document with a sentence has one row without words, for the leak.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, known = {w: i for i, w in enumerate(words)}, _Known(words)
@@ -191,6 +197,8 @@ def _bags(words: list[bytes]):
             for mark, text, label in zip(marks, batch.column("text"), labels):
                 sentences = filter(None, (s.split() for s in text.as_py().split(b"\n")))
                 bags = Counter(tuple(sorted(number[w] for w in known.of(s))) for s in sentences)
+                if bags:
+                    bags[()] = 1
                 for bag, count in sorted(bags.items()):
                     doc.append(mark)
                     toxic.append(label)
@@ -206,23 +214,24 @@ def _bags(words: list[bytes]):
 
 def raise_likelihood(
     doc: np.ndarray, label: np.ndarray, n: np.ndarray, bags: list, start: np.ndarray
-) -> tuple[float, np.ndarray]:
-    """Bias and weights, from those of `start`; doc[i] numbers the document of sentence kind i, which occurs n[i] times in it; label is per document."""
+) -> tuple[float, np.ndarray, float]:
+    """Bias, weights and leak, from the weights of `start`; an empty bag has the leak alone; doc[i] numbers the document of sentence kind i, which occurs n[i] times in it; label is per document."""
     row = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
     column = np.fromiter((w for b in bags for w in b), np.int64, len(row))
     words = len(start)
-    theta = np.concatenate(([-6.0], start))
+    empty = np.fromiter((not b for b in bags), bool, len(bags))
+    theta = np.concatenate(([-6.0], start, [-6.0]))
     step, square = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, STEPS + 1):
-        z = theta[0] + np.bincount(row, theta[1:][column], len(n))
+        z = np.where(empty, theta[-1], theta[0] + np.bincount(row, theta[1:-1][column], len(n)))
         clean = np.minimum(-np.bincount(doc, n * np.logaddexp(0, z), len(label)), -1e-9)  # log of the chance of no toxic sentence
         pull = np.where(label, -1 / np.expm1(-clean), 1.0)[doc] * n / (1 + np.exp(-z))
-        slope = np.concatenate(([pull.sum()], np.bincount(column, pull[row], words))) / len(label)
-        slope[1:] += SHRINK * (theta[1:] - start)  # a word that decides nothing keeps its odds
+        slope = np.concatenate(([pull[~empty].sum()], np.bincount(column, pull[row], words), [pull[empty].sum()])) / len(label)
+        slope[1:-1] += SHRINK * (theta[1:-1] - start)  # a word that decides nothing keeps its odds
         step = 0.9 * step + 0.1 * slope
         square = 0.999 * square + 0.001 * slope**2
         theta -= RATE * (step / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.999**t)) + 1e-9)
-    return float(theta[0]), theta[1:]
+    return float(theta[0]), theta[1:-1], float(theta[-1])
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS, skip: F.Column | None = None) -> Model:
@@ -250,8 +259,8 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS, skip: F.C
     ids, doc = np.unique(bags.doc.to_numpy(), return_inverse=True)
     label = np.zeros(len(ids), bool)
     label[doc] = bags.toxic.to_numpy() > 0
-    bias, weights = raise_likelihood(doc, label, bags.n.to_numpy().astype(float), bags.bag.tolist(), start)
-    return Model(bias, {w: float(x) for w, x in zip(words, weights) if x > 0})
+    bias, weights, leak = raise_likelihood(doc, label, bags.n.to_numpy().astype(float), bags.bag.tolist(), start)
+    return Model(bias, {w: float(x) for w, x in zip(words, weights) if x > 0}, leak)
 
 
 def _scores(model: Model):
