@@ -60,6 +60,18 @@ def test_bands_by_language_and_script(spark):
     assert rows[1002].kept  # too few documents of its language for a band
 
 
+def test_small_groups_are_judged_by_their_script(spark):
+    rng = np.random.default_rng(5)
+    calm = "time people water house small large green river stone bread light morning evening garden letter number music window".split()
+    data = [(i, " ".join(rng.choice(calm, 80)), "en") for i in range(200)]
+    data += [(1000 + i, " ".join("".join(rng.choice(list("qxzjkvw"), 7)) for _ in range(300)), lang) for i, lang in enumerate(["e n", "en", None])]
+    data += [(2000 + i, " ".join(rng.choice(calm, 80)), lang) for i, lang in enumerate(["e n", None])]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    rows = fertility.judged(docs).collect()
+    assert len(rows) == len(data)
+    assert {r.doc_id for r in rows if not r.kept} == {1000, 1001, 1002}
+
+
 def test_edge_rows(spark):
     data = [(1, None, None), (None, "", "en"), (2, "a b c " * 40_000, ""), (2, "a b c " * 40_000, ""), (3, "x\n\nx\n x", "en")]
     docs = spark.createDataFrame(data, "doc_id long, text string, lang string").selectExpr("*", "1 as script", "2 as n_words")

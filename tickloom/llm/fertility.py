@@ -6,7 +6,8 @@ tokens. Over all documents that pass the base rules, quartiles are taken per lan
 given. A document is rejected when its characters per token lie further than a reach outside the quartiles of its group,
 its byte share above, or its entropy below. The reach is REACH quartile distances for long documents and grows as
 sqrt(1 + SHORT / tokens) for short ones, whose figures scatter more.
-Groups of fewer than GROUP documents have no bands. Quartiles are exact up to the rounding of the figures to STEP.
+A group of fewer than GROUP documents is judged by the band over all documents of the script, whatever their language; only
+where the script has fewer than GROUP documents too, there is no band and the base rules alone decide. Quartiles are exact up to the rounding of the figures to STEP.
 
 Base rules: at least 50 words, and at most half of them in three-word windows that occur twice or more.
 
@@ -160,7 +161,15 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     group = F.coalesce(F.nullif(F.col("lang"), F.lit("")), F.concat(F.lit("script "), "script"))
     rows = measures(docs, id_col, text_col, lang_col, path).withColumn("base_failed", failed).withColumn("group", group)
     rows = stored(rows, "fertility")
-    both = rows.join(bands(rows.filter("not base_failed")), "group", "left")
+    sound = rows.filter("not base_failed")
+    edges = [f"{f}_{c}" for f in FIGURES for c in EDGES]
+    by_script = bands(sound.withColumn("group", F.col("script"))).select(
+        F.col("group").alias("script"), *(F.col(c).alias(f"script_{c}") for c in edges)
+    )
+    # a group has all edges or none; the pairs are few, so the rows themselves are joined once
+    pairs = rows.select("group", "script").distinct().join(bands(sound), "group", "left").join(by_script, "script", "left")
+    limits = pairs.select("group", "script", *(F.coalesce(c, f"script_{c}").alias(c) for c in edges))
+    both = rows.join(limits, ["group", "script"], "left")
     wide = F.sqrt(1 + SHORT / F.greatest(F.col("word_chars") / F.greatest("chars_per_token", F.lit(0.01)), F.lit(1)))
     inside = F.lit(True)
     for f, sides in FIGURES.items():
@@ -168,4 +177,4 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
             inside = inside & F.coalesce(F.col(f) >= F.col(f"{f}_low") - wide * F.col(f"{f}_reach"), F.lit(True))
         if "high" in sides:
             inside = inside & F.coalesce(F.col(f) <= F.col(f"{f}_high") + wide * F.col(f"{f}_reach"), F.lit(True))
-    return both.withColumn("kept", ~F.col("base_failed") & inside).drop(*(f"{f}_{c}" for f in FIGURES for c in EDGES))
+    return both.withColumn("kept", ~F.col("base_failed") & inside).drop(*edges)
