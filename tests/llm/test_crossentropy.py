@@ -66,3 +66,19 @@ def test_edge_rows(spark):
     assert {r.doc_id: r.score for r in rows if not r.n_tokens} == {1: 0.0, 2: 0.0}
     assert crossentropy.score(docs, marks.filter("false")).filter("score is null or isnan(score)").count() == 0
     assert crossentropy.score(docs.filter("false"), marks).count() == 0
+
+
+def test_counts_are_exact_for_large_vocabularies(spark, monkeypatch):
+    """More words than any fixed vocabulary and more pairs than fixed cells, over several blocks and buckets."""
+    monkeypatch.setattr(crossentropy, "BUCKET", 100_000)
+    rng = random.Random(8)
+    docs = [(i, " ".join(f"w{rng.randrange(60_000)}" for _ in range(10_000))) for i in range(40)] + [(1000, "w1 unheard w1"), (1001, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    wanted = set(range(0, 40, 4))
+    fold = {r[0]: r[1] for r in frame.selectExpr("doc_id", "pmod(xxhash64(doc_id), 2)").collect()}
+    counts = Counter(w for _, t in docs for w in (t or "").split())
+    want = plain(docs, wanted, fold, sum(n >= crossentropy.LEAST for n in counts.values()))
+    rows = crossentropy.score(frame, spark.createDataFrame([(i,) for i in wanted], "doc_id long")).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(i for i, _ in docs)
+    for r in rows:
+        assert r.n_tokens == want[r.doc_id][0] and np.allclose((r.ce_target, r.ce_background), want[r.doc_id][1:], atol=1e-6)
