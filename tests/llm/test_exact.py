@@ -49,3 +49,11 @@ def test_hot_digests_are_found(spark):
     assert hot in [r.digest for r in found] and len(found) <= 8
     groups = exact.exact_groups(many, counters=8)
     assert groups.filter("group_size > 1").agg(F.count("*"), F.min("keep_id"), F.sum(F.col("kept").cast("int"))).first()[:] == (6667, 0, 1)
+
+
+def test_the_longest_of_rows_with_one_id_stays(spark):
+    data = [(i, "a" + " " * k + "b") for i in (None, *range(20)) for k in (1, 5, 3)]
+    data = [(i, t + f"{i}") for i, t in data]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(7)
+    kept = exact.without_copies(docs).collect()
+    assert sorted(len(r.text) - len(str(r.doc_id)) for r in kept) == [7] * 21

@@ -87,9 +87,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with their columns."""
     names = [f"kept_{i}" for i in range(len(docs.columns))]
-    kept = exact_groups(docs, id_col, text_col).filter("kept").select("doc_id", "digest")
+    kept = exact_groups(docs, id_col, text_col).filter("kept").select("doc_id", "digest", "n_chars")
     plain = docs.toDF(*names)
     own = plain.withColumn("id", F.col(names[docs.columns.index(id_col)]).cast("long"))
-    own = own.withColumn("digest", digest(F.col(names[docs.columns.index(text_col)]).cast("string")))
-    both = own.join(kept, own.id.eqNullSafe(kept.doc_id) & (own.digest == kept.digest), "left_semi")
+    text = F.col(names[docs.columns.index(text_col)]).cast("string")
+    own = own.withColumn("digest", digest(text)).withColumn("n_chars", F.length(F.coalesce(text, F.lit(""))))
+    same = own.id.eqNullSafe(kept.doc_id) & (own.digest == kept.digest) & (own.n_chars == kept.n_chars)
+    both = own.join(kept, same, "left_semi")
     return both.dropDuplicates(["id", "digest"]).select(*names).toDF(*docs.columns)
