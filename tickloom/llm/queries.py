@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import crossentropy, exact, fertility, language, packing, phrases, pieces, private, simhash, toxicity
+from tickloom.llm import crossentropy, exact, fertility, filteraudit, language, packing, phrases, pieces, private, simhash, toxicity
 from tickloom.llm.common import read_documents
 
 
@@ -82,6 +82,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", n_tokens, F.crc32("ids").alias("ids_crc32"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op11_filteraudit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     "op1_phrases": op1_phrases,
     "op2_exact_dedup": op2_exact_dedup,
@@ -93,6 +97,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_crossentropy": op9_crossentropy,
     "op10_pieces": op10_pieces,
+    "op11_filteraudit": op11_filteraudit,
 }
 
 ORACLES = {
@@ -133,4 +138,46 @@ ORACLES = {
         )
         SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM r
     """,
+    "op11_filteraudit": r"""
+        WITH word AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                   [w for w in string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') if w <> ''] AS words
+            FROM documents
+        ), label AS (
+            SELECT doc_id, max(CAST(quality = 1 AS BIGINT)) AS good, max(CAST(toxic = 1 AS BIGINT)) AS toxic FROM labels GROUP BY doc_id
+        ), flag AS (
+            SELECT doc_id, part, {
+                A: len(words) < 200, B: 100 * len(list_distinct(words)) < 50 * len(words),
+                C: 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text), D: regexp_matches(text, '[#$%&*|]'),
+                E: coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)
+            } AS f FROM word
+        ), one AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, CASE WHEN f.A THEN 'A' ELSE '' END
+                || CASE WHEN f.B THEN 'B' ELSE '' END || CASE WHEN f.C THEN 'C' ELSE '' END
+                || CASE WHEN f.D THEN 'D' ELSE '' END || CASE WHEN f.E THEN 'E' ELSE '' END AS fails
+            FROM flag LEFT JOIN label USING (doc_id)
+        ), sets AS (
+            SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM one GROUP BY ALL
+        ), letter AS (
+            SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+        ), step AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, CAST(unnest(range(1, 6)) AS INTEGER) AS step
+            FROM letter a, letter b, letter c, letter d, letter e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+        ), gone AS (
+            SELECT part, filter_order, step, fails, n, good, toxic, filter_order[step] AS letter, contains(fails, filter_order[step]) AS failing,
+                   translate(filter_order[1:step - 1], fails, '') <> filter_order[1:step - 1] AS before
+            FROM sets, step
+        ), counted AS (
+            SELECT part, filter_order, step, letter,
+                   CAST(coalesce(sum(n) FILTER (NOT failing AND NOT before), 0) AS BIGINT) AS kept,
+                   CAST(coalesce(sum(n) FILTER (failing AND NOT before), 0) AS BIGINT) AS removed,
+                   CAST(coalesce(sum(n) FILTER (failing AND before), 0) AS BIGINT) AS redundant,
+                   CAST(coalesce(sum(n) FILTER (fails = letter), 0) AS BIGINT) AS unique_fails,
+                   CAST(coalesce(sum(good) FILTER (failing AND NOT before), 0) AS BIGINT) AS good_lost,
+                   CAST(coalesce(sum(toxic) FILTER (failing AND NOT before), 0) AS BIGINT) AS toxic_lost
+            FROM gone GROUP BY ALL
+        )
+        SELECT * EXCLUDE (letter), CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM counted
+    """,
 }
