@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import crossentropy, exact, fertility, filteraudit, language, packing, phrases, pieces, private, simhash, toxicity
+from tickloom.llm import crossentropy, exact, fertility, filteraudit, language, packing, phrases, pieces, private, simhash, toxicity, vectorcodes
 from tickloom.llm.common import read_documents
 
 
@@ -86,6 +86,13 @@ def op11_filteraudit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.audit(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_vectorcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vectorcodes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    code = F.concat_ws("", F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")))
+    rows = vectorcodes.with_label_errors(found.rows)
+    return rows.select("vec_id", code.alias("code"), "error", "label_error", F.lit(found.digest()).alias("codebooks_sha256"))
+
+
 QUERIES = {
     "op1_phrases": op1_phrases,
     "op2_exact_dedup": op2_exact_dedup,
@@ -98,8 +105,49 @@ QUERIES = {
     "op9_crossentropy": op9_crossentropy,
     "op10_pieces": op10_pieces,
     "op11_filteraudit": op11_filteraudit,
+    "op12_vectorcodes": op12_vectorcodes,
 }
 
+def _codes_sql(rounds: int = 4) -> str:
+    """Each round spelled out: assign all parts (a), then move the entries (c)."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""a{n} AS MATERIALIZED (
+            SELECT row, part, min({{
+                d: CAST(list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, c.v) + list_inner_product(c.v, c.v) AS BIGINT), entry: entry
+            }}) AS best FROM p JOIN c{n} c USING (part) GROUP BY row, part
+        )""")
+        if n < rounds:
+            steps.append(f"""c{n + 1} AS MATERIALIZED (
+            WITH s AS (
+                SELECT part, best.entry AS entry, place, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+                FROM (SELECT part, best, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM p JOIN a{n} USING (row, part)) GROUP BY ALL
+            ), m AS (
+                SELECT part, entry, list(CAST((s - (s % n + n) % n) // n AS DOUBLE) ORDER BY place) AS v FROM s GROUP BY part, entry
+            )
+            SELECT part, entry, coalesce(m.v, c.v) AS v FROM c{n} c LEFT JOIN m USING (part, entry)
+        )""")
+    return f"""
+        WITH v AS (
+            SELECT vec_id, label, [floor(1024 * CAST(x AS DOUBLE)) for x in embedding] AS x, row_number() OVER (ORDER BY vec_id, x) AS row
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len([x for x in embedding if coalesce(isfinite(x), false)]) = len(embedding)
+        ), p AS MATERIALIZED (
+            SELECT row, part, x[len(x) // 4 * part + 1:len(x) // 4 * (part + 1)] AS v FROM v, (SELECT unnest(range(4)) AS part)
+        ), c0 AS (
+            SELECT part, row - 1 AS entry, v FROM p WHERE row <= 256
+        ), {", ".join(steps)}, coded AS (
+            SELECT row, string_agg(format('{{:02x}}', best.entry), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+            FROM a{rounds} GROUP BY row
+        ), book AS (
+            SELECT sha256(string_agg(array_to_string([CAST(x AS BIGINT) for x in v], ','), ',' ORDER BY part, entry)) AS codebooks_sha256
+            FROM c{rounds}
+        )
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM coded JOIN v USING (row), book
+    """
+
+
 ORACLES = {
     "op1_phrases": r"""
         WITH split AS (
@@ -180,4 +228,5 @@ ORACLES = {
         )
         SELECT * EXCLUDE (letter), CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM counted
     """,
+    "op12_vectorcodes": _codes_sql(),
 }
