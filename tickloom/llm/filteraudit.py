@@ -1,12 +1,14 @@
 """Interaction audit of quality filters over a sparse document-term matrix.
 
-One pass over the texts cuts them into blocks of whole documents. A block numbers its own words and holds its documents as
-compressed sparse rows (indptr, indices, data) in these numbers. The different words of all blocks are then sorted by
-word, which numbers them globally: a block sends each of its words once, so the most frequent word has one row per block and
-no key is hot. The global numbers go back to their blocks, and the shards of the matrix are built from them. A document's
-row sum is its number of words and its number of stored entries that of its different words; these decide filters A and B.
-C, D and a digest of the text travel with the rows, E follows from the smallest id of a digest, and the audit adds up
-documents by the set of filters that they fail, of which there are 32 per part.
+One pass over the texts cuts them into blocks of whole documents. A block numbers its own words, in the order of a hash, and
+holds its documents as compressed sparse rows (indptr, indices, data) in these numbers. The words are then numbered globally:
+hash ranges make buckets, whose number grows with the words, a block sends each bucket its slice of words as one row, and
+the bucket numbers the different ones and answers with the numbers of the slice. A block sends each of its words once, so
+the most frequent word comes as often as there are blocks and no key is hot, and there are never more rows than words. The
+shards of the matrix are built from the blocks and their answers. A document's row sum is its number of words and its number
+of stored entries that of its different words; these decide filters A and B. C, D and a digest of the text travel with the
+rows, E follows from the smallest id of a digest, and the audit adds up documents by the set of filters that they fail, of
+which there are 32 per part.
 
 Filters (a document fails): A under 200 words; B less than half of its words different; C more than 2 % capitals A-Z;
 D holds one of # $ % & * |; E its text has a smaller doc_id.
@@ -21,128 +23,175 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter, defaultdict
+import zlib
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import batch_of, blocks, bounds, stored
+from tickloom.llm.common import batch_of, blocks, forget, stored
 
 LETTERS = "ABCDE"
-BLOCK = 4_000_000  # bytes of text in a block, or one longer document
+BLOCK = 16_000_000  # bytes of text in a block, or one longer document
+BUCKET = 250_000  # words that a bucket numbers, counted once per block, at the mean
+CHUNK = 4_000_000  # bytes of a text that are words at the same time
 
 _CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _MARKS = re.compile(rb"[#$%&*|]")
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _ROW = pa.struct([("doc_id", pa.int64()), ("part", pa.string()), ("digest", pa.binary()), ("capitals", pa.bool_()), ("marks", pa.bool_())])
 _ROWS = "array<struct<doc_id: long, part: string, digest: binary, capitals: boolean, marks: boolean>>"
 
 
-def _serial(n: int) -> int:
-    """A number no other task gives."""
-    return (TaskContext.get().partitionId() << 40) + n
+def _numbering() -> defaultdict:
+    """A new key takes the next number."""
+    own: defaultdict = defaultdict()
+    own.default_factory = own.__len__
+    return own
+
+
+def _words(text: bytes) -> Iterator[list[bytes]]:
+    at = 0
+    while at < len(text):
+        blank = _BLANK.search(text, at + CHUNK)
+        end = blank.start() if blank else len(text)
+        yield (text[at:end] if at or blank else text).split()
+        at = end + 1
 
 
 def _coded(size: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for n, (ids, texts) in enumerate(blocks(batches, size)):
-            own: defaultdict = defaultdict()
-            own.default_factory = own.__len__  # a new word takes the next number
-            rows, sizes, indices, data = [], [], [], []
+            own, rows, sizes, found = _numbering(), [], [], []
             for i, text in zip(ids, texts):
                 text = text or b""
-                counts = Counter(text.split())
-                sizes.append(len(counts))
-                indices.append(np.fromiter(map(own.__getitem__, counts), np.int32, len(counts)))
-                data.append(np.fromiter(counts.values(), np.int32, len(counts)))
+                numbers = [np.fromiter(map(own.__getitem__, words), np.int64, len(words)) for words in _words(text)]
+                found += numbers
+                sizes.append(sum(map(len, numbers)))
                 capitals = len(text) - len(text.translate(None, _CAPITALS))
                 length = len(text) if text.isascii() else len(text.decode("utf-8"))
                 rows.append({
                     "doc_id": i["id"], "part": i["part"], "digest": hashlib.sha256(text).digest(),
                     "capitals": 100 * capitals > 2 * length, "marks": _MARKS.search(text) is not None,
                 })
+            words = list(own)
+            own.clear()
+            order = np.argsort(_hashes(words), kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            entries = np.repeat(np.arange(len(sizes)) << 32, sizes) | place[np.concatenate([np.empty(0, np.int64), *found])]
+            entries.sort()
+            firsts = np.flatnonzero(np.diff(entries, prepend=-1))
+            data = np.diff(firsts, append=len(entries))
+            indptr = np.searchsorted(entries[firsts] >> 32, np.arange(len(sizes) + 1))
             yield batch_of(
-                block=pa.array([_serial(n)], pa.int64()),
+                # no other task gives this number
+                block=pa.array([(TaskContext.get().partitionId() << 32) + n], pa.int64()),
                 rows=pa.array([rows], pa.list_(_ROW)),
-                words=pa.array([list(own)], pa.list_(pa.binary())),
-                indptr=pa.array([bounds(sizes)], pa.list_(pa.int64())),
-                indices=pa.array([np.concatenate(indices)], pa.list_(pa.int32())),
-                data=pa.array([np.concatenate(data)], pa.list_(pa.int32())),
+                n=pa.array([len(words)], pa.int64()),
+                words=pa.array([b" ".join([words[i] for i in order.tolist()])], pa.binary()),
+                indptr=pa.array([indptr.astype("<i8").tobytes()], pa.binary()),
+                indices=pa.array([entries[firsts].astype("<u4").tobytes()], pa.binary()),
+                data=pa.array([data.astype("<u4").tobytes()], pa.binary()),
             )
 
     return run
 
 
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
+
+
 def coded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source", size: int = BLOCK) -> DataFrame:
-    """One row per block: its documents, its words, and its sparse rows in the numbers of these words."""
+    """One row per block: its documents, its words (joined by blanks), and its sparse rows in the places of these words."""
     doc = F.struct(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"))
     texts = docs.select(doc.alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = f"block long, rows {_ROWS}, words array<binary>, indptr array<long>, indices array<int>, data array<int>"
+    schema = f"block long, rows {_ROWS}, n long, words binary, indptr binary, indices binary, data binary"
     return stored(texts.mapInArrow(_coded(size), schema), "coded")
 
 
+def _dealt(buckets: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, joined in zip(batch.column("block").to_pylist(), batch.column("words")):
+                words = joined.as_py().split()
+                bucket = _hashes(words) * np.uint64(buckets) >> np.uint64(32)  # ascending, as the words are
+                cuts = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1)).tolist()
+                slices = [b" ".join(words[a:b]) for a, b in zip(cuts, [*cuts[1:], len(words)])]
+                yield batch_of(
+                    bucket=pa.array(bucket[cuts].astype(np.int64)), block=pa.array([block] * len(cuts), pa.int64()),
+                    first=pa.array(cuts, pa.int64()), words=pa.array(slices, pa.binary()),
+                )
+
+    return run
+
+
 def _numbered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers words in sorted order; equal words are neighbours and may go on into the next batch."""
-    last, seen = None, 0
+    """Numbers the words of one bucket after the other, in order of the blocks, so that a task that runs again gives the same."""
+    own, last = _numbering(), None
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        words = batch.column("word")
-        runs = pc.run_end_encode(words)
-        firsts = np.concatenate(([0], runs.run_ends.to_numpy()[:-1]))
-        new = np.zeros(batch.num_rows, np.int64)
-        new[firsts] = 1
-        new[0] = words[0].as_py() != last
-        numbers = seen + np.cumsum(new)
-        last, seen = words[-1].as_py(), int(numbers[-1])
-        yield batch_of(word=words, block=batch.column("block"), place=batch.column("place"), number=pa.array(numbers - 1 + _serial(0)))
-
-
-def numbered(blocks_: DataFrame) -> DataFrame:
-    """word, block, place (its number in the block), number (the same wherever the word is, and of no other word)."""
-    words = blocks_.select("block", F.posexplode("words").alias("place", "word")).select("word", "block", "place")
-    ordered = words.repartition("word").sortWithinPartitions("word")
-    return stored(ordered.mapInArrow(_numbered, "word binary, block long, place int, number long"), "words")
+        numbers = []
+        for bucket, joined in zip(batch.column("bucket").to_pylist(), batch.column("words")):
+            if bucket != last:
+                own, last = _numbering(), bucket
+            words = joined.as_py().split()
+            numbers.append(np.fromiter(map(own.__getitem__, words), "<u4", len(words)).tobytes())
+        yield batch_of(**{n: batch.column(n) for n in ("bucket", "block", "first", "words")}, numbers=pa.array(numbers, pa.binary()))
 
 
-def dictionary(numbers: DataFrame) -> DataFrame:
-    """word and number, one row per different word of all documents."""
-    return numbers.select(F.col("word").cast("string").alias("word"), "number").distinct()
+def numbered(blocks_: DataFrame, words: int = BUCKET) -> DataFrame:
+    """bucket, block, first, words, numbers: a block's words from the place `first` on, and their numbers in the bucket."""
+    total = blocks_.agg(F.sum("n")).first()[0] or 0
+    sent = blocks_.select("block", "words").mapInArrow(_dealt(total // words + 1), "bucket long, block long, first long, words binary")
+    schema = "bucket long, block long, first long, words binary, numbers binary"
+    return sent.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(_numbered, schema)
+
+
+def _spelled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for bucket, joined, numbers in zip(batch.column("bucket").to_pylist(), batch.column("words"), batch.column("numbers")):
+            words = pa.array(joined.as_py().split(), pa.binary()).cast(pa.string())
+            yield batch_of(word=words, number=pa.array(np.frombuffer(numbers.as_py(), "<u4").astype(np.int64) + (bucket << 32)))
 
 
-_SHARD = f"block long, rows {_ROWS}, indptr array<long>, indices array<long>, data array<int>"
+def dictionary(numbers: DataFrame) -> DataFrame:
+    """word and number, one row per different word of all documents."""
+    return numbers.select("bucket", "words", "numbers").mapInArrow(_spelled, "word string, number long").distinct()
 
 
 def _shard(block: pa.Table, numbers: pa.Table) -> pa.Table:
     """A block with its words' numbers, as a shard of the matrix over all words."""
-    own = np.empty(numbers.num_rows, np.int64)
-    own[numbers.column("place").to_numpy()] = numbers.column("number").to_numpy()
-    lists = block.column("indices").combine_chunks()
-    place = block.schema.get_field_index("indices")
-    of_all = pa.ListArray.from_arrays(lists.offsets, pa.array(own[lists.flatten().to_numpy()], pa.int64()))
-    return block.set_column(place, pa.field("indices", pa.list_(pa.int64())), of_all)
+    own = [np.empty(0, np.int64)]
+    for row in sorted(numbers.to_pylist(), key=lambda r: r["first"]):
+        own.append(np.frombuffer(row["numbers"], "<u4").astype("<i8") + (row["bucket"] << 32))
+    places = np.frombuffer(block.column("indices")[0].as_py(), "<u4")
+    of_all = pa.array([np.concatenate(own)[places].tobytes()], pa.binary())
+    return block.set_column(block.schema.get_field_index("indices"), "indices", of_all)
 
 
 def shards(blocks_: DataFrame, numbers: DataFrame) -> DataFrame:
-    """The document-term matrix: per block its documents and compressed sparse rows whose columns are global word numbers."""
+    """The document-term matrix by blocks: documents, and compressed sparse rows whose columns are the words' global numbers.
+
+    indptr and indices are little-endian 64-bit numbers, data 32-bit ones. The columns of a row come in no order.
+    """
     left = blocks_.select("block", "rows", "indptr", "indices", "data").groupBy("block")
-    return left.cogroup(numbers.select("block", "place", "number").groupBy("block")).applyInArrow(_shard, _SHARD)
+    right = numbers.select("block", "bucket", "first", "numbers").groupBy("block")
+    return left.cogroup(right).applyInArrow(_shard, f"block long, rows {_ROWS}, indptr binary, indices binary, data binary")
 
 
 def _figures(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
-            indptr = batch.column("indptr")[i].values.to_numpy()
-            data = batch.column("data")[i].values.to_numpy()
-            totals = np.concatenate(([0], np.cumsum(data, dtype=np.int64)))[indptr]
+            indptr = np.frombuffer(batch.column("indptr")[i].as_py(), "<i8")
+            data = np.frombuffer(batch.column("data")[i].as_py(), "<u4")
             rows = batch.column("rows")[i].values
             columns = dict(zip((f.name for f in rows.type), rows.flatten()))
-            yield batch_of(**columns, n_words=pa.array(np.diff(totals)), n_distinct=pa.array(np.diff(indptr)))
+            yield batch_of(**columns, n_words=pa.array(np.diff(np.concatenate(([0], np.cumsum(data, dtype=np.int64)))[indptr])), n_distinct=pa.array(np.diff(indptr)))
 
 
 def figures(matrix: DataFrame) -> DataFrame:
@@ -212,4 +261,7 @@ def audit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """part, filter_order, step and the counts kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley."""
     blocks_ = coded(docs, id_col, text_col, part_col)
     rows = stored(figures(shards(blocks_, numbered(blocks_))), "figures")
-    return interactions(stored(failures(rows, labels), "failures"))
+    forget(blocks_)
+    sets = stored(failures(rows, labels), "failures")
+    forget(rows)
+    return interactions(sets)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import crossentropy, exact, fertility, filteraudit, language, packing, phrases, pieces, private, simhash, toxicity, vectorcodes
+from tickloom.llm import credentials, crossentropy, exact, fertility, filteraudit, language, packing, phrases, pieces, private, simhash, toxicity, vectorcodes
 from tickloom.llm.common import read_documents
 
 
@@ -31,9 +31,8 @@ def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*base, *fertility.FIGURES)
 
 
-def op5_private(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_documents(spark, sf_dir)
-    found = private.find(docs, private.learn(docs))
+def _span_rows(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """Counts and digest of the base spans, and all spans as text."""
 
     def joined(spans: F.Column) -> F.Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
@@ -42,7 +41,12 @@ def op5_private(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("spans", lambda s: s.base & (s.kind == kind))).cast("long").alias(f"n_{kind}")
 
     base = joined(F.filter("spans", lambda s: s.base))
-    return found.select("doc_id", *map(number, private.KINDS), F.sha2(base, 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *map(number, kinds), F.sha2(base, 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op5_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    return _span_rows(private.find(docs, private.learn(docs)), private.KINDS)
 
 
 def _fold(folds: int) -> F.Column:
@@ -93,6 +97,11 @@ def op12_vectorcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("vec_id", code.alias("code"), "error", "label_error", F.lit(found.digest()).alias("codebooks_sha256"))
 
 
+def op13_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    return _span_rows(credentials.find(docs, credentials.learn(docs)), credentials.KINDS)
+
+
 QUERIES = {
     "op1_phrases": op1_phrases,
     "op2_exact_dedup": op2_exact_dedup,
@@ -106,6 +115,7 @@ QUERIES = {
     "op10_pieces": op10_pieces,
     "op11_filteraudit": op11_filteraudit,
     "op12_vectorcodes": op12_vectorcodes,
+    "op13_credentials": op13_credentials,
 }
 
 def _codes_sql(rounds: int = 4) -> str:
