@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import sentencepiece
+from pyspark.sql import functions as F
 
 from tickloom.llm import fertility, queries
 
@@ -43,7 +44,7 @@ def test_words_are_spelled_as_in_the_text():
     model = sentencepiece.SentencePieceProcessor(model_file=fertility.default_vocabulary())
     spell = fertility.speller(fertility.default_vocabulary())
     text = "A plain text, with 12 numbers, ümläute and 漢字 🙂 x"
-    assert [i for w in text.encode().split() for i in spell(w)] == model.encode(text)
+    assert [i for ids in spell(text.encode().split()) for i in ids] == model.encode(text)
 
 
 def test_bands_by_language_and_script(spark):
@@ -57,7 +58,39 @@ def test_bands_by_language_and_script(spark):
     rows = {r.doc_id: r for r in fertility.judged(docs).collect()}
     assert all(rows[i].kept for i in range(400)) and {rows[0].group, rows[1].group} == {"script latin", "en"}
     assert not rows[1000].kept and not rows[1001].kept and rows[1001].byte_share > 0.5
-    assert rows[1002].kept  # too few documents of its language for a band
+    assert not rows[1002].kept  # its language has one document, so the bands of all documents judge it, mostly
+
+
+def test_bands_widen_without_a_step(spark):
+    """A group's band moves from that of its script to its own, and no size turns the verdict by itself."""
+    rng = np.random.default_rng(6)
+    calm = "time people water house small large green river stone bread light morning evening garden letter number music window".split()
+    data = [(i, " ".join(rng.choice(calm, 80)), "en") for i in range(300)]
+    data += [(1000 + i, " ".join("".join(rng.choice(list("qxzjkvw"), 7)) for _ in range(90)), "own") for i in range(120)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    for n in (1, 49, 50, 51):
+        rows = fertility.judged(docs.filter(f"doc_id < {1000 + n}")).collect()
+        assert {r.kept for r in rows if r.doc_id >= 1000} == {False} and all(r.kept for r in rows if r.doc_id < 1000)
+    limits = {}
+    for n in (49, 50, 120):
+        sound = fertility.measures(docs.filter(f"doc_id < {1000 + n}")).withColumn("group", F.col("lang"))
+        found = fertility.bands(sound, sound.select("group", "script").distinct()).filter("group = 'own'").first()
+        limits[n] = found.chars_per_token_low
+    assert abs(limits[49] - limits[50]) < 0.05 and limits[120] < limits[50]
+
+
+def test_repeated_words_of_very_many_different_words():
+    rng = np.random.default_rng(7)
+    numbers = np.concatenate((np.arange(2**21 + 5), rng.integers(0, 2**21 + 5, 1000), [5, 6, 7, 9, 5, 6, 7]))
+    rng.shuffle(numbers[: 2**21])
+    seen = Counter(zip(numbers.tolist(), numbers[1:].tolist(), numbers[2:].tolist()))
+    covered = np.zeros(len(numbers), bool)
+    for i, w in enumerate(zip(numbers.tolist(), numbers[1:].tolist(), numbers[2:].tolist())):
+        if seen[w] > 1:
+            covered[i : i + 3] = True
+    assert fertility.repeated_words(numbers) == covered.sum() >= 6
+    assert fertility.repeated_words(np.array([5, 0, 1, 7, 5, 2**21, 1])) == 0
+    assert fertility.repeated_words(np.array([5, 0, 1, 2**40, 5, 0, 1])) == 6
 
 
 def test_small_groups_are_judged_by_their_script(spark):

@@ -9,22 +9,41 @@ from tokenizers import Tokenizer
 from tickloom.llm import packing, queries
 
 TOKENIZER = Tokenizer.from_file(packing.default_tokenizer())
-SPELL = packing.speller(packing.default_tokenizer())
+CUTTER = packing.Cutter(packing.default_tokenizer())
 
 
 def whole(text):
     return TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+def spelled(text):
+    return [i for ids in CUTTER.spell(CUTTER.keys(text.encode())) for i in ids]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.characters(blacklist_categories=["Cs"]), max_size=30))
 def test_spelling_in_parts_equals_the_tokenizer(text):
-    assert [i for w in text.encode().split() for i in SPELL(w)] == whole(text)
+    assert spelled(text) == whole(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=" \n'_.,-!09aBzéÉßÇœŒžŁйЖЁ’“–€\x1c\x00\x7f", max_size=40))
+def test_plain_texts_are_cut_as_the_tokenizer_does(text):
+    assert not text or isinstance((CUTTER.keys(text.encode()) or [""])[0], str)
+    assert spelled(text) == whole(text)
+
+
+def test_every_plain_character():
+    plain = [chr(c) for c in range(0x2100) if packing._PLAIN.match(chr(c))]
+    assert len(plain) > 500
+    for c in plain:
+        for text in (c, f"a{c}b", f"A{c} {c}.", f"e{c}1"):
+            assert spelled(text) == whole(text), repr(text)
 
 
 def test_spelling_of_marks():
-    for text in ("It's 12 a.m., we'll GO_there!", "naïve ÀÉß straße 'tis ª º ² ½ × ÷", "<|endoftext|> a<|startoftext|>b", "é İx Σας __ a_b", "\x85a\xa0b\x1c"):
-        assert [i for w in text.encode().split() for i in SPELL(w)] == whole(text), text
+    for text in ("It's 12 a.m., we'll GO_there!", "naïve ÀÉß straße 'tis ª º ² ½ × ÷", "<|endoftext|> a<|startoftext|>b", "é İx Σας __ a_b", "\x85a\xa0b\x1c"):
+        assert spelled(text) == whole(text), text
 
 
 def check(rows, docs):
@@ -93,3 +112,28 @@ def test_edge_rows_and_round_trip(spark):
     for r in rows:
         assert joined[r.sequence_id][4 * r.offset : 4 * (r.offset + r.length)] == r.ids
     assert packing.pack(packing.pieces(docs.filter("false"))).count() == 0
+
+
+def test_one_length_over_many_tasks(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'x', repeat('ab ', CAST(id % 50 AS INT))) AS text", "1 AS task", "'z' AS bases")
+    rows = packing.pack(packing.pieces(docs.repartition(13), width=64), width=64).collect()
+    assert len(rows) == 4000 and len({(r.sequence_id, r.offset) for r in rows}) == 4000
+    inside = {}
+    for r in rows:
+        inside.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in inside.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 64
+    assert sum(r.length for r in rows) > 0.9 * 64 * len(inside)
+
+
+def test_a_text_of_many_stretches(spark):
+    text = "Some words, é and 12 more. " * 250_000  # several stretches of 4 MB each
+    rows = packing.pieces(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    one = whole("Some words, é and 12 more. ")
+    assert rows[0].doc_tokens == 250_000 * len(one) + 1
+    ids = b"".join(r.ids for r in sorted(rows, key=lambda r: r.start))
+    assert ids == struct.pack(f"<{len(one)}I", *one) * 250_000 + struct.pack("<I", 1)

@@ -82,3 +82,21 @@ def test_edge_rows(spark):
     none = toxicity.train(docs, labels.filter("false"))
     assert toxicity.score(docs, none).agg({"score": "max"}).first()[0] == 0
     assert toxicity.score(docs.filter("false"), model).count() == 0
+
+
+def test_a_long_text_with_many_offending_sentences():
+    import time
+
+    model = toxicity.Model(-3.0, {b"bad$": 6.0}, -4.0)
+
+    def spent(n):
+        text = ("Ein schöner Tag. Ünd bad Wörter! " * n).encode()
+        started = time.perf_counter()
+        hits = model.score(text)[1]
+        found = list(toxicity.code_points(text, hits))
+        return time.perf_counter() - started, text.decode(), found
+
+    _, text, found = spent(50)
+    assert [text[a:b] for a, b in found] == [" Ünd bad Wörter"] * 50
+    short, long = spent(15_000)[0], spent(150_000)[0]  # 0.5 and 5 MB
+    assert len(spent(1000)[2]) == 1000 and long < 40 * short

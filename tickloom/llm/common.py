@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from array import array
+from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +17,8 @@ from tickloom.session import work_dir
 from tickloom.sources.tables import remove
 
 SPACES = " \t\n\x0b\x0c\r"  # what separates words, here and in bytes.split()
-_KEPT: dict[str, object] = {}  # per Python worker: what is dear to build and may serve the next task
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+_KEPT: dict[tuple[str, str], object] = {}  # per Python worker: what is dear to build and may serve the next task
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,11 +47,26 @@ def forget(*tables: DataFrame) -> None:
         remove(table.sparkSession, table.stored_at)
 
 
-def worker_cache(key: str, make: Callable[[], object]) -> object:
-    """One object per Python worker and key; it must not depend on anything but the key."""
-    if key not in _KEPT:
-        _KEPT[key] = make()
-    return _KEPT[key]
+def worker_cache(operator: str, key: str, make: Callable[[], object]) -> object:
+    """One object per Python worker, operator and key; it must not depend on anything but the key.
+
+    A worker that turns to another operator drops what the last one left.
+    """
+    for other in [k for k in _KEPT if k[0] != operator]:
+        del _KEPT[other]
+    if (operator, key) not in _KEPT:
+        _KEPT[operator, key] = make()
+    return _KEPT[operator, key]
+
+
+def stretches(text: bytes, size: int = 4_000_000) -> Iterator[bytes]:
+    """The text cut at blanks into parts of about so many bytes; no word is cut."""
+    at = 0
+    while at < len(text):
+        blank = _SPACE.search(text, at + size)
+        end = blank.start() if blank else len(text)
+        yield text[at:end] if at or blank else text
+        at = end + 1
 
 
 def blocks(batches: Iterable[pa.RecordBatch], chars: int = 400_000) -> Iterator[tuple[list, list[bytes | None]]]:
@@ -87,33 +106,42 @@ def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return values[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1])]
 
 
-class Spelled(dict):
-    """Numbers words as they come and holds the ids that `spell` gives for each; forgets all beyond `limit` words.
+def numbering() -> defaultdict:
+    """A new key takes the next number."""
+    own: defaultdict = defaultdict()
+    own.default_factory = own.__len__
+    return own
+
+
+class Spelled:
+    """Numbers keys (words, mostly) as they come and holds the ids that `spell` gives for each; forgets all beyond `limit` keys.
 
-    The limit bounds memory only: a forgotten word is spelled again.
+    The limit bounds memory only: a forgotten key is spelled again. `spell` takes a list of keys.
     """
 
-    def __init__(self, spell: Callable[[bytes], Iterable[int]], limit: int = 500_000):
-        super().__init__()
+    def __init__(self, spell: Callable[[list], Iterable[list[int]]], limit: int = 500_000):
         self.spell, self.limit = spell, limit
-        self.starts, self.ids = array("q", [0]), array("i")
-
-    def __missing__(self, word: bytes) -> int:
-        number = len(self.starts) - 1
-        self.ids.extend(self.spell(word))
-        self.starts.append(len(self.ids))
-        self[word] = number
-        return number
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-
-    def tokens(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words, and how many each word has."""
-        if len(self) > self.limit:
-            self.clear()
-            self.starts, self.ids = array("q", [0]), array("i")
-        numbers = self.numbers(words)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.own, self.starts, self.ids = numbering(), array("q", [0]), array("i")
+
+    def numbers(self, keys: list) -> np.ndarray:
+        before = len(self.own)
+        found = np.fromiter(map(self.own.__getitem__, keys), np.int64, len(keys))
+        if len(self.own) > before:
+            fresh = list(islice(reversed(self.own), len(self.own) - before))[::-1]
+            for at in range(0, len(fresh), 50_000):
+                spelled = list(self.spell(fresh[at : at + 50_000]))
+                self.ids.extend(chain.from_iterable(spelled))
+                self.starts.extend(accumulate(map(len, spelled[1:]), initial=self.starts[-1] + len(spelled[0])))
+        return found
+
+    def tokens(self, keys: list) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all keys, and how many each key has."""
+        if len(self.own) > self.limit:
+            self._forget()
+        numbers = self.numbers(keys)
         starts = np.frombuffer(self.starts, np.int64)
         begins = starts[numbers]
         lengths = starts[numbers + 1] - begins

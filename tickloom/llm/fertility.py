@@ -3,11 +3,12 @@
 A public vocabulary with byte fallback spells every word. Three figures follow for each document: characters per token,
 the share of tokens that are fallback bytes, and the entropy of its tokens as a share of the largest possible for so many
 tokens. Over all documents that pass the base rules, quartiles are taken per language, or per script where no language is
-given. A document is rejected when its characters per token lie further than a reach outside the quartiles of its group,
+given, and drawn towards wider ones: a group of n documents has n parts of its own quartiles and DRAW of its script's, and
+a script likewise of those over all documents, so that every document is judged by a band, small groups mostly by that of
+what they belong to, and no size makes a difference of kind. A document is rejected when its characters per token lie further than a reach outside the quartiles of its group,
 its byte share above, or its entropy below. The reach is REACH quartile distances for long documents and grows as
 sqrt(1 + SHORT / tokens) for short ones, whose figures scatter more.
-A group of fewer than GROUP documents is judged by the band over all documents of the script, whatever their language; only
-where the script has fewer than GROUP documents too, there is no band and the base rules alone decide. Quartiles are exact up to the rounding of the figures to STEP.
+Quartiles are exact up to the rounding of the figures to STEP.
 
 Base rules: at least 50 words, and at most half of them in three-word windows that occur twice or more.
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import Spelled, batch_of, blocks, bounds, stored, worker_cache
 
-REACH, SHORT, GROUP, STEP = 4.0, 300, 50, 1000
+REACH, SHORT, DRAW, STEP = 4.0, 300, 50, 1000
 FIGURES = {"chars_per_token": ("low", "high"), "byte_share": ("high",), "entropy": ("low",)}  # and the sides they reject on
 EDGES = ("low", "high", "reach")
 FLOORS = {"chars_per_token": 0.05, "byte_share": 0.01, "entropy": 0.01}  # quartile distances are at least this
@@ -61,7 +62,7 @@ def speller(path: str):
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return lambda word: model.encode(word.decode("utf-8"))
+    return lambda words: model.encode([w.decode("utf-8") for w in words], num_threads=1)
 
 
 def is_byte(path: str) -> np.ndarray:
@@ -71,11 +72,21 @@ def is_byte(path: str) -> np.ndarray:
     return np.array([model.is_byte(i) for i in range(model.vocab_size())])
 
 
+def _windows(numbers: np.ndarray) -> np.ndarray:
+    """One number per three-word window, the same for the same words. numbers: one per different word."""
+    if numbers.max() < 2**21:
+        return (numbers[:-2] << 42) | (numbers[1:-1] << 21) | numbers[2:]
+    # more words than three numbers in 64 bits can tell apart: pairs get numbers of their own first
+    words, own = np.unique(numbers, return_inverse=True)
+    _, pairs = np.unique(own[:-1] * len(words) + own[1:], return_inverse=True)
+    return pairs[:-1] * len(words) + own[2:]
+
+
 def repeated_words(numbers: np.ndarray) -> int:
-    """Words in three-word windows found twice or more. numbers: one per different word, below 2**21."""
+    """Words in three-word windows found twice or more."""
     if len(numbers) < 4:
         return 0
-    windows = (numbers[:-2] << 42) | (numbers[1:-1] << 21) | numbers[2:]
+    windows = _windows(numbers)
     order = np.argsort(windows, kind="stable")
     same = windows[order][1:] == windows[order][:-1]
     twice = np.zeros(len(windows), bool)
@@ -89,8 +100,8 @@ def repeated_words(numbers: np.ndarray) -> int:
 
 def _measure(path: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table: Spelled = worker_cache(f"fertility {path}", lambda: Spelled(speller(path)))
-        byte = worker_cache(f"bytes {path}", lambda: is_byte(path))
+        table: Spelled = worker_cache("fertility", f"words {path}", lambda: Spelled(speller(path)))
+        byte = worker_cache("fertility", f"bytes {path}", lambda: is_byte(path))
         for ids, texts in blocks(batches):
             texts = [t or b"" for t in texts]
             words = [t.split() for t in texts]
@@ -137,22 +148,38 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return rows.mapInArrow(_measure(path or default_vocabulary()), schema)
 
 
-def bands(rows: DataFrame, reach: float = REACH) -> DataFrame:
-    """`group` and for each figure its quartiles (low, high) and the reach beyond them, from rows with group and the figures."""
-    rounded = rows.select("group", *(F.round(F.col(f) * STEP).cast("long").alias(f) for f in FIGURES))
-    long = rounded.select("group", F.explode(F.array(*(F.struct(F.lit(f).alias("name"), F.col(f).alias("value")) for f in FIGURES))).alias("x"))
-    counts = long.groupBy("group", "x.name", "x.value").agg(F.count(F.lit(1)).alias("n"))
-    quartiles = counts.groupBy("group", "name").agg(
+def quartiles(rows: DataFrame, *group: str) -> DataFrame:
+    """The group columns, name (of the figure), n, low and high, from rows with the group and the figures."""
+    rounded = rows.select(*group, *(F.round(F.col(f) * STEP).cast("long").alias(f) for f in FIGURES))
+    long = rounded.select(*group, F.explode(F.array(*(F.struct(F.lit(f).alias("name"), F.col(f).alias("value")) for f in FIGURES))).alias("x"))
+    counts = long.groupBy(*group, "x.name", "x.value").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.groupBy(*group, "name").agg(
         F.percentile("value", F.array(F.lit(0.25), F.lit(0.75)), F.col("n")).alias("q"), F.sum("n").alias("n")
     )
-    low, high = F.col("q")[0] / STEP, F.col("q")[1] / STEP
-    floor = F.lit(None).cast("double")
-    for name, least in FLOORS.items():
-        floor = F.when(F.col("name") == name, F.lit(least)).otherwise(floor)
-    spread = F.greatest(high - low, floor) * reach
-    limits = quartiles.filter(F.col("n") >= GROUP).select("group", "name", low.alias("low"), high.alias("high"), spread.alias("reach"))
+    return found.select(*group, "name", "n", (F.col("q")[0] / STEP).alias("low"), (F.col("q")[1] / STEP).alias("high"))
+
+
+def _drawn(own: DataFrame, wider: DataFrame, keys: list[str]) -> DataFrame:
+    """The quartiles of `own`, drawn towards those of `wider` by DRAW documents; without own ones, the wider ones."""
+    other = wider.select(*keys, F.col("low").alias("wide_low"), F.col("high").alias("wide_high"))
+    n = F.coalesce("n", F.lit(0))
+    edges = [
+        ((n * F.coalesce(e, F.lit(0.0)) + DRAW * F.col(f"wide_{e}")) / (n + DRAW)).alias(e) for e in ("low", "high")
+    ]
+    return own.join(other, keys).select(*(c for c in own.columns if c not in ("low", "high")), *edges)
+
+
+def bands(sound: DataFrame, pairs: DataFrame, reach: float = REACH) -> DataFrame:
+    """For each pair of group and script: per figure its quartiles (low, high) and the reach beyond them."""
+    names = F.explode(F.array(*map(F.lit, FIGURES))).alias("name")
+    scripts = pairs.select("script").distinct().select("script", names).join(quartiles(sound, "script"), ["script", "name"], "left")
+    by_script = _drawn(scripts, quartiles(sound), ["name"])
+    groups = pairs.select("group", "script", names).join(quartiles(sound, "group"), ["group", "name"], "left")
+    found = _drawn(groups, by_script, ["script", "name"])
+    floor = F.create_map(*(x for name, least in FLOORS.items() for x in (F.lit(name), F.lit(least))))[F.col("name")]
+    found = found.withColumn("reach", F.greatest(F.col("high") - F.col("low"), floor) * reach)
     one = [F.max(F.when(F.col("name") == f, F.col(c))).alias(f"{f}_{c}") for f in FIGURES for c in EDGES]
-    return limits.groupBy("group").agg(*one)
+    return found.groupBy("group", "script").agg(*one)
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", path: str | None = None) -> DataFrame:
@@ -161,14 +188,9 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     group = F.coalesce(F.nullif(F.col("lang"), F.lit("")), F.concat(F.lit("script "), "script"))
     rows = measures(docs, id_col, text_col, lang_col, path).withColumn("base_failed", failed).withColumn("group", group)
     rows = stored(rows, "fertility")
-    sound = rows.filter("not base_failed")
     edges = [f"{f}_{c}" for f in FIGURES for c in EDGES]
-    by_script = bands(sound.withColumn("group", F.col("script"))).select(
-        F.col("group").alias("script"), *(F.col(c).alias(f"script_{c}") for c in edges)
-    )
-    # a group has all edges or none; the pairs are few, so the rows themselves are joined once
-    pairs = rows.select("group", "script").distinct().join(bands(sound), "group", "left").join(by_script, "script", "left")
-    limits = pairs.select("group", "script", *(F.coalesce(c, f"script_{c}").alias(c) for c in edges))
+    # the pairs are few, so the rows themselves are joined once
+    limits = stored(bands(rows.filter("not base_failed"), rows.select("group", "script").distinct()), "bands")
     both = rows.join(limits, ["group", "script"], "left")
     wide = F.sqrt(1 + SHORT / F.greatest(F.col("word_chars") / F.greatest("chars_per_token", F.lit(0.01)), F.lit(1)))
     inside = F.lit(True)

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import batch_of, blocks, forget, stored
 
 LETTERS = "ABCDE"
-BLOCK = 16_000_000  # bytes of text in a block, or one longer document
+BLOCK = 8_000_000  # bytes of text in a block, or one longer document
 BUCKET = 250_000  # words that a bucket numbers, counted once per block, at the mean
 CHUNK = 4_000_000  # bytes of a text that are words at the same time
 
@@ -174,30 +174,35 @@ def _shard(block: pa.Table, numbers: pa.Table) -> pa.Table:
     return block.set_column(block.schema.get_field_index("indices"), "indices", of_all)
 
 
+def _joined(blocks_: DataFrame, numbers: DataFrame):
+    left = blocks_.select("block", "rows", "indptr", "indices", "data").groupBy("block")
+    return left.cogroup(numbers.select("block", "bucket", "first", "numbers").groupBy("block"))
+
+
 def shards(blocks_: DataFrame, numbers: DataFrame) -> DataFrame:
     """The document-term matrix by blocks: documents, and compressed sparse rows whose columns are the words' global numbers.
 
     indptr and indices are little-endian 64-bit numbers, data 32-bit ones. The columns of a row come in no order.
     """
-    left = blocks_.select("block", "rows", "indptr", "indices", "data").groupBy("block")
-    right = numbers.select("block", "bucket", "first", "numbers").groupBy("block")
-    return left.cogroup(right).applyInArrow(_shard, f"block long, rows {_ROWS}, indptr binary, indices binary, data binary")
+    schema = f"block long, rows {_ROWS}, indptr binary, indices binary, data binary"
+    return _joined(blocks_, numbers).applyInArrow(_shard, schema)
 
 
-def _figures(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            indptr = np.frombuffer(batch.column("indptr")[i].as_py(), "<i8")
-            data = np.frombuffer(batch.column("data")[i].as_py(), "<u4")
-            rows = batch.column("rows")[i].values
-            columns = dict(zip((f.name for f in rows.type), rows.flatten()))
-            yield batch_of(**columns, n_words=pa.array(np.diff(np.concatenate(([0], np.cumsum(data, dtype=np.int64)))[indptr])), n_distinct=pa.array(np.diff(indptr)))
+def _figures(block: pa.Table, numbers: pa.Table) -> pa.Table:
+    """Sums and numbers of entries of a shard's rows, taken where the shard is made, so that it need not leave the task."""
+    shard = _shard(block, numbers)
+    indptr = np.frombuffer(shard.column("indptr")[0].as_py(), "<i8")
+    data = np.frombuffer(shard.column("data")[0].as_py(), "<u4")
+    rows = shard.column("rows")[0].values
+    columns = dict(zip((f.name for f in rows.type), rows.flatten()))
+    totals = np.concatenate(([0], np.cumsum(data, dtype=np.int64)))[indptr]
+    return pa.table({**columns, "n_words": np.diff(totals), "n_distinct": np.diff(indptr)})
 
 
-def figures(matrix: DataFrame) -> DataFrame:
+def figures(blocks_: DataFrame, numbers: DataFrame) -> DataFrame:
     """doc_id, part, digest, capitals, marks and the document's row sum (n_words) and stored entries (n_distinct)."""
     schema = "doc_id long, part string, digest binary, capitals boolean, marks boolean, n_words long, n_distinct long"
-    return matrix.select("rows", "indptr", "data").mapInArrow(_figures, schema)
+    return _joined(blocks_, numbers).applyInArrow(_figures, schema)
 
 
 def failures(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -260,7 +265,7 @@ def interactions(sets: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source") -> DataFrame:
     """part, filter_order, step and the counts kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley."""
     blocks_ = coded(docs, id_col, text_col, part_col)
-    rows = stored(figures(shards(blocks_, numbered(blocks_))), "figures")
+    rows = stored(figures(blocks_, numbered(blocks_)), "figures")
     forget(blocks_)
     sets = stored(failures(rows, labels), "failures")
     forget(rows)

@@ -221,7 +221,7 @@ class _Known:
 
 def _labelled(model: Model, switch: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: _Known = worker_cache(f"language {model.key}", lambda: _Known(model))
+        known: _Known = worker_cache("language", model.key, lambda: _Known(model))
         names = np.array([*model.languages, "und"])
         kind = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         for ids, texts in blocks(batches, 6_000_000):  # long enough for many documents side by side

@@ -4,7 +4,9 @@ Documents are tokenized, an end id is added, and each is cut into pieces of at m
 lengths has at most `width` rows, so it is packed on the driver: lengths are placed longest first, always into the
 packing pattern that is shortest so far, splitting its count where fewer pieces are left than packs. The result, a table
 of rank ranges per length, is bounded by the number of patterns. Every piece then finds its sequence and offset from its
-rank among the pieces of its length, which is counted per bucket, so one very common length is not ranked in one task.
+rank among the pieces of its length. The task that makes a piece numbers it among its own ones of that length, so a rank is
+that number and the count in earlier tasks: one row per task of at most `width` counts is joined to the pieces, and no piece
+is shuffled, sorted or ranked. Ids never leave the JVM again once they are stored.
 
 Rows: a null text counts as empty and gives one piece with the end id; a null doc_id is kept; repeated rows are packed
 each. An empty table gives an empty result. Other columns of the input are not read.
@@ -15,22 +17,26 @@ from __future__ import annotations
 import heapq
 import re
 import unicodedata
-from array import array
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import Spelled, batch_of, blocks, bounds, gather, stored, texts_of, worker_cache
+from tickloom.llm.common import Spelled, batch_of, blocks, bounds, forget, stored, stretches, texts_of, worker_cache
 
 WIDTH, END = 2048, 1
-BUCKET_ROWS = 50_000  # pieces ranked together
 
-# how word_bpe vocabularies cut a lower-cased text (fixed by the vocabulary file)
-_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|[_\x1c-\x1f])+")
-_PLAIN = re.compile(r"[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*\Z")  # one case mapping and no digits but 0-9
+# how word_bpe vocabularies cut a lower-cased text (fixed by the vocabulary file),
+# in texts without other characters than ASCII, Latin letters, basic Cyrillic, and marks of punctuation and currency:
+# these have one case mapping, and no digits but 0-9
+_LETTERS = "\xc0-\xd6\xd8-\xf6\xf8-\xff\u0100-\u012f\u0132-\u0148\u014a-\u017e\u0400-\u045f"
+_PLAIN = re.compile(f"[\x00-\x7f{_LETTERS}\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]*\\Z")
+_CUT = re.compile(f"[A-Za-z{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^A-Za-z{_LETTERS}0-9\t-\r\x20]+")
 
 
 def default_tokenizer() -> str:
@@ -39,76 +45,101 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def speller(path: str) -> Callable[[bytes], Iterable[int]]:
-    """The ids of one stretch without white space. Words that need no Unicode tables skip the normalizer."""
-    from tokenizers import Tokenizer
-
-    whole = Tokenizer.from_file(path)
-    model = whole.model
-    special = re.compile("|".join(re.escape(t.content) for t in whole.get_added_tokens_decoder().values()) or r"\Z.")
-    # the usual printable stand-ins of the 256 bytes (fixed by byte-level vocabularies)
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    table = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(shown))}
-    known: dict[str, list[int]] = {}
-
-    def part_ids(part: str) -> list[int]:
-        ids = known.get(part)
-        if ids is None:
-            seen = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(table)
-            if len(known) >= 200_000:
-                known.clear()
-            ids = known[part] = [t.id for t in model.tokenize(seen)]
-        return ids
-
-    def spell(word: bytes) -> list[int]:
-        if word.isalpha():  # ASCII letters alone are one part
-            return part_ids(word.lower().decode("ascii"))
-        if word[:-1].isalpha() and word[-1] in b".,":
-            return part_ids(word[:-1].lower().decode("ascii")) + part_ids(chr(word[-1]))
-        text = word.decode("utf-8")
-        if not (text.isascii() or _PLAIN.match(text)) or special.search(text):
-            return whole.encode(text, add_special_tokens=False).ids
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-        return [i for part in _CUT.findall(text.lower()) for i in part_ids(part)]
+class Cutter:
+    """Texts as keys that are spelled by themselves, and the ids of a key.
+
+    A text that needs no Unicode tables is cut here, into the parts (str) that the tokenizer's model sees; its words then
+    share parts. Others are cut at blanks, and the whole tokenizer spells each stretch (bytes).
+    """
 
-    return spell
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
+        self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
+        names = (re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values())
+        self.special = re.compile("|".join(names) or r"\Z.")
+        # the usual printable stand-ins of the 256 bytes (fixed by byte-level vocabularies)
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.table = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(shown))}
 
-def _pieces(path: str, width: int, end: int):
+    def keys(self, raw: bytes) -> list:
+        text = raw.decode("utf-8")
+        if not (text.isascii() or _PLAIN.match(text)) or self.special.search(text):
+            return raw.split()
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text)
+        return _CUT.findall(text.lower())
+
+    def spell(self, keys: list) -> list[list[int]]:
+        model, whole, table = self.model.tokenize, self.whole.encode, self.table
+        return [
+            [t.id for t in model(key if key.isascii() and key.isprintable() else key.encode().decode("latin-1").translate(table))]
+            if type(key) is str
+            else whole(key.decode("utf-8"), add_special_tokens=False).ids
+            for key in keys
+        ]
+
+
+def _numbers(lengths: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Each length's place among the equal ones, those `seen` before included, and adds to `seen`."""
+    order = np.argsort(lengths, kind="stable")
+    ordered = lengths[order]
+    first = np.searchsorted(ordered, ordered, side="left")
+    out = np.empty(len(lengths), np.int64)
+    out[order] = seen[ordered] + np.arange(len(lengths)) - first
+    seen += np.bincount(lengths, minlength=len(seen))
+    return out
+
+
+def _pieces(path: str, width: int, end: int, with_ids: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table: Spelled = worker_cache(f"packing {path}", lambda: Spelled(speller(path), 700_000))
+        cutter: Cutter = worker_cache("packing", f"cutter {path}", lambda: Cutter(path))
+        table: Spelled = worker_cache("packing", f"keys {path}", lambda: Spelled(cutter.spell, 400_000))
+        task, seen = TaskContext.get().partitionId(), np.zeros(width + 1, np.int64)
         for ids, texts in blocks(batches):
-            words = [(t or b"").split() for t in texts]
-            flat = [w for own in words for w in own]
-            tokens, lengths = table.tokens(flat)
-            at = bounds(lengths)[bounds(map(len, words))]
+            keys, sizes = [], []
+            for text in texts:
+                before = len(keys)
+                for part in stretches(text or b""):
+                    keys += cutter.keys(part)
+                sizes.append(len(keys) - before)
+            tokens, lengths = table.tokens(keys)
+            at = bounds(lengths)[bounds(sizes)]
             totals = np.diff(at) + 1
             pieces = -(-totals // width)
             doc = np.repeat(np.arange(len(ids)), pieces)
             start = (np.arange(len(doc)) - np.repeat(bounds(pieces)[:-1], pieces)) * width
             length = np.minimum(totals[doc] - start, width)
             # the ids of all documents with their end ids, in one array
-            full = np.insert(tokens, at[1:], end).astype("<u4")
+            data = memoryview(np.insert(tokens, at[1:], end).astype("<u4").tobytes())
             begins = bounds(totals)[:-1][doc] + start
-            data = full.tobytes()
+            own = [data[4 * a : 4 * b] for a, b in zip(begins.tolist(), (begins + length).tolist())]
+            columns = {"ids": pa.array(map(bytes, own), pa.binary())} if with_ids else {}
             yield batch_of(
                 doc_id=pa.array([ids[i] for i in doc.tolist()], pa.int64()),
                 start=pa.array(start, pa.int64()),
                 length=pa.array(length, pa.int64()),
                 doc_tokens=pa.array(totals[doc], pa.int64()),
-                ids=pa.array([data[4 * a : 4 * b] for a, b in zip(begins.tolist(), (begins + length).tolist())], pa.binary()),
+                ids_crc32=pa.array(map(zlib.crc32, own), pa.int64()),
+                task=pa.array(np.full(len(doc), task, np.int32)),
+                number=pa.array(_numbers(length, seen)),
+                **columns,
             )
 
     return run
 
 
 def pieces(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, width: int = WIDTH, end: int = END
-) -> DataFrame:
-    """doc_id, start, length, doc_tokens, ids (little-endian unsigned 32-bit numbers) per piece."""
-    schema = "doc_id long, start long, length long, doc_tokens long, ids binary"
-    return texts_of(docs, id_col, text_col).mapInArrow(_pieces(path or default_tokenizer(), width, end), schema)
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, width: int = WIDTH, end: int = END,
+    with_ids: bool = True,
+) -> DataFrame:
+    """doc_id, start, length, doc_tokens, ids_crc32, and ids (little-endian unsigned 32-bit numbers) per piece.
+
+    task and number, the place among the pieces of its length that its task made, are for `pack`.
+    """
+    schema = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long, task int, number long" + (", ids binary" if with_ids else "")
+    return texts_of(docs, id_col, text_col).mapInArrow(_pieces(path or default_tokenizer(), width, end, with_ids), schema)
 
 
 def patterns(histogram: dict[int, int], width: int) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -156,41 +187,35 @@ def slots(found: list[tuple[int, list[tuple[int, int]]]]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
-def _placed(table: np.ndarray, schema: pa.Schema):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_length = {int(n): table[table[:, 0] == n] for n in np.unique(table[:, 0])}
-        for batch in batches:
-            length = batch.column("length").to_numpy()
-            rank = batch.column("rank").to_numpy()
-            sequence, offset = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)
-            for n in np.unique(length).tolist():
-                own = np.flatnonzero(length == n)
-                slot = by_length[n][np.searchsorted(by_length[n][:, 1], rank[own], side="right") - 1]
-                past = rank[own] - slot[:, 1]
-                sequence[own] = slot[:, 2] + past // slot[:, 4]
-                offset[own] = slot[:, 3] + past % slot[:, 4] * n
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sequence), pa.array(offset)], schema=schema)
-
-    return run
-
-
 def pack(found: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The pieces with sequence_id and offset. `found` has length <= width, doc_id and start, and is read three times."""
-    rows = stored(found.withColumn("row_", F.monotonically_increasing_id()), "pieces")
-    n = rows.count()
-    bucketed = rows.withColumn("bucket_", F.pmod(F.xxhash64("doc_id", "start", "row_"), F.lit(n // BUCKET_ROWS + 1)))
-    counts = stored(bucketed.groupBy("length", "bucket_").agg(F.count(F.lit(1)).alias("n")), "lengths")
+    """All rows of `pieces`, with sequence_id and offset."""
+    rows = stored(found, "pieces")
+    counts = stored(rows.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")), "lengths")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # <= width rows
     table = slots(patterns(histogram, width))
-    before = Window.partitionBy("length").orderBy("bucket_").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select("length", "bucket_", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    order = Window.partitionBy("length", "bucket_").orderBy("doc_id", "start", "row_")
-    ranked = bucketed.join(base, ["length", "bucket_"]).withColumn("rank", F.col("base") + F.row_number().over(order) - 1)
-    names = [c for c in rows.columns if c != "row_"]
-    out = rows.select(*names, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).schema
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return ranked.select(*names, "rank").mapInArrow(_placed(table, to_arrow_schema(out)), out)
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select("task", F.struct("length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")).alias("x"))
+    # of known size: Spark sends it to all tasks when it is small, and joins by task otherwise
+    bases = stored(base.groupBy("task").agg(F.map_from_entries(F.collect_list("x")).alias("bases")), "bases")
+    forget(counts)
+
+    @F.pandas_udf("sequence_id long, offset long")
+    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
+        n, rank = length.to_numpy(), rank.to_numpy()
+        # the slots are in order of length and first rank: the last one that does not lie behind
+        key = np.searchsorted(table[:, 0], n, side="left")
+        sequence, offset = np.empty(len(n), np.int64), np.empty(len(n), np.int64)
+        for k in np.unique(key).tolist():
+            own = np.flatnonzero(key == k)
+            own_slots = table[k : np.searchsorted(table[:, 0], table[k, 0], side="right")]
+            slot = own_slots[np.searchsorted(own_slots[:, 1], rank[own], side="right") - 1]
+            past = rank[own] - slot[:, 1]
+            sequence[own] = slot[:, 2] + past // slot[:, 4]
+            offset[own] = slot[:, 3] + past % slot[:, 4] * slot[:, 0]
+        return pd.DataFrame({"sequence_id": sequence, "offset": offset})
+
+    ranked = rows.join(bases, "task").withColumn("place", place("length", F.col("number") + F.col("bases")[F.col("length")]))
+    return ranked.select(*(c for c in rows.columns if c not in ("task", "number")), "place.sequence_id", "place.offset")
 
 
 def sequences(placed: DataFrame) -> DataFrame:

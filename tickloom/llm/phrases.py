@@ -60,7 +60,7 @@ def _powers(base: int, n: int) -> np.ndarray:
         found[0] = 1
         return np.multiply.accumulate(found)
 
-    return worker_cache(f"powers {base} {size}", make)
+    return worker_cache("phrases", f"powers {base} {size}", make)
 
 
 def _power(n: int) -> np.uint64:

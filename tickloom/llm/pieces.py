@@ -153,7 +153,7 @@ class _Encoder:
 
 def _encoded(path: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder: _Encoder = worker_cache(f"pieces {path}", lambda: _Encoder(Vocabulary.load(path)))
+        encoder: _Encoder = worker_cache("pieces", f"encoder {path}", lambda: _Encoder(Vocabulary.load(path)))
         for ids, texts in blocks(batches, 2_000_000):
             words = [marked((t or b"").decode("utf-8")) for t in texts]
             tokens, lengths = encoder.encode([w for own in words for w in own])
@@ -171,7 +171,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
 
 def _decoded(path: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary: Vocabulary = worker_cache(f"vocabulary {path}", lambda: Vocabulary.load(path))
+        vocabulary: Vocabulary = worker_cache("pieces", f"vocabulary {path}", lambda: Vocabulary.load(path))
         for batch in batches:
             texts = [vocabulary.decode(np.frombuffer(v.as_py() or b"", "<u4").tolist()) for v in batch.column("ids")]
             yield batch_of(doc_id=batch.column("doc_id"), ids=batch.column("ids"), text=pa.array([t.decode("utf-8", "replace") for t in texts]))

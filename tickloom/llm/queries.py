@@ -61,9 +61,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pieces(read_documents(spark, sf_dir))
-    # the digest is taken where the ids are made; what is ranked and joined afterwards is a few numbers per piece
-    return packing.pack(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
+    return packing.pack(packing.pieces(read_documents(spark, sf_dir), with_ids=False))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

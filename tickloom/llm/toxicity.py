@@ -77,11 +77,11 @@ class Model:
     leak: float | None = None  # logit, once in a document; without it each sentence without a word of the model has the bias
 
     def __post_init__(self) -> None:
-        self.key = "toxicity " + hashlib.sha256(repr(sorted(self.weights)).encode()).hexdigest()
+        self.key = hashlib.sha256(repr(sorted(self.weights)).encode()).hexdigest()
 
     @property
     def known(self) -> _Known:
-        return worker_cache(self.key, lambda: _Known(self.weights))
+        return worker_cache("toxicity", self.key, lambda: _Known(self.weights))
 
     def sentences(self, text: bytes | None) -> Iterator[tuple[int, int, float]]:
         """Byte range and logit of each sentence with a word; with a leak, with a word of the model."""
@@ -263,12 +263,22 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS, skip: F.C
     return Model(bias, {w: float(x) for w, x in zip(words, weights) if x > 0}, leak)
 
 
+def code_points(text: bytes, ranges: list[tuple[int, int, float]]) -> Iterator[tuple[int, int]]:
+    """Ranges of bytes, in order and apart, as ranges of code points; every byte is read once."""
+    at = points = 0
+    for a, b, _ in ranges:
+        start = points + len(text[at:a].decode())
+        points = start + len(text[a:b].decode())
+        at = b
+        yield start, points
+
+
 def _scores(model: Model):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in blocks(batches):
             found = [model.score(t) for t in texts]
             spans = [
-                [{"start": len(t[:a].decode()), "end": len(t[:b].decode()), "score": p} for a, b, p in hits]
+                [{"start": a, "end": b, "score": p} for (a, b), (_, _, p) in zip(code_points(t or b"", hits), hits)]
                 for t, (_, hits) in zip(texts, found)
             ]
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
