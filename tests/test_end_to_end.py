@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 
 from model import closed_points
 from pyspark.sql import functions as F
-from test_bars import collected, crafted_rows
+from test_bars import collected, staged_rows
 
 from tickloom.functions.hashing import partition_of
 from tickloom.operators import bars, ema, history, ingest, registry, replay
@@ -14,7 +14,7 @@ LOCAL = datetime(2021, 11, 8, 9)  # 08:00 UTC on the market's clock
 
 
 def test_files_to_points(spark, tmp_path):
-    rows = crafted_rows()
+    rows = staged_rows()
     half = len(rows) // 2
     for name, part in (("b.csv", rows[:half]), ("a.csv", rows[half:])):
         lines = ["# tick file", "ID,SecType,Date,Time,Last,Trading time,Trading date"]
@@ -43,13 +43,13 @@ def test_files_to_points(spark, tmp_path):
         assert {(r.symbol, r.partition) for r in again.select("symbol", "partition").distinct().collect()} == set(place.items())
         assert again.count() == len(rows)
         found = {r.symbol: r.first_seen for r in registry.symbol_registry(ticks).collect()}
-        assert set(found) == set(symbols) and min(found.values()) == datetime(2021, 11, 8, 8, 0, 30)
+        assert set(found) == set(symbols) and min(found.values()) == datetime(2021, 11, 8, 8, 0, 12)
         counts = {r.status: r.n for r in rows_read.groupBy("status").agg(F.count("*").alias("n")).collect()}
         assert counts["accepted"] == len(rows) and counts["rejected"] == counts["skipped"] // 2
-        newest = history.history_lookup(points, "DOWNUP.NL", limit=5).collect()
-        assert [r.close for r in newest] == [200.0] * 5
+        newest = history.history_lookup(points, "DIP", limit=5).collect()
+        assert [r.close for r in newest] == [90.0] * 5
         assert newest == sorted(newest, key=lambda r: r.window_start)
         start = base + 79 * 300_000
-        assert history.history_lookup(points, "DOWNUP.NL", start, start).count() == 1
+        assert history.history_lookup(points, "DIP", start, start).count() == 1
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")

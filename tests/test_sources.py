@@ -37,11 +37,16 @@ def test_csv_headers_quotes_and_comments(spark, tmp_path):
     assert events.select("symbol", "price").collect() == [("A.X", 1.5)]
 
 
-def test_csv_with_another_header_is_not_misread(spark, tmp_path):
+def test_every_csv_is_read_by_its_own_header(spark, tmp_path):
     (tmp_path / "a.csv").write_text("ID,SecType,Last\nA,E,1\n")
-    (tmp_path / "b.csv").write_text("SecType,ID,Last\nE,A,1\n")
-    with pytest.raises(Exception, match="CSV header does not conform"):
-        files.read_ticks_csv(spark, str(tmp_path)).collect()
+    (tmp_path / "b.csv").write_text("# note\nSecType,ID,Last\nI,B,2\nE,C,3\n")
+    (tmp_path / "c.csv").write_text("last ,Id,Venue\n4,D,X\n")
+    (tmp_path / "d.csv").write_text("ID,SecType,Last\n")
+    rows = {r.id: r for r in files.read_ticks_csv(spark, str(tmp_path)).collect()}
+    assert {k: (r.sectype, r.last, r.venue) for k, r in rows.items()} == {
+        "A": ("E", "1", None), "B": ("I", "2", None), "C": ("E", "3", None), "D": (None, "4", "X"),
+    }
+    assert [rows[k].row_id < rows["C"].row_id for k in "B"] == [True]
 
 
 def test_positional_rows(spark, tmp_path):
