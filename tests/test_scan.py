@@ -66,6 +66,22 @@ def test_ranked(spark):
         assert (row.rank, row.symbol, row.upto) == (place, symbol, total)
 
 
+def test_ranges_are_even_whatever_the_names(spark):
+    """A value that all rows share, names with a long common beginning, and two names that do not have it."""
+    rows = spark.range(20_000).select(F.concat(F.lit("EXCHANGE-SYMBOL-"), F.col("id")).alias("symbol"), F.lit(1).cast("long").alias("n"))
+    rows = rows.unionByName(spark.createDataFrame([("A", 1), ("Z", 1)], rows.schema))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = scan._in_ranges(rows, F.col("n").desc(), F.col("symbol").asc())
+        sizes = [r["count"] for r in placed.groupBy(F.shiftright("__id", 33)).count().collect()]
+        assert len(sizes) >= 4 and max(sizes) < 20_002 / 3
+        got = scan.ranked(rows, "n", "symbol", {"upto": "n"}).where("rank IN (1, 2, 10000, 20002)").orderBy("rank").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    names = sorted(r.symbol for r in rows.collect())
+    assert [(r.symbol, r.rank, r.upto) for r in got] == [(names[k - 1], k, k) for k in (1, 2, 10_000, 20_002)]
+
+
 @pytest.mark.parametrize("accept_open", [False, True])
 def test_first_runs(spark, accept_open):
     rnd = random.Random(6)

@@ -1,8 +1,10 @@
 """File discovery, CSV and JSON sources, topic records, batch tables."""
 
 import json
+import shutil
 from datetime import date, datetime, timedelta, timezone
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from tickloom.operators import ingest as i
 from tickloom.operators import profile as p
 from tickloom.operators.registry import latest_per_key, symbol_list, symbol_search
 from tickloom.schemas import POSITIONAL
-from tickloom.sources import files, kafka, tables
+from tickloom.sources import files, kafka, manifest, tables
 
 
 def test_discovery(spark, tmp_path):
@@ -126,8 +128,10 @@ def test_history_is_compacted_pruned_and_expired(spark, tmp_path):
     before = sorted(map(tuple, tables.read_history(spark, path).select("symbol", "window_start").collect()))
     tables.compact_history(spark, path, date(2023, 3, 28), days=10_000)
     assert sorted(map(tuple, tables.read_history(spark, path).select("symbol", "window_start").collect())) == before
-    assert len(list((tmp_path / "h").glob("day=*"))) == 3 and len(list((tmp_path / "h_days").glob("day=*"))) == 27
-    # a compaction that stopped before it removed a micro-batch's folder
+    assert len(list((tmp_path / "h").glob("day=*"))) == 30  # for readers that have begun
+    tables.clean_history(spark, path)
+    assert len(list((tmp_path / "h").glob("day=*"))) == 3 and len(list((tmp_path / "h_days").glob("commit=*/day=*"))) == 27
+    # a micro-batch that runs again writes rows that are compacted already
     tables.write_batch(frame.where("close = 20"), path, 0, by_day="window_start")
     assert tables.read_history(spark, path).count() == len(before)
     at = int((newest - timedelta(days=5)).timestamp() * 1000)
@@ -137,9 +141,117 @@ def test_history_is_compacted_pruned_and_expired(spark, tmp_path):
     filters = [line.split("PartitionFilters: ")[1] for line in plan.splitlines() if "PartitionFilters: " in line]
     assert filters and all(">=" in f and "<=" in f for f in filters)
     assert history.day_view(tables.read_history(spark, path), date(2023, 3, 9)).count() == 3
+    # rows of a later micro-batch for a compacted day are neither lost nor read twice
+    extra = spark.createDataFrame([("D", newest - timedelta(days=5), 99.0)], "symbol string, window_start timestamp, close double")
+    for _ in range(2):
+        tables.write_batch(extra, path, 7, by_day="window_start")
+        assert tables.read_history(spark, path).count() == len(before) + 1
+        tables.compact_history(spark, path, date(2023, 3, 28), days=10_000)
+    tables.clean_history(spark, path)
+    assert tables.read_history(spark, path).count() == len(before) + 1
     tables.compact_history(spark, path, date(2023, 3, 31), days=14)
     kept = tables.read_history(spark, path)
-    assert kept.agg(F.min("day")).first()[0] == date(2023, 3, 16) and history.retained(kept).count() == 14 * 3
+    assert kept.agg(F.min("day")).first()[0] == date(2023, 3, 16)
+    assert history.retained(kept.where("symbol <> 'D'")).count() == 14 * 3
+
+
+def small_history(spark, path, days=4):
+    start = datetime(2023, 3, 1, 12, tzinfo=timezone.utc)
+    rows = [(s, start + timedelta(days=n), float(n)) for n in range(days) for s in "AB"]
+    frame = spark.createDataFrame(rows, "symbol string, window_start timestamp, close double")
+    for batch in range(2):
+        tables.write_batch(frame.where(F.col("symbol") == "AB"[batch]), path, batch, by_day="window_start")
+    return sorted((r[0], r[1].day) for r in rows)
+
+
+def shown(spark, path):
+    return sorted((r.symbol, r.window_start.day) for r in tables.read_history(spark, path).select("symbol", "window_start").collect())
+
+
+def test_a_compaction_cut_anywhere_leaves_the_old_or_the_new_state(spark, tmp_path, monkeypatch):
+    """Two compactions in a row, the second one cut before and after each of its steps."""
+    small_history(spark, str(tmp_path / "made/h"))
+    made = str(tmp_path / "made/h")
+    tables.compact_history(spark, made, date(2023, 3, 3), days=10_000)
+    old = shown(spark, made)
+    new = [r for r in old if r[1] >= 3]  # the days from the third one on stay
+    steps = {"remove": manifest, "commit": manifest, "forget_versions": manifest, "_write_days": tables}
+    real = {name: getattr(module, name) for name, module in steps.items()}
+    calls = []
+
+    def cut(at, after):
+        calls.clear()
+
+        def wrap(name):
+            def run(*args, **kwargs):
+                calls.append(name)
+                if len(calls) == at and not after:
+                    raise RuntimeError("cut")
+                real[name](*args, **kwargs)
+                if len(calls) == at and after:
+                    raise RuntimeError("cut")
+
+            return run
+
+        for name, module in steps.items():
+            monkeypatch.setattr(module, name, wrap(name))
+
+    total, n = None, 0
+    while total is None or n < total:
+        for after in (False, True):
+            path = str(tmp_path / f"cut{n}{after}/h")
+            shutil.copytree(tmp_path / "made", tmp_path / f"cut{n}{after}")
+            cut(n, after)
+            try:
+                tables.compact_history(spark, path, date(2023, 3, 5), days=1)
+                assert n == 0
+                total = len(calls) + 1
+            except RuntimeError:
+                pass
+            finally:
+                monkeypatch.undo()
+            found = shown(spark, path)
+            assert found in (old, new), (n, after, calls)
+            assert (found == new) == (n == 0 or "commit" in calls and (calls[-1] != "commit" or after)), (n, after, calls)
+            if after:
+                tables.compact_history(spark, path, date(2023, 3, 5), days=1)
+                tables.clean_history(spark, path)
+                assert shown(spark, path) == new and not list((tmp_path / f"cut{n}{after}/h").glob("day=*"))
+        n += 1
+    assert {"remove", "commit", "_write_days"} <= set(real) and total >= 5
+
+
+def test_a_version_is_written_once(spark, tmp_path):
+    path = str(tmp_path / "h")
+    manifest.commit(spark, path, manifest.Manifest(1, {"2023-03-01": manifest.Day("c", 4)}, "2023-02-01"))
+    assert manifest.current(spark, path).holds("2023-03-01", 4) and not manifest.current(spark, path).holds("2023-03-01", 5)
+    assert manifest.current(spark, path).holds("2023-01-31", 9)
+    with pytest.raises(FileExistsError):
+        manifest.commit(spark, path, manifest.Manifest(1, {}, ""))
+    manifest.commit(spark, path, manifest.Manifest(2, {}, ""))
+    assert manifest.current(spark, path).days == {}
+
+
+def test_a_lookup_of_one_symbol_skips_most_files_of_a_day(spark, tmp_path):
+    start = datetime(2023, 3, 1, tzinfo=timezone.utc)
+    rows = spark.range(20_000).selectExpr("concat('S', id % 400) AS symbol", "id")
+    rows = rows.select("symbol", (F.lit(start) + F.make_dt_interval(secs=F.col("id"))).alias("window_start"), F.col("id").cast("double").alias("close"))
+    path = str(tmp_path / "h")
+    tables.write_batch(rows, path, 0, by_day="window_start")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "1000")
+    try:
+        tables.compact_history(spark, path, date(2023, 3, 2))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    ranges = []
+    for file in (tmp_path / "h_days").glob("commit=*/day=*/*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        columns = {meta.row_group(0).column(i).path_in_schema: meta.row_group(0).column(i) for i in range(meta.num_columns)}
+        ranges.append((columns["symbol"].statistics.min, columns["symbol"].statistics.max))
+    assert len(ranges) >= 20
+    assert sum(low <= "S77" <= high for low, high in ranges) <= 2
+    found = history.history_lookup(tables.read_history(spark, path), "S77")
+    assert found.count() == 50
 
 
 def test_runs_and_sparse_csv(spark, tmp_path):

@@ -10,12 +10,12 @@ state travels as one extra row per block, so there is no join.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.session import work_dir
+
 BLOCK_ROWS = 1 << 20
 
 _BLOCK, _REAL = "__block", "__real"
@@ -118,47 +118,32 @@ def neighbours(
     )
 
 
-# Ranges a crowded value's rows are cut into when they are ranked.
-TIE_RANGES = 256
-
-
-def _text_place(text: Column, skipped: int) -> Column:
-    """A number that orders texts by the six bytes after the first ``skipped`` ones."""
-    tail = F.hex(F.substring(F.encode(text, "UTF-8"), skipped + 1, 6))
-    return F.conv(F.rpad(tail, 12, "0"), 16, 10).cast("bigint")
-
-
-def _tie_ranges(df: DataFrame, tie: str) -> Column:
-    """Which of about equally full ranges of the data's own ties a row's tie lies in; ranges follow the order of ties.
+def _in_ranges(df: DataFrame, *order: Column) -> DataFrame:
+    """The rows stored in ranges of about equal size, with ``__id``: their place, the range in its upper bits.
 
-    The cuts are a few numbers taken once, so every use of the ranges sees the same ones.
+    Spark cuts the ranges by a sample of the whole order, ties included, so a value that very many rows share is cut
+    as well. They are stored, so that every later use sees the same ranges.
     """
-    least, most = (x.encode() if x is not None else b"" for x in df.agg(F.min(tie), F.max(tie)).first())
-    skipped = len(os.path.commonprefix([least, most]))
-    place = _text_place(F.col(tie), skipped)
-    fractions = F.array(*[F.lit(i / TIE_RANGES) for i in range(1, TIE_RANGES)])
-    cuts = df.agg(F.percentile_approx(place, fractions, 10 * TIE_RANGES)).first()[0] or []
-    known = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<bigint>")
-    return F.aggregate(known, F.lit(0), lambda n, c: n + (c < place).cast("int"))
+    spark = df.sparkSession
+    path = work_dir(spark, "ranges")
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.withColumn("__id", F.monotonically_increasing_id()).write.parquet(path)
+    return spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__id", T.LongType())])).parquet(path)
 
 
 def ranked(df: DataFrame, value: str, tie: str, cumulative: dict[str, str], rank: str = "rank") -> DataFrame:
     """Row number by ``value`` descending then ``tie``, with running totals (new name → column).
 
-    Equal small values are the crowded case (a long tail of symbols with one
-    event). A block of a whole number up to 256 holds that value only, so it is
-    cut again into ranges of ``tie``. ``df`` is read for the cuts first: store it.
+    The rows are stored in ranges of this order; sums per range give every range what lies before it.
     """
-    v = F.col(value)
-    part = F.when((v == F.floor(v)) & (F.abs(v) <= 256), _tie_ranges(df, tie))
-    placed = df.withColumns({"__place": F.struct((-v).alias("v"), F.col(tie).alias("t")), "__one": F.lit(1)})
+    placed = _in_ranges(df, F.col(value).desc(), F.col(tie).asc()).withColumn("__one", F.lit(1))
     return running(
         placed,
-        order="__place",
-        block=F.struct((-value_block(v)).alias("b"), part.alias("t")),
+        order="__id",
+        block=F.shiftright("__id", 33),
         values={rank: ("__one", "sum"), **{new: (c, "sum") for new, c in cumulative.items()}},
         inclusive=True,
-    ).drop("__place", "__one")
+    ).drop("__id", "__one")
 
 
 def quantiles(

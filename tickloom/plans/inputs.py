@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.operators.scan import BLOCK_ROWS, running
 from tickloom.session import use_utc
 
 # How far the shuffled arrival order may move an event.
@@ -89,8 +90,10 @@ def topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
     )
     partition = F.pmod("user_id", F.lit(6)).cast("int")
-    offset = F.row_number().over(Window.partitionBy("partition").orderBy("event_id")) - 1
-    rows = table(spark, sf_dir, "events").where("value > 0").withColumn("partition", partition)
+    events = table(spark, sf_dir, "events").where("value > 0").withColumn("partition", partition).withColumn("one", F.lit(1))
+    # a topic partition may hold any number of records: their places come from counts per block
+    rows = running(events, keys=["partition"], order="event_id", block=F.expr(f"event_id div {BLOCK_ROWS}"), values={"before": ("one", "sum")})
+    offset = F.coalesce("before", F.lit(0))
     value = F.when(e % 29 == 0, F.lit(" ")).when(e % 13 == 0, F.lit('{"symbol":')).otherwise(F.to_json(body))
     return rows.select("partition", offset.cast("bigint").alias("offset"), value.alias("value"))
 

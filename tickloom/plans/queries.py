@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.hashing import partition_of
@@ -19,6 +19,7 @@ from tickloom.operators import profile as p
 from tickloom.operators import registry as r
 from tickloom.operators import replay as rp
 from tickloom.operators import telemetry as t
+from tickloom.operators.scan import arrival_block, running
 from tickloom.plans import inputs as src
 from tickloom.plans.inputs import DAYS, plain
 from tickloom.schemas import POINT_JSON_DDL, POSITIONAL
@@ -302,14 +303,15 @@ def csv_mixed_headers(spark, sf):
 def mixed_inputs_order(spark, sf):
     """CSV files come before NDJSON files, whatever their times; inside a file the rows keep their order."""
     out = work_dir(spark, "inputs")
-    raw = src.raw_rows(spark, sf)
-    csv = raw.where("event_id % 2 = 1").orderBy("event_id").drop("event_id").coalesce(1)
-    csv.write.option("header", True).csv(f"{out}/csv")
-    lines = i.event_json(i.accepted(i.classify(raw.where("event_id % 2 = 0"))).orderBy("event_id").coalesce(1))
-    lines.select("value").write.text(f"{out}/ndjson")
-    ticks = rp.with_arrival(i.accepted(files.read_inputs(spark, f"{out}/csv", f"{out}/ndjson")))
-    place = F.row_number().over(Window.orderBy("arrival")).cast("bigint")
-    return plain(ticks.select(place.alias("place"), "symbol", "price", "event_ts"))
+    raw = src.raw_rows(spark, sf).repartitionByRange("event_id").sortWithinPartitions("event_id")
+    several = {"maxRecordsPerFile": 5000}
+    csv = raw.where("event_id % 2 = 1").drop("event_id")
+    csv.write.options(header=True, **several).csv(f"{out}/csv")
+    lines = i.event_json(i.accepted(i.classify(raw.where("event_id % 2 = 0"))))
+    lines.select("value").write.options(**several).text(f"{out}/ndjson")
+    ticks = rp.with_arrival(i.accepted(files.read_inputs(spark, f"{out}/csv", f"{out}/ndjson"))).withColumn("one", F.lit(1))
+    placed = running(ticks, order="arrival", block=arrival_block(ticks), values={"place": ("one", "sum")}, inclusive=True)
+    return plain(placed.select("place", "symbol", "price", "event_ts"))
 
 
 @query
@@ -608,9 +610,9 @@ def ranking_file(spark, sf):
 def sparse_rows(spark, sf):
     """Rows of two shapes in one CSV file set."""
     out = f"{work_dir(spark, 'sparse')}/rows"
-    nations = src.table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("key"), F.col("n_name").alias("nation"))
-    regions = src.table(spark, sf, "region").select(F.col("r_regionkey").cast("string").alias("key"), F.col("r_name").alias("region"))
-    tables.write_sparse_csv([nations, regions], out)
+    events = src.table(spark, sf, "events").select(F.col("event_id").cast("string").alias("key"), "event_type")
+    orders = src.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("key"), F.col("o_orderstatus").alias("status"))
+    tables.write_sparse_csv([events, orders], out)
     return spark.read.option("header", True).csv(out)
 
 

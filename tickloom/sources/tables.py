@@ -6,7 +6,9 @@ failure replaces its own rows instead of adding them twice.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,8 @@ from pyspark.sql import functions as F
 from tickloom.operators.registry import new_symbols
 from tickloom.operators.replay import replay_range
 from tickloom.schemas import HISTORY_DAYS
+from tickloom.sources import manifest
+from tickloom.sources.manifest import remove  # noqa: F401  (part of this module's interface)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, by_day: str | None = None) -> None:
@@ -58,20 +62,6 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of a table, wherever it is stored; one that is not there is no error."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
-def _folders(spark: SparkSession, path: str, key: str) -> list[str]:
-    """The values of a table's first partition column, from its folder names."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
-    return sorted(n[len(key) + 1 :] for n in names if n.startswith(f"{key}="))
-
-
 # What a stored point consists of; ``day`` is the folder.
 HISTORY = (
     "symbol STRING, window_start TIMESTAMP, window_end TIMESTAMP, close DOUBLE, ema38 DOUBLE, ema100 DOUBLE, "
@@ -79,38 +69,92 @@ HISTORY = (
 )
 
 
+def _batches(spark: SparkSession, path: str) -> dict[str, list[int]]:
+    """The micro-batches that have rows of a day, by day."""
+    found: dict[str, list[int]] = {}
+    for folder in manifest.listing(spark, f"{path}/day=*/batch_id=*"):
+        day, batch = (part.partition("=")[2] for part in folder.split("/")[-2:])
+        found.setdefault(day, []).append(int(batch))
+    return found
+
+
+def _points(spark: SparkSession, path: str, compacted: dict[str, manifest.Day], batches: dict[str, list[int]]) -> DataFrame:
+    """History points of the given compacted days and of the given micro-batches of days."""
+    parts = [
+        (f"{path}_days", f"{HISTORY}, commit STRING", [f"{path}_days/commit={x.commit}/day={d}" for d, x in sorted(compacted.items())]),
+        (path, f"{HISTORY}, batch_id BIGINT", [f"{path}/day={d}/batch_id={n}" for d, own in sorted(batches.items()) for n in own]),
+    ]
+    frames = [
+        spark.read.schema(schema).option("basePath", base).parquet(*folders).drop("commit", "batch_id")
+        for base, schema, folders in parts
+        if folders
+    ]
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], HISTORY)
+
+
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """History points: compacted days from ``<path>_days``, newer ones from the folders of their micro-batches.
+    """History points: the compacted days that the manifest names, and the micro-batches that it does not hold yet.
 
-    Filters on ``day`` prune folders. A day that is compacted is never read from its
-    micro-batches, so a compaction that was cut short leaves no row twice.
+    Filters on ``day`` prune folders, filters on ``symbol`` skip files of a compacted day. The frame is the state at the
+    time of the call; what a later compaction replaces is deleted by the one after that.
     """
-    compacted = _folders(spark, f"{path}_days", "day")
-    recent = read_table(spark, path, f"{HISTORY}, batch_id BIGINT").drop("batch_id")
-    if not compacted:
-        return recent
-    newer = recent.where(F.col("day") > F.to_date(F.lit(compacted[-1])))
-    return read_table(spark, f"{path}_days", HISTORY).unionByName(newer)
+    state = manifest.current(spark, path)
+    live = {d: [n for n in own if not state.holds(d, n)] for d, own in _batches(spark, path).items()}
+    return _points(spark, path, state.days, live)
+
+
+def _write_days(points: DataFrame, folder: str) -> None:
+    """One folder a day whose files hold ranges of symbols, each file sorted, with a Bloom filter of its symbols."""
+    order = ("day", "symbol", "window_start")
+    ordered = points.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.write.option("parquet.bloom.filter.enabled#symbol", "true").partitionBy("day").parquet(folder)
 
 
 def compact_history(spark: SparkSession, path: str, until: date, days: int = HISTORY_DAYS) -> None:
-    """Turn the micro-batch folders of the days before ``until`` into one folder a day, sorted by symbol, and drop old days.
+    """Turn the micro-batch folders of the days before ``until`` into one folder a day, and let days expire.
 
-    ``until`` must be a day no open window lies before. Retention counts back from the newest compacted day.
+    The new folders become part of the table when the manifest that names them is swapped in, in the last step; the folders
+    they replace leave it in the same instant. So a compaction may be cut short anywhere: the table is the old one or the
+    new one. Rows that come for a compacted day later are merged into it. Retention counts back from the newest compacted
+    day. No window of a day before ``until`` may be open.
     """
-    done = _folders(spark, f"{path}_days", "day")
-    ready = [d for d in _folders(spark, path, "day") if d < until.isoformat() and (not done or d > done[-1])]
+    clean_history(spark, path)
+    state = manifest.current(spark, path)
+    ready = {d: [n for n in own if not state.holds(d, n)] for d, own in _batches(spark, path).items() if d < until.isoformat()}
+    ready = {d: own for d, own in ready.items() if own}
+    name = f"{state.version + 1}-{uuid.uuid4().hex}"
     if ready:
-        found = read_table(spark, path, f"{HISTORY}, batch_id BIGINT").where(F.col("day").isin([date.fromisoformat(d) for d in ready]))
-        ordered = found.drop("batch_id").hint("rebalance", "day").sortWithinPartitions("day", "symbol", "window_start")
-        ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{path}_days")
-    done = _folders(spark, f"{path}_days", "day")
-    for day in _folders(spark, path, "day"):
-        if done and day <= done[-1]:
-            remove(spark, f"{path}/day={day}")
-    for day in done:
-        if day < (date.fromisoformat(done[-1]) - timedelta(days=days)).isoformat():
-            remove(spark, f"{path}_days/day={day}")
+        earlier = {d: state.days[d] for d in ready if d in state.days}
+        _write_days(_points(spark, path, earlier, ready), f"{path}_days/commit={name}")
+    compacted = {**state.days, **{d: manifest.Day(name, max(own)) for d, own in ready.items()}}
+    first = state.first
+    if compacted:
+        first = max(first, (date.fromisoformat(max(compacted)) - timedelta(days=days)).isoformat())
+    compacted = {d: x for d, x in compacted.items() if d >= first}
+    if (compacted, first) != (state.days, state.first):
+        manifest.commit(spark, path, manifest.Manifest(state.version + 1, compacted, first))
+
+
+def clean_history(spark: SparkSession, path: str) -> None:
+    """Delete what the manifest does not name: replaced and expired folders, and those a compaction cut short has left.
+
+    Every compaction begins with it, so what it replaces itself stays until the next one, for readers that have begun.
+    """
+    state = manifest.current(spark, path)
+    for day, own in _batches(spark, path).items():
+        held = [n for n in own if state.holds(day, n)]
+        for folder in [f"{path}/day={day}"] if held == own else [f"{path}/day={day}/batch_id={n}" for n in held]:
+            manifest.remove(spark, folder)
+    named = {(x.commit, d) for d, x in state.days.items()}
+    for folder in manifest.listing(spark, f"{path}_days/commit=*"):
+        name = folder.rpartition("=")[2]
+        if not any(commit == name for commit, _ in named):
+            manifest.remove(spark, folder)
+            continue
+        for day in manifest.listing(spark, f"{folder}/day=*"):
+            if (name, day.rpartition("=")[2]) not in named:
+                manifest.remove(spark, day)
+    manifest.forget_versions(spark, path)
 
 
 def append_registry(found: DataFrame, path: str, batch_id: int) -> None:
