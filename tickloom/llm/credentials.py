@@ -154,24 +154,39 @@ class Tree:
                 self.visits[state] += 1
             self.ends[state] += 1
 
-    def merge_loss(self, red: int, blue: int, limit: float) -> float | None:
-        """How much log likelihood the values lose if both states become one; None if they or their followers disagree."""
-        loss, pairs = 0.0, [(red, blue)]
+    def agree(self, red: int, blue: int, limit: float) -> bool:
+        """Whether both states, and all that follow them, may have the same chances."""
+        pairs = [(red, blue)]
         while pairs:
             a, b = pairs.pop()
             n, m = self.visits[a], self.visits[b]
             reach = limit * (1 / math.sqrt(n) + 1 / math.sqrt(m))
+            if reach >= 1:  # too few values to tell anything apart, here and further on
+                continue
+            if abs(self.ends[a] / n - self.ends[b] / m) > reach:
+                return False
             ours, theirs = self.flow[a], self.flow[b]
-            counts = [(self.ends[a], self.ends[b])]
-            counts += [(k, theirs.get(c, 0)) for c, k in ours.items()]
-            counts += [(0, j) for c, j in theirs.items() if c not in ours]
-            for k, j in counts:
+            for c, k in ours.items():
+                j = theirs.get(c, 0)
                 if abs(k / n - j / m) > reach:
-                    return None
+                    return False
                 if j:
-                    loss += j * math.log(j / m) - (k + j) * math.log((k + j) / (n + m)) + (k * math.log(k / n) if k else 0.0)
-                elif k:
-                    loss += k * math.log((n + m) / n)
+                    pairs.append((self.children[a][c], self.children[b][c]))
+            if any(j > reach * m for c, j in theirs.items() if c not in ours):
+                return False
+        return True
+
+    def merge_loss(self, red: int, blue: int) -> float:
+        """How much log likelihood the values lose if both states, and those that follow them, become one."""
+        loss, pairs, log = 0.0, [(red, blue)], math.log
+        while pairs:
+            a, b = pairs.pop()
+            n, m = self.visits[a], self.visits[b]
+            ours, theirs = self.flow[a], self.flow[b]
+            loss += (n + m) * log(n + m) - n * log(n) - m * log(m)
+            for k, j in ((self.ends[a], self.ends[b]), *((ours.get(c, 0), j) for c, j in theirs.items())):
+                if k and j:
+                    loss += k * log(k) + j * log(j) - (k + j) * log(k + j)
             pairs += [(self.children[a][c], self.children[b][c]) for c in theirs if c in ours]
         return loss
 
@@ -202,10 +217,11 @@ def infer(values: Iterable[str], alpha: float = ALPHA) -> Automaton:
             break
         _, parent, symbol = min(rim)
         blue = tree.children[parent][symbol]
-        losses = [(loss, r) for r in kept if (loss := tree.merge_loss(r, blue, limit)) is not None]
-        if losses:
-            tree.children[parent][symbol] = min(losses)[1]
-            tree.fold(min(losses)[1], blue)
+        like = [r for r in kept if tree.agree(r, blue, limit)]
+        if like:
+            red = like[0] if len(like) == 1 else min((tree.merge_loss(r, blue), r) for r in like)[1]
+            tree.children[parent][symbol] = red
+            tree.fold(red, blue)
         else:
             kept.append(blue)
             members.add(blue)
@@ -281,7 +297,7 @@ def fit(values: dict[str, list[str]], total: dict[str, int]) -> Model:
     share = {kind: math.log(total[kind] / runs) for kind in kinds}
     automata = {kind: infer(values[kind]) for kind in kinds if kind != "mixed"}
     if "mixed" in kinds:
-        every = infer(sorted(v for kind in PLAIN for v in values.get(kind, [])))  # ordinary runs of any kind, to begin with
+        every = infer(sorted(v for kind in PLAIN for v in values.get(kind, [])[:500]))  # ordinary runs of any kind, to begin with
         others = [kind for kind in kinds if kind != "mixed"]
         first = Model([*others, "mixed"], [*(automata[k] for k in others), every], [*(share[k] for k in others), share["mixed"]])
         ordinary = [v for v, p in zip(values["mixed"], first.odds(values["mixed"])[0]) if p <= 0.5]

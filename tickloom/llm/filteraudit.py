@@ -24,7 +24,6 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from itertools import permutations
 
@@ -34,43 +33,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import batch_of, blocks, forget, stored
+from tickloom.llm.common import batch_of, blocks, forget, numbering, stored, stretches
 
 LETTERS = "ABCDE"
 BLOCK = 8_000_000  # bytes of text in a block, or one longer document
 BUCKET = 250_000  # words that a bucket numbers, counted once per block, at the mean
-CHUNK = 4_000_000  # bytes of a text that are words at the same time
 
 _CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _MARKS = re.compile(rb"[#$%&*|]")
-_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _ROW = pa.struct([("doc_id", pa.int64()), ("part", pa.string()), ("digest", pa.binary()), ("capitals", pa.bool_()), ("marks", pa.bool_())])
 _ROWS = "array<struct<doc_id: long, part: string, digest: binary, capitals: boolean, marks: boolean>>"
 
 
-def _numbering() -> defaultdict:
-    """A new key takes the next number."""
-    own: defaultdict = defaultdict()
-    own.default_factory = own.__len__
-    return own
-
-
-def _words(text: bytes) -> Iterator[list[bytes]]:
-    at = 0
-    while at < len(text):
-        blank = _BLANK.search(text, at + CHUNK)
-        end = blank.start() if blank else len(text)
-        yield (text[at:end] if at or blank else text).split()
-        at = end + 1
-
-
 def _coded(size: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for n, (ids, texts) in enumerate(blocks(batches, size)):
-            own, rows, sizes, found = _numbering(), [], [], []
+            own, rows, sizes, found = numbering(), [], [], []
             for i, text in zip(ids, texts):
                 text = text or b""
-                numbers = [np.fromiter(map(own.__getitem__, words), np.int64, len(words)) for words in _words(text)]
+                numbers = [np.fromiter(map(own.__getitem__, words), np.int64, len(words)) for words in map(bytes.split, stretches(text))]
                 found += numbers
                 sizes.append(sum(map(len, numbers)))
                 capitals = len(text) - len(text.translate(None, _CAPITALS))
@@ -133,12 +114,12 @@ def _dealt(buckets: int):
 
 def _numbered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Numbers the words of one bucket after the other, in order of the blocks, so that a task that runs again gives the same."""
-    own, last = _numbering(), None
+    own, last = numbering(), None
     for batch in batches:
         numbers = []
         for bucket, joined in zip(batch.column("bucket").to_pylist(), batch.column("words")):
             if bucket != last:
-                own, last = _numbering(), bucket
+                own, last = numbering(), bucket
             words = joined.as_py().split()
             numbers.append(np.fromiter(map(own.__getitem__, words), "<u4", len(words)).tobytes())
         yield batch_of(**{n: batch.column(n) for n in ("bucket", "block", "first", "words")}, numbers=pa.array(numbers, pa.binary()))

@@ -238,8 +238,8 @@ def compress(
     limit = min((isqrt(2**62 // max(b - a, 1)) - 1) // 2 for a, b in cuts(size, parts))
     whole = F.transform("x", lambda x: F.floor(F.least(F.greatest(x, F.lit(float(-min(limit, 2**30)))), F.lit(float(min(limit, 2**30))))).cast("int"))
     table = stored(scaled.filter(F.size("x") == size).withColumn("x", whole), "vectors")
-    start = np.array([r.x for r in table.orderBy(F.asc_nulls_last("vec_id"), "x").select("x").limit(entries).collect()], np.int64)
-    start = start.reshape(-1, size)
+    least = table.orderBy(F.asc_nulls_last("vec_id"), "x").select("x").limit(entries).collect()
+    start = np.array([r.x for r in least], np.int64).reshape(len(least), size)
     if not len(start):
         empty = table.select("vec_id", "label", F.array().cast("array<short>").alias("codes"), F.lit(0).cast("long").alias("error"))
         return Codes(empty, [Book([], [np.empty((0, 0), np.int64)]) for _ in range(parts)])
