@@ -214,8 +214,11 @@ def pack(found: DataFrame, width: int = WIDTH) -> DataFrame:
             offset[own] = slot[:, 3] + past % slot[:, 4] * slot[:, 0]
         return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
-    ranked = rows.join(bases, "task").withColumn("place", place("length", F.col("number") + F.col("bases")[F.col("length")]))
-    return ranked.select(*(c for c in rows.columns if c not in ("task", "number")), "place.sequence_id", "place.offset")
+    names = [c for c in rows.columns if c not in ("task", "number")]
+    rank = F.struct((F.col("number") + F.col("bases")[F.col("length")]).alias("rank"))
+    # through a one-row inline, so that the bases are dropped before rows wait for Python
+    ranked = rows.join(bases, "task").select(*names, F.inline(F.array(rank)))
+    return ranked.withColumn("place", place("length", "rank")).select(*names, "place.sequence_id", "place.offset")
 
 
 def sequences(placed: DataFrame) -> DataFrame:
