@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm import exact, packing, private, simhash, toxicity
-from tickloom.llm.common import read_documents, stored
+from tickloom.llm.common import forget, read_documents, stored
 
 
 def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +40,10 @@ ORACLE_SQL = None  # classifiers, SimHash and a tokenizer are beyond SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_documents(spark, sf_dir)
+    docs, before = read_documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            forget(before)  # nothing reads a stage's documents once those of the next one are stored
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
