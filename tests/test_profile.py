@@ -1,11 +1,13 @@
 """The rollup ladder, its stored form and the reports."""
 
 import random
+import shutil
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
 from tickloom.operators import profile as p
+from tickloom.sources import tables
 
 START = datetime(2021, 11, 8, 7, 30, tzinfo=timezone.utc)
 
@@ -75,3 +77,36 @@ def test_bins(spark):
     frame = spark.createDataFrame([(f"S{n}", c) for n, c in enumerate(counts)], "symbol string, price_events long")
     bins = {r.event_range: r.symbols for r in p.symbol_bins(frame).collect()}
     assert bins == {"1-9": 2, "10-99": 2, "100-999": 1, "1000-9999": 1}
+
+
+def test_distinct_symbols_of_any_span(spark):
+    rnd = random.Random(11)
+    rows = [(f"S{rnd.randrange(70_000)}", START + timedelta(days=rnd.randrange(6), minutes=rnd.randrange(600))) for _ in range(30_000)]
+    sym_min = spark.createDataFrame(rows, "symbol string, ts timestamp")
+    numbers = p.symbol_numbers(sym_min)
+    assert sorted(r.number for r in numbers.collect()) == list(range(len({s for s, _ in rows})))
+    bitmaps = p.day_bitmaps(sym_min, numbers)
+    first = START.date()
+    spans = [(first + timedelta(days=a), first + timedelta(days=a + n)) for a in range(6) for n in (0, 3, 30)]
+    got = {(r.first, r.last): r.symbols for r in p.distinct_in_spans(bitmaps, spark.createDataFrame(spans, "first date, last date")).collect()}
+    assert got == {(a, b): len({s for s, t in rows if a <= t.date() <= b}) for a, b in spans}
+
+
+def test_only_days_that_changed_are_collapsed_again(spark, tmp_path):
+    rnd = random.Random(12)
+    rows = [(rnd.choice("AB"), "E", START + timedelta(seconds=rnd.randrange(4 * 86400)), float(n)) for n in range(3000)]
+    frame = spark.createDataFrame(rows, "symbol string, security_type string, event_ts timestamp, price double")
+    ticks, out = str(tmp_path / "ticks"), str(tmp_path / "out")
+    days = sorted({t.date() for _, _, t, _ in rows})
+    of_day = F.to_date("event_ts") == F.lit(days[2])
+    refresh = lambda: p.refresh_seconds(spark, ticks, out, p.facts_of_ticks)
+    tables.store_ticks(frame.where(~of_day | (F.col("price") < 700)), ticks)
+    assert refresh() == days and refresh() == []
+    tables.store_ticks(frame.where(of_day), ticks)
+    assert refresh() == [days[2]] and refresh() == []
+    order = ["symbol", "second"]
+    names = ["symbol", "security_type", "second", "events", "price_events", "volume"]
+    kept = p.refreshed_seconds(spark, out).select(names).orderBy(order).collect()
+    assert kept == p.symbol_seconds(p.facts_of_ticks(frame)).select(names).orderBy(order).collect()
+    shutil.rmtree(tmp_path / f"ticks/day={days[0]}")
+    assert refresh() == [] and p.refreshed_seconds(spark, out).agg(F.min("second")).first()[0].date() == days[1]

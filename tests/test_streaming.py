@@ -119,7 +119,7 @@ def test_exact_state_stays_small_and_must_be_there(spark, tmp_path):
 def test_every_progress_row_is_kept(spark, tmp_path):
     log = ProgressLog(spark, str(tmp_path / "progress"), every=5000)
     for n in range(12_000):
-        log.add(("q", n, "2023-01-16T09:00:00.000Z", 2, 1.0, 1.0, n % 2, 0, None))
+        log.add(("q", n, "2023-01-16T09:00:00.000Z", 2, 1.0, 1.0, n % 2, 0, None, 1, None, None))
         assert len(log.waiting) < 5000
     assert log.frame().agg(F.count("*"), F.count_distinct("batch_id"), F.sum("late_rows")).first()[:] == (12_000, 12_000, 6_000)
 
@@ -132,6 +132,53 @@ def test_registry_stream(spark, tmp_path):
     assert [(r.symbol, r.first_seen.second, r.batch_id) for r in found] == [("AAA", 0, 0), ("BBB", 1, 0), ("CCC", 3, 1)]
 
 
+def test_registry_reads_nothing_but_new_ticks(spark, tmp_path, monkeypatch):
+    """Many micro-batches, a restart, and symbols known from before; no batch reads the registry table."""
+    names = ["A", "B", "A", "OLD", "C", "A", "B", "D", "A", "C", "A", "E"]
+    rows = [(s, 0, t, 1.0) for t, s in enumerate(names)]
+    write_parts(spark, rows, f"{tmp_path}/in", 12)
+    known = spark.createDataFrame([("OLD", "E")], "symbol string, security_type string")
+    monkeypatch.setattr("tickloom.sources.tables.read_table", None)
+    ticks = stream(spark, f"{tmp_path}/in")
+    log = ProgressLog(spark, str(tmp_path / "progress"), every=1000)
+    spark.streams.addListener(log)
+    try:
+        run(crossover.write_registry(ticks, f"{tmp_path}/out", f"{tmp_path}/c", known))
+        log.ended.wait(60)
+    finally:
+        spark.streams.removeListener(log)
+    read = [r.input_rows for r in log.frame().orderBy("batch_id").collect()]
+    assert len(read) == 12 and set(read) == {1}  # one tick is all that a micro-batch reads
+    late = [("F", 0, 50, 1.0), ("A", 0, 51, 1.0)]
+    write_parts(spark, rows + late, f"{tmp_path}/more", 14)
+    for n in (12, 13):
+        os.rename(f"{tmp_path}/more/{n}.parquet", f"{tmp_path}/in/{n}.parquet")
+    run(crossover.write_registry(ticks, f"{tmp_path}/out", f"{tmp_path}/c", known))
+    found = spark.read.parquet(f"{tmp_path}/out/symbols").collect()
+    assert sorted((r.symbol, r.first_seen.second) for r in found) == [("A", 0), ("B", 1), ("C", 4), ("D", 7), ("E", 11), ("F", 50)]
+
+
+def test_registry_takes_the_first_arrival_of_a_batch(spark, tmp_path):
+    rows = [("A", 0, 9, 1.0), ("B", 0, 3, 1.0), ("A", 0, 2, 1.0), ("B", 0, 8, 1.0)]
+    write_parts(spark, rows, f"{tmp_path}/in", 1)
+    nested = stream(spark, f"{tmp_path}/in").withColumn("arrival", F.struct(F.lit("f").alias("file"), F.col("arrival").alias("n")))
+    run(crossover.write_registry(nested, f"{tmp_path}/out", f"{tmp_path}/c"))
+    found = spark.read.parquet(f"{tmp_path}/out/symbols").collect()
+    assert sorted((r.symbol, r.first_seen.second) for r in found) == [("A", 9), ("B", 3)]
+
+
+def test_a_backfill_waits_in_state_by_day(spark, tmp_path):
+    """Far more bars of a symbol in one micro-batch than are sorted in memory."""
+    rows = [(s, 0, n * 300 + 7, 50.0 + (n * 7919) % 101 + k) for n in range(2500) for k, s in enumerate("AB")]
+    write_parts(spark, rows, f"{tmp_path}/in", 1)
+    bars = crossover.stream_bars(stream(spark, f"{tmp_path}/in"))
+    points = bars.groupBy("symbol").transformWithStateInPandas(
+        statefulProcessor=crossover.CrossoverProcessor(limit=100), outputStructType=crossover.POINT, outputMode="Append", timeMode="None"
+    )
+    run(crossover.write_points(points, f"{tmp_path}/out", f"{tmp_path}/c"))
+    assert collected(history(spark, f"{tmp_path}/out")) == collected(m.ema_points(b.closed_bars(tick_frame(spark, rows))))
+
+
 def test_following_a_folder_of_events(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()

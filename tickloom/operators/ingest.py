@@ -104,6 +104,12 @@ def observe_counts(classified: DataFrame, name: str = "ingest") -> tuple[DataFra
     return classified.observe(observation, *counts), observation
 
 
+def observed(classified: DataFrame, name: str = "ingest") -> DataFrame:
+    """The streaming form: the counts of every micro-batch are in its progress under ``name``, from the pass that writes it."""
+    counts = [F.count_if(F.col("status") == s).alias(s) for s in (ACCEPTED, SKIPPED, REJECTED)]
+    return classified.observe(name, *counts)
+
+
 def event_json(events: DataFrame) -> DataFrame:
     """Topic records: key = symbol, value = the event as JSON (needs ``local_ts``)."""
     body = F.struct(

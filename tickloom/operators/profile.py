@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.frames import parsed_once
 from tickloom.functions.text import blank_to_null, price_value
 from tickloom.functions.times import LOCAL_FORMAT
-from tickloom.operators.scan import quantiles, ranked
+from tickloom.operators.scan import numbered, quantiles, ranked
+from tickloom.sources.tables import day_files, read_table, remove
 
 # Report sizes, concentration ranks, percentiles and core hours.
 TOP_SYMBOLS = 25
@@ -313,6 +317,64 @@ def tracked_records(symbols: DataFrame, sym_min: DataFrame, start: Column, steps
     )
 
 
+# -- distinct symbols that can be added up -------------------------------------
+
+
+def symbol_numbers(rows: DataFrame) -> DataFrame:
+    """Every symbol of the rows with a number of its own, counted from 0 in order of the symbols."""
+    return numbered(rows.where("symbol IS NOT NULL").select("symbol").distinct(), "symbol", "number")
+
+
+def day_bitmaps(sym_min: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The symbols of each day as bitmaps: day, bucket, bits. A bucket holds 32,768 symbols in 4 KB."""
+    seen = sym_min.select(F.to_date("ts").alias("day"), "symbol").distinct().join(numbers, "symbol")
+    by_bucket = seen.groupBy("day", F.bitmap_bucket_number("number").alias("bucket"))
+    return by_bucket.agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
+
+
+def distinct_in_spans(bitmaps: DataFrame, spans: DataFrame) -> DataFrame:
+    """Different symbols in each span of days, ``first`` to ``last``: bitmaps are merged, no tick or rollup is read."""
+    days = spans.distinct().select("first", "last", F.explode(F.sequence("first", "last")).alias("day"))
+    merged = days.join(bitmaps, "day").groupBy("first", "last", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return merged.groupBy("first", "last").agg(F.sum(F.bitmap_count("bits")).alias("symbols"))
+
+
+# -- rollups of ticks that grow --------------------------------------------------
+
+
+def facts_of_ticks(ticks: DataFrame) -> DataFrame:
+    """Ticks as profile facts; every tick is a price event, its price the traded volume."""
+    return ticks.select(
+        "symbol", "security_type", F.date_trunc("second", "event_ts").alias("second"),
+        F.lit(True).alias("is_price_event"), F.col("price").alias("volume"),
+    )
+
+
+def refresh_seconds(spark: SparkSession, ticks: str, out: str, facts: Callable[[DataFrame], DataFrame]) -> list[date]:
+    """Bring the stored symbol-second rollup up to date with stored ticks; returns the days that were collapsed again.
+
+    A day's fingerprint is the names, sizes and times of its files, so only a listing is read to see what has changed.
+    Fingerprints are stored last: a run that was cut short collapses its days again.
+    """
+    now = {r.day: r.fingerprint for r in day_files(spark, ticks).collect()}  # a row per day
+    known = {r.day: r.fingerprint for r in read_table(spark, f"{out}/fingerprints", "day DATE, fingerprint BIGINT").collect()}
+    changed = sorted(d for d in now if known.get(d) != now[d])
+    if changed:
+        rows = spark.read.parquet(ticks).where(F.col("day").isin(changed)).drop("day")
+        seconds = symbol_seconds(facts(rows)).withColumn("day", F.to_date("second")).hint("rebalance", "day")
+        seconds.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{out}/symbol_seconds")
+    for day in known.keys() - now.keys():
+        remove(spark, f"{out}/symbol_seconds/day={day}")
+    if now != known:
+        rows = spark.createDataFrame(sorted(now.items()), "day DATE, fingerprint BIGINT")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{out}/fingerprints")
+    return changed
+
+
+def refreshed_seconds(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.parquet(f"{out}/symbol_seconds").drop("day")
+
+
 ROLLUPS = ("second_totals", "symbol_minute", "minute_totals")
 
 

@@ -146,6 +146,13 @@ def ranked(df: DataFrame, value: str, tie: str, cumulative: dict[str, str], rank
     ).drop("__id", "__one")
 
 
+def numbered(df: DataFrame, column: str, number: str = "number") -> DataFrame:
+    """Rows numbered from 0 in order of a column whose values differ."""
+    placed = _in_ranges(df, F.col(column).asc()).withColumn("__one", F.lit(1))
+    counted = running(placed, order="__id", block=F.shiftright("__id", 33), values={number: ("__one", "sum")}, inclusive=True)
+    return counted.withColumn(number, F.col(number) - 1).drop("__id", "__one")
+
+
 def quantiles(
     df: DataFrame, value: str, fractions: dict[str, float], keys: list[str] = [], nearest: bool = False, weight: str | None = None
 ) -> DataFrame:

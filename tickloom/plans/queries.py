@@ -279,6 +279,16 @@ def ingest_first_rejects(spark, sf):
     return rejected.select("event_id", "reason")
 
 
+@query
+def ingest_observed(spark, sf):
+    """Rows counted by the pass that stores the accepted ones."""
+    out = work_dir(spark, "accepted")
+    rows, seen = i.observe_counts(i.classify(src.raw_rows(spark, sf)))
+    i.accepted(rows).write.parquet(out)
+    counts = [F.lit(seen.get[s]).cast("bigint").alias(s) for s in (i.ACCEPTED, i.SKIPPED, i.REJECTED)]
+    return spark.read.parquet(out).agg(F.count("*").alias("stored")).select("stored", *counts)
+
+
 @query
 def csv_ingest(spark, sf):
     out = work_dir(spark, "csv")
@@ -581,6 +591,28 @@ def _rollups(spark: SparkSession, sf: str) -> tuple[dict[str, DataFrame], str]:
     return p.read_rollups(spark, out), out
 
 
+@query
+def distinct_symbols_by_span(spark, sf):
+    """Different symbols of every day and of every three days, from bitmaps kept by day."""
+    sym_min = _stored(_sym_min(spark, sf))
+    bitmaps = _stored(p.day_bitmaps(sym_min, _stored(p.symbol_numbers(sym_min))))
+    days = bitmaps.select("day").distinct()
+    spans = days.select(F.col("day").alias("first"), F.explode(F.array(F.lit(0), F.lit(2))).alias("more"))
+    return p.distinct_in_spans(bitmaps, spans.select("first", F.date_add("first", F.col("more")).alias("last")))
+
+
+@query
+def refreshed_rollups(spark, sf):
+    """Second totals of stored ticks that grew by a part of a day, collapsed again for that day only."""
+    out = work_dir(spark, "grown")
+    ticks = src.ticks(spark, sf, by="user")
+    of_day = F.to_date("event_ts") == F.lit(date(2024, 1, 12))
+    for part in (ticks.where(~of_day | (F.hour("event_ts") < 7)), ticks.where(of_day)):
+        tables.store_ticks(part, f"{out}/ticks")
+        p.refresh_seconds(spark, f"{out}/ticks", f"{out}/rollups", p.facts_of_ticks)
+    return plain(p.second_totals(p.refreshed_seconds(spark, f"{out}/rollups")), 4)
+
+
 @query
 def stored_minute_totals(spark, sf):
     return plain(_rollups(spark, sf)[0]["minute_totals"], 4)
@@ -777,6 +809,15 @@ def scaling_table(spark, sf):
     return plain(t.scaling_table(src.repeats(spark, sf)), 4)
 
 
+@query
+def load_runs(spark, sf):
+    """Run summaries written one file per run, as a test harness leaves them, and read again."""
+    out = work_dir(spark, "runs")
+    files.write_runs(src.repeats(spark, sf), out)
+    schema = "replicas INT, profile STRING, throughput DOUBLE, events BIGINT, max_speedup DOUBLE"
+    return plain(files.read_runs(spark, out, schema), 4)
+
+
 @query
 def paced_speeds(spark, sf):
     return plain(t.paced_speeds(src.repeats(spark, sf)), 4)
@@ -932,6 +973,27 @@ def stream_progress(spark, sf):
     return rows.agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))
 
 
+@query
+def stream_counts(spark, sf):
+    """Rows accepted, skipped and rejected by a stream in several micro-batches, from the progress table."""
+    out = work_dir(spark, "counted")
+    raw = src.raw_rows(spark, sf)
+    raw.repartition(3).write.json(f"{out}/in")
+    rows = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).json(f"{out}/in")
+    log = metrics.ProgressLog(spark, f"{out}/progress", every=2)
+    spark.streams.addListener(log)
+    try:
+        good = i.accepted(i.observed(i.classify(rows)))
+        writer = good.writeStream.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True)
+        writer.start(path=f"{out}/rows", format="parquet").awaitTermination()
+        log.ended.wait(60)
+        found = log.frame()
+    finally:
+        spark.streams.removeListener(log)
+    counts = found.agg(*[F.sum(s).alias(s) for s in (i.ACCEPTED, i.SKIPPED, i.REJECTED)])
+    return counts.withColumn("stored", spark.read.parquet(f"{out}/rows").agg(F.count("*")).scalar())
+
+
 @query
 def stream_advisories(spark, sf):
     ticks, out = _tick_files(spark, sf, "type")

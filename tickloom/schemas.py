@@ -43,3 +43,11 @@ POINT = T.StructType(
         T.StructField("signal", T.StringType()),
     ]
 )
+
+REGISTRY = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("security_type", T.StringType()),
+        T.StructField("first_seen", T.TimestampType()),
+    ]
+)

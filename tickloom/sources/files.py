@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from tickloom.operators.ingest import classify, normalise_headers, parse_event_json
 from tickloom.schemas import MARKET_ZONE, POSITIONAL
 from tickloom.session import check_utc
+from tickloom.sources.manifest import write_text
 
 
 def _with_position(df: DataFrame) -> DataFrame:
@@ -40,13 +42,32 @@ def discover_inputs(spark: SparkSession, paths: list[str]) -> DataFrame:
     return listing.where(named | F.lower("path").endswith(".csv"))
 
 
-def _by_header(spark: SparkSession, paths: list[str], options: dict) -> dict[tuple[str, ...], list[str]]:
-    """Files by their header line; every header is read by a small job of its own, several at a time."""
+def _header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
+    """Column names of a file's first line that is neither blank nor a comment; only its first bytes are read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(conf).open(place)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+    try:
+        while (line := reader.readLine()) is not None:
+            line = line.lstrip("\ufeff")
+            if line.strip() and not line.startswith("#"):
+                cells = [cell or f"_c{n}" for n, cell in enumerate(next(csv.reader([line])))]
+                low = [cell.lower() for cell in cells]
+                return tuple(cell if low.count(cell.lower()) == 1 else f"{cell}{n}" for n, cell in enumerate(cells))
+    finally:
+        reader.close()
+    return None
+
+
+def _by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header line, several looked at side by side and without a Spark job; a file without any has no rows."""
     found: dict[tuple[str, ...], list[str]] = {}
     with ThreadPoolExecutor(16) as pool:
-        headers = pool.map(lambda path: tuple(spark.read.options(**options).csv(path).columns), paths)
-        for path, header in zip(paths, headers):
-            found.setdefault(header, []).append(path)
+        for path, header in zip(paths, pool.map(lambda path: _header(spark, path), paths)):
+            if header is not None:
+                found.setdefault(header, []).append(path)
     return found
 
 
@@ -61,19 +82,19 @@ def read_ticks_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     options = {"header": True, "comment": "#", "quote": '"', "escape": '"'}
     files = [r.path for r in discover_inputs(spark, [paths] if isinstance(paths, str) else paths).orderBy("path").collect()]
     frames = []
-    for header, group in _by_header(spark, files, options).items():
+    for header, group in _by_header(spark, files).items():
         schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-        rows = spark.read.options(**options, enforceSchema=False).schema(schema).csv(group)
+        rows = spark.read.options(**options).schema(schema).csv(group)
         frames.append(normalise_headers(_with_position(rows)))
     if not frames:
         raise ValueError(f"no CSV file in {paths}")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_inputs(spark: SparkSession, csv: str | list[str], ndjson: str | list[str], zone: str = MARKET_ZONE) -> DataFrame:
+def read_inputs(spark: SparkSession, feed: str | list[str], ndjson: str | list[str], zone: str = MARKET_ZONE) -> DataFrame:
     """Events of CSV and NDJSON inputs with ``status``, ``reason`` and ``source_rank``: in a replay all CSV files come first."""
     columns = ["status", "reason", "symbol", "security_type", "price", "event_ts", "source_file", "block_start", "row_id"]
-    first = classify(read_ticks_csv(spark, csv)).select(*columns, F.lit(0).alias("source_rank"))
+    first = classify(read_ticks_csv(spark, feed)).select(*columns, F.lit(0).alias("source_rank"))
     return first.unionByName(read_ticks_ndjson(spark, ndjson, zone).select(*columns, F.lit(1).alias("source_rank")))
 
 
@@ -118,6 +139,13 @@ def _number_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, numbers], names=[*batch.schema.names, "row_id"])
 
 
+def write_runs(runs: DataFrame, folder: str) -> None:
+    """One ``<run>/summary.json`` per row; runs are few, and a summary is a row."""
+    spark = runs.sparkSession
+    for row in runs.select("run", F.to_json(F.struct(*[c for c in runs.columns if c != "run"])).alias("body")).toLocalIterator():
+        write_text(spark, f"{folder.rstrip('/')}/{row.run}/summary.json", row.body)
+
+
 def read_runs(spark: SparkSession, folder: str, schema: str | T.StructType | None = None) -> DataFrame:
     """``<run>/summary.json`` of every run below ``folder``, with the run's name."""
     reader = spark.read.option("multiLine", True)

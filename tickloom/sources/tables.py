@@ -42,6 +42,15 @@ def store_ticks(ticks: DataFrame, path: str) -> None:
     ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
 
 
+def day_files(spark: SparkSession, path: str) -> DataFrame:
+    """Per day folder a fingerprint of its files' names, sizes and times; only the listing is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    day = F.regexp_extract("path", r"/day=(\d{4}-\d{2}-\d{2})/", 1).cast("date").alias("day")
+    one = F.xxhash64(F.element_at(F.split("path", "/"), -1), "length", "modificationTime")
+    # order must not count, and the 64 bits wrap
+    return files.groupBy(day).agg(F.bit_xor(one).alias("fingerprint"))
+
+
 def read_ticks(spark: SparkSession, path: str, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
     """Stored ticks with event time in ``[start, end)``; only the days in between are listed and read."""
     ticks = replay_range(spark.read.parquet(path), start, end)

@@ -7,17 +7,23 @@ from threading import Event, Lock
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
+from tickloom.operators.ingest import ACCEPTED, REJECTED, SKIPPED
 from tickloom.sources.tables import read_table
 
 PROGRESS = (
     "query STRING, batch_id BIGINT, timestamp STRING, input_rows BIGINT, input_rate DOUBLE, "
-    "processed_rate DOUBLE, late_rows BIGINT, state_rows BIGINT, watermark STRING"
+    "processed_rate DOUBLE, late_rows BIGINT, state_rows BIGINT, watermark STRING, "
+    "accepted BIGINT, skipped BIGINT, rejected BIGINT"
 )
 
 
 def progress_row(progress) -> tuple:
-    """One row per micro-batch; late rows are those the watermark dropped."""
+    """One row per micro-batch; late rows are those the watermark dropped.
+
+    Rows accepted, skipped and rejected are there when the query reads ``ingest.observed`` rows, else NULL.
+    """
     states = progress.stateOperators
+    seen = next((row for row in progress.observedMetrics.values() if ACCEPTED in row), None)
     return (
         progress.name or str(progress.id),
         progress.batchId,
@@ -28,6 +34,7 @@ def progress_row(progress) -> tuple:
         sum(s.numRowsDroppedByWatermark for s in states),
         sum(s.numRowsTotal for s in states),
         dict(progress.eventTime).get("watermark"),
+        *((seen[s] if seen else None) for s in (ACCEPTED, SKIPPED, REJECTED)),
     )
 
 
