@@ -1,11 +1,15 @@
 """Personal data by weak supervision.
 
-Candidates are the base matches (email, ip, card, phone by fixed rules) and looser ones of the same kinds. Labelers vote
-for (+1), against (-1) or not at all (0) on each: the strict rule, a checksum or range, a gazetteer, the words before, and
-the edges. Votes are counted per pattern over all texts; patterns are few (at most KINDS x 3^5 x lengths), so their counts
-come to the driver, where expectation-maximisation estimates how reliable each labeler is, and a logistic span classifier
-is fitted to the resulting probabilities. A loose candidate is added when the classifier accepts it and it overlaps no
-span already there; base spans always stay.
+Candidates are the base matches (email, ip, card, phone by fixed rules), looser forms of the same kinds, and two kinds
+without a base rule: tokens (long runs of letters and digits) and bank account numbers. Labelers vote for (+1), against
+(-1) or not at all (0) on each: the strict rule, a checksum or range, a gazetteer, the words before, and the edges. Votes
+are counted per pattern over all texts; patterns are few (at most kinds x 3^5 x lengths), so their counts come to the
+driver, where expectation-maximisation estimates how reliable each labeler is and how probable each pattern is.
+
+The final span classifier learns these probabilities from what the labelers do not see as well: the form of the span, its
+beginning and length, and the words and characters around it, hashed to CELLS features of a logistic model. It is fitted on
+at most TRAIN_SPANS candidates, those with the smallest hashes, so copies of a span with its surroundings count once. A
+loose candidate is added when the classifier accepts it and it overlaps no span already there; base spans always stay.
 
 Rows: a null text counts as empty and has no span; a null doc_id is kept; repeated rows give equal results. An empty table
 gives an empty result. Positions are code points, ends exclusive. All scans are linear in the text.
@@ -18,15 +22,21 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from heapq import nsmallest
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import batch_of, blocks, texts_of
+from tickloom.llm.common import batch_of, blocks, forget, stored, texts_of
 
-KINDS = ("email", "ip", "card", "phone")
+KINDS = ("email", "ip", "card", "phone")  # with a base rule
+ALL_KINDS = (*KINDS, "token", "account")
+TRAIN_SPANS = 20_000  # candidates the classifier is fitted on, at most
+CELLS = 1 << 13
 LABELERS = ("rule", "range", "gazetteer", "context", "edges")
 
 # base rules
@@ -40,6 +50,8 @@ _DIGIT = re.compile("[0-9]")
 _SPELT = re.compile(r"(?<![\w.])\w[\w.+-]{0,63} ?(?:\(at\)|\[at\]| at ) ?\w[\w-]{0,62}(?: ?(?:\(dot\)|\[dot\]| dot ) ?\w{2,20}){1,4}", re.I)
 _LOCAL_PHONE = re.compile(r"(?<![\w+(.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![\w-])")
 _LONG_IP = re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])")
+_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}={0,2}")
+_ACCOUNT = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 
 # gazetteers and context words
 TOP_DOMAINS = frozenset("com org net edu gov mil int info biz io de fr es it uk eu ch at nl be pl se us ca au jp cn in br ru".split())
@@ -48,8 +60,15 @@ FOR = {
     "ip": frozenset("ip host server address login from client node".split()),
     "card": frozenset("card credit visa mastercard amex debit pay payment karte carte tarjeta".split()),
     "phone": frozenset("call phone tel telephone mobile fax cell dial telefon teléfono téléphone".split()),
+    "token": frozenset("token secret password passwd key apikey api_key auth authorization bearer credential credentials".split()),
+    "account": frozenset("iban account bank konto cuenta compte transfer überweisung".split()),
 }
-AGAINST = frozenset("version build release isbn issn sku order invoice ticket serial item page revision token id".split())
+AGAINST = frozenset("version build release isbn issn sku order invoice ticket serial item page revision id commit checksum digest md5 sha1 sha256".split())
+# how tokens of well-known services begin, and the countries' signs that account numbers begin with (fixed values)
+TOKEN_STARTS = ("AKIA", "ghp_", "gho_", "github_pat_", "glpat-", "sk_live_", "sk_test_", "sk-", "xoxb-", "xoxp-", "AIza", "eyJ")
+COUNTRIES = frozenset(
+    "AD AE AT BE BG CH CY CZ DE DK EE ES FI FR GB GI GR HR HU IE IL IS IT LI LT LU LV MC MT NL NO PL PT RO SA SE SI SK SM TR".split()
+)
 
 
 def _luhn(digits: str) -> bool:
@@ -60,6 +79,12 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _account_check(text: str) -> bool:
+    """Whether the number, its first four signs moved to the end and letters counted from 10, leaves 1 when divided by 97."""
+    plain = text.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
@@ -107,6 +132,8 @@ def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     if _DIGIT.search(text):
         found += [(m.start(), 2, m.end()) for m in _CARD.finditer(text) if 13 <= m.end() - m.start() <= 40 and 13 <= len(_digits(m.group())) <= 19]
         found += [(m.start(), 3, m.end()) for m in _LOCAL_PHONE.finditer(text)]
+        found += [(m.start(), 4, m.end()) for m in _TOKEN.finditer(text)]
+        found += [(m.start(), 5, m.end()) for m in _ACCOUNT.finditer(text)]
     starts, ends = [], []  # the base spans as disjoint stretches
     for a, _, b in base:
         if ends and a < ends[-1]:
@@ -134,26 +161,70 @@ def votes(text: str, start: int, kind: int, end: int, strict: bool) -> tuple[int
     elif kind == 2:
         ranged = 1 if _luhn(digits) else -1
         known = 1 if digits[0] in "3456" else -1
-    else:
+    elif kind == 3:
         ranged = 1 if 10 <= len(digits) <= 15 else -1
         known = 1 if digits.lstrip("1")[:1] not in ("", "0") else -1
+    elif kind == 4:
+        mixed = 0.15 <= len(digits) / len(span) <= 0.85  # words joined by dashes have fewer digits
+        ranged = 1 if 24 <= len(span) <= 512 and len(set(span)) >= 10 and mixed else -1
+        known = 1 if span.startswith(TOKEN_STARTS) else 0  # many plain hex numbers are no secrets
+    else:
+        ranged = 1 if 15 <= len(span.replace(" ", "")) <= 34 and _account_check(span) else -1
+        known = 1 if span[:2] in COUNTRIES else -1
     before = [w.strip(".,:;()[]\"'").lower() for w in text[max(0, start - 40) : start].split()[-4:]]
-    context = 1 if FOR[KINDS[kind]].intersection(before) else -1 if AGAINST.intersection(before) else 0
+    context = 1 if FOR[ALL_KINDS[kind]].intersection(before) else -1 if AGAINST.intersection(before) else 0
     around = text[max(0, start - 1) : start] + text[end : end + 1]
     edges = -1 if any(c.isalnum() or c in "_-=/" for c in around) else 1
     return kind, 1 if strict else 0, ranged, known, context, edges, min(len(span) // 8, 4)
 
 
-def _patterns(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
-    for _, texts in blocks(batches):
-        for raw in texts:
-            text = (raw or b"").decode("utf-8")
-            base = base_spans(text)
-            for strict, spans in ((True, base), (False, loose_spans(text, base))):
-                for a, kind, b in spans:
-                    counts[votes(text, a, kind, b, strict)] += 1
-    yield batch_of(pattern=pa.array([list(p) for p in counts], pa.list_(pa.int32())), n=pa.array(counts.values(), pa.int64()))
+def _words_at(text: str) -> list[str]:
+    return [re.sub("[0-9]", "0", w.strip(".,:;()[]=\"'").lower()) for w in text.split()]
+
+
+def cells(text: str, start: int, end: int, pattern: tuple[int, ...]) -> list[int]:
+    """The features of a candidate: its votes, its form, and what stands around it."""
+    kind, span = ALL_KINDS[pattern[0]], text[start:end]
+    form = re.sub("0+", "0", re.sub("A+", "A", re.sub("a+", "a", re.sub("[0-9]", "0", re.sub("[A-Z]", "A", re.sub("[^0-9A-Z\\W_]", "a", span))))))
+    before, after = _words_at(text[max(0, start - 40) : start])[-2:], _words_at(text[end : end + 30])[:1]
+    names = [
+        "kind", *(f"vote {j} {v}" for j, v in enumerate(pattern[1:-1])), f"length {min(len(span) // 4, 12)}", f"form {form[:12]}",
+        f"begins {form[:1]}{span[:2]}", f"left {text[start - 1 : start] if start else ''}", f"right {text[end : end + 1]}",
+        *(f"before {w}" for w in before), *(f"after {w}" for w in after),
+    ]
+    return sorted({crc32(f"{kind} {name}".encode()) % CELLS for name in names})
+
+
+def _patterns(limit: int):
+    """Counts of patterns (without hash), and the candidates with the smallest hashes of a task with their cells."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        held: dict[int, tuple] = {}
+        worst = 2**63
+        for _, texts in blocks(batches):
+            for raw in texts:
+                text = (raw or b"").decode("utf-8")
+                base = base_spans(text)
+                for strict, spans in ((True, base), (False, loose_spans(text, base))):
+                    for a, kind, b in spans:
+                        pattern = votes(text, a, kind, b, strict)
+                        counts[pattern] += 1
+                        near = f"{kind} {text[max(0, a - 40) : b + 30]}"
+                        if (h := xxhash.xxh64_intdigest(near) >> 1) < worst:
+                            held[h] = (pattern, cells(text, a, b, pattern))
+            if len(held) > 2 * limit:
+                held = {h: held[h] for h in nsmallest(limit, held)}
+                worst = max(held)
+        order = sorted(held)
+        yield batch_of(
+            pattern=pa.array([list(p) for p in counts] + [list(held[h][0]) for h in order], pa.list_(pa.int32())),
+            n=pa.array([*counts.values(), *[0] * len(order)], pa.int64()),
+            hash=pa.array([*[None] * len(counts), *order], pa.int64()),
+            cells=pa.array([*[None] * len(counts), *(held[h][1] for h in order)], pa.list_(pa.int32())),
+        )
+
+    return run
 
 
 def reliabilities(patterns: np.ndarray, n: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
@@ -184,16 +255,21 @@ def reliabilities(patterns: np.ndarray, n: np.ndarray, rounds: int = 50) -> tupl
     return chance, yes
 
 
-def _features(pattern: Iterable[int]) -> np.ndarray:
-    kind, *cast, size = pattern
-    x = np.zeros(1 + len(KINDS) + 2 * len(LABELERS) + 5)
-    x[0] = 1
-    x[1 + kind] = 1
-    for j, v in enumerate(cast):
-        if v:
-            x[1 + len(KINDS) + 2 * j + (v > 0)] = 1
-    x[1 + len(KINDS) + 2 * len(LABELERS) + size] = 1
-    return x
+def fit(examples: list[list[int]], wanted: np.ndarray, rounds: int = 300, shrink: float = 1e-3) -> np.ndarray:
+    """Weights of a logistic model that gives each example, a list of cells, its wanted probability; ridge-penalised."""
+    weights, step = np.zeros(CELLS), np.zeros(CELLS)
+    if not examples:
+        return weights
+    row = np.repeat(np.arange(len(examples)), [len(c) for c in examples])
+    cell = np.concatenate([np.asarray(c, np.int64) for c in examples])
+    often = np.bincount(cell, minlength=CELLS)
+    pace = 4 / (np.bincount(row).max() * np.maximum(often, 1))  # no step goes too far, however often a cell is found
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.bincount(row, weights[cell], len(examples))))
+        slope = np.bincount(cell, (p - wanted)[row], CELLS) + shrink * often * weights
+        step = 0.9 * step - pace * slope
+        weights += 0.1 * step
+    return weights
 
 
 @dataclass
@@ -201,39 +277,35 @@ class Model:
     weights: np.ndarray
     chance: np.ndarray
 
-    def probability(self, pattern: Iterable[int]) -> float:
-        return float(1 / (1 + np.exp(-_features(pattern) @ self.weights)))
+    def probability(self, own: list[int]) -> float:
+        """Of a candidate with these cells."""
+        return float(1 / (1 + np.exp(-self.weights[own].sum())))
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Votes on every candidate of every text, counted by pattern; the patterns alone come to the driver."""
-    counts = texts_of(docs, id_col, text_col).mapInArrow(_patterns, "pattern array<int>, n long")
-    rows = counts.groupBy("pattern").agg(F.sum("n").alias("n")).collect()
-    size = 1 + len(KINDS) + 2 * len(LABELERS) + 5
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = TRAIN_SPANS) -> Model:
+    """Votes on every candidate of every text, counted by pattern; these and a bounded number of candidates come to the driver."""
+    schema = "pattern array<int>, n long, hash long, cells array<int>"
+    found = stored(texts_of(docs, id_col, text_col).mapInArrow(_patterns(limit), schema), "votes")
+    rows = found.filter("hash IS NULL").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
+    sample = found.filter("hash IS NOT NULL").dropDuplicates(["hash"]).orderBy("hash").limit(limit).collect()
+    forget(found)
     if not rows:
-        return Model(np.zeros(size), np.full((2, len(LABELERS), 2), 0.5))
+        return Model(np.zeros(CELLS), np.full((2, len(LABELERS), 2), 0.5))
     rows = sorted((tuple(r.pattern), r.n) for r in rows)
     patterns, n = np.array([p for p, _ in rows]), np.array([c for _, c in rows], float)
     chance, yes = reliabilities(patterns, n)
-    x = np.array([_features(p) for p, _ in rows])
-    weights = np.zeros(size)
-    mass = n / n.sum()
-    for _ in range(30):  # Newton steps of the ridge-penalised logistic fit to the probabilities
-        p = 1 / (1 + np.exp(-x @ weights))
-        slope = x.T @ (mass * (p - yes)) + 1e-4 * weights
-        bend = (x * (mass * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(size)
-        weights -= np.linalg.solve(bend, slope)
-    return Model(weights, chance)
+    probable = {p: y for (p, _), y in zip(rows, yes.tolist())}
+    return Model(fit([r.cells for r in sample], np.array([probable[tuple(r.pattern)] for r in sample])), chance)
 
 
 def spans_of(text: str, model: Model) -> list[tuple[int, int, int, bool, float]]:
     """(start, kind, end, whether by the base rules, probability), in order."""
-    base = base_spans(text)
-    out = [(a, k, b, True, model.probability(votes(text, a, k, b, True))) for a, k, b in base]
-    for a, k, b in loose_spans(text, base):
-        p = model.probability(votes(text, a, k, b, False))
-        if p > 0.5:
-            out.append((a, k, b, False, p))
+    base, out = base_spans(text), []
+    for strict, spans in ((True, base), (False, loose_spans(text, base))):
+        for a, k, b in spans:
+            p = model.probability(cells(text, a, b, votes(text, a, k, b, strict)))
+            if strict or p > 0.5:
+                out.append((a, k, b, strict, p))
     return sorted(out)
 
 
@@ -247,14 +319,14 @@ def _found(model: Model):
         )
         for ids, texts in blocks(batches):
             found = [spans_of((t or b"").decode("utf-8"), model) for t in texts]
-            rows = [[{"kind": KINDS[k], "start": a, "end": b, "base": s, "score": p} for a, k, b, s, p in own] for own in found]
+            rows = [[{"kind": ALL_KINDS[k], "start": a, "end": b, "base": s, "score": p} for a, k, b, s, p in own] for own in found]
             yield batch_of(doc_id=pa.array(ids, pa.int64()), spans=pa.array(rows, kind))
 
     return run
 
 
 def find(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and spans in order of start, then of KINDS."""
+    """doc_id and spans in order of start, then of ALL_KINDS."""
     return texts_of(docs, id_col, text_col).mapInArrow(_found(model), f"doc_id long, spans {_SPANS}")
 
 
@@ -266,7 +338,7 @@ def mask(text: str, model: Model) -> str:
             stretch = (stretch[0], stretch[1], max(stretch[2], b))
             continue
         if stretch:
-            out += [text[done : stretch[0]], f"[{KINDS[stretch[1]].upper()}]"]
+            out += [text[done : stretch[0]], f"[{ALL_KINDS[stretch[1]].upper()}]"]
             done = stretch[2]
         stretch = (a, k, b)
     return "".join([*out, text[done:]])
