@@ -176,6 +176,19 @@ def test_block_form_for_any_period_and_bar_size(spark, period, size):
     assert joined.where("one IS NULL OR two IS NULL OR abs(one - two) > 1e-7").count() == 0
 
 
+def test_block_form_over_months_with_gaps(spark):
+    """Bars of two years with empty months: what starts a month comes from the last one with bars."""
+    rnd = random.Random(12)
+    days = sorted(rnd.sample([d for d in range(730) if (START + timedelta(days=d)).month not in (2, 7)], 150))
+    bars = [(s, START + timedelta(days=d, minutes=5 * n), rnd.uniform(1, 9)) for s in "AB" for d in days for n in range(rnd.randrange(1, 5))]
+    frame = spark.createDataFrame(bars, "symbol string, window_start timestamp, close double")
+    exact = m.ema(frame, (38,), seed=2.0).select("symbol", "window_start", F.col("ema38").alias("one"))
+    other = m.ema_by_day(frame, 38, seed=2.0).select("symbol", "window_start", F.col("ema38").alias("two"))
+    joined = exact.join(other, ["symbol", "window_start"], "full")
+    assert joined.count() == len(bars)
+    assert joined.where("one IS NULL OR two IS NULL OR abs(one - two) > 1e-9").count() == 0
+
+
 def test_averages_over_batches_of_any_size(spark):
     """Symbols and gaps may fall on batch borders; the numbers equal the recurrence to the last bit."""
     rnd = random.Random(4)

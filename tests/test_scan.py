@@ -110,3 +110,20 @@ def test_first_runs(spark, accept_open):
             start = run[0]
         assert got.get(f"f{f}") == start
         assert nth.get(f"f{f}") == confirmed
+
+
+def test_affine_chain_by_levels(spark):
+    """Every step's start equals the plain chain's, with places of one step and of many."""
+    rnd = random.Random(8)
+    places = sorted({(rnd.choice("ab"), rnd.randrange(4), rnd.randrange(3), rnd.randrange(40)) for _ in range(300)})
+    steps = [(*place, rnd.choice([0.0, 0.5, 1.0, 1e-200]), rnd.uniform(-5, 5)) for place in places]
+    frame = spark.createDataFrame(steps, "k string, coarse int, mid int, fine int, weight double, own double")
+    got = scan.affine_starts(frame.repartition(5), ["k"], ["coarse", "mid", "fine"], seed=7.0)
+    found = {(r.k, r.coarse, r.mid, r.fine): r.start for r in got.collect()}
+    assert len(found) == len(steps)
+    for key in "ab":
+        x = 7.0
+        for step in (s for s in steps if s[0] == key):
+            assert math.isclose(found[step[:4]], x, rel_tol=1e-12, abs_tol=1e-12)
+            x = step[4] * x + step[5]
+    assert scan.affine_starts(frame.where("false"), ["k"], ["coarse", "mid", "fine"], seed=7.0).count() == 0

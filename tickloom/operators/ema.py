@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.operators.scan import affine_starts
 from tickloom.schemas import EMA_PERIODS
 
 
@@ -135,31 +136,26 @@ def ema_by_day(bars: DataFrame, period: int, seed: float = 0.0) -> DataFrame:
 
     Within a block of a day's bars the average is a weighted sum; a block ends
     before its first bar's weight falls below LIGHTEST, so no sum is divided by a
-    vanishing one. Blocks are chained over one (weight, value) pair each, a list
-    bounded by the calendar. Rounds differently from ``ema`` in the last digits,
-    so use it for values, not for signals.
+    vanishing one. A block maps the average before it to the one after it, and
+    these maps are composed by day and by month, so no row holds more than the
+    blocks of a symbol's month. Rounds differently from ``ema`` in the last
+    digits, so use it for values, not for signals.
     """
     a, keep = alpha(period), 1.0 - alpha(period)
     if keep <= 0:
         return bars.withColumn(f"ema{period}", F.col("close").cast("double"))
     size = max(1, int(math.log(LIGHTEST) / math.log(keep)))
-    in_day = Window.partitionBy("symbol", F.to_date("window_start")).orderBy("window_start")
-    numbered = bars.withColumn("n", F.row_number().over(in_day) - 1)
-    block = F.struct(F.to_date("window_start").alias("day"), F.floor(F.col("n") / size).cast("int").alias("part"))
-    place = numbered.withColumn("day", block).withColumn("i", F.pmod("n", F.lit(size)) + 1).drop("n")
+    dated = bars.withColumn("day", F.to_date("window_start"))
+    in_day = Window.partitionBy("symbol", "day").orderBy("window_start")
+    numbered = dated.withColumn("n", F.row_number().over(in_day) - 1)
+    place = numbered.withColumns(
+        {"month": F.trunc("day", "month"), "part": F.expr(f"n div {size}"), "i": F.pmod("n", F.lit(size)) + 1}
+    )
+    keys, levels = ["symbol"], ["month", "day", "part"]
     weight = F.pow(F.lit(keep), F.col("i"))
-    upto = Window.partitionBy("symbol", "day").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = Window.partitionBy(*keys, *levels).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = place.withColumn("own", F.sum(F.lit(a) * F.col("close") / weight).over(upto) * weight)
-    days = local.groupBy("symbol", "day").agg(F.max("i").alias("n"), F.max_by("own", "i").alias("own"))
-
-    start = F.struct(F.lit(float(seed)).alias("value"), F.expr("cast(array() as array<struct<day:struct<day:date,part:int>,carry:double>>)").alias("out"))
-
-    def chain(state: Column, day: Column) -> Column:
-        value = F.pow(F.lit(keep), day["n"]) * state["value"] + day["own"]
-        entry = F.struct(day["day"].alias("day"), state["value"].alias("carry"))
-        return F.struct(value.alias("value"), F.array_append(state["out"], entry).alias("out"))
-
-    listed = days.groupBy("symbol").agg(F.sort_array(F.collect_list(F.struct("day", "n", "own"))).alias("days"))
-    carries = listed.select("symbol", F.inline(F.aggregate("days", start, chain, lambda s: s["out"])))
-    value = F.pow(F.lit(keep), F.col("i")) * F.col("carry") + F.col("own")
-    return local.join(carries, ["symbol", "day"]).select(*bars.columns, value.alias(f"ema{period}"))
+    blocks = local.groupBy(*keys, *levels).agg(F.pow(F.lit(keep), F.max("i")).alias("weight"), F.max_by("own", "i").alias("own"))
+    carries = affine_starts(blocks, keys, levels, seed)
+    value = weight * F.col("start") + F.col("own")
+    return local.join(carries, [*keys, *levels]).select(*bars.columns, value.alias(f"ema{period}"))

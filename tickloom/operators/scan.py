@@ -118,6 +118,49 @@ def neighbours(
     )
 
 
+def affine_starts(steps: DataFrame, keys: list[str], levels: list[str], seed: float) -> DataFrame:
+    """Where every step of a chain of maps ``x -> weight * x + own`` starts: keys, levels and ``start``.
+
+    ``levels`` place a step in the chain of its keys, coarse to fine, and are unique there. The steps of a place are composed
+    to one map, level by level up to the coarsest, whose maps are chained by a window; then the starts are handed down inside
+    the rows, without a join. So a row holds the steps of one place of the coarsest level, however long the chain is. Keys
+    and levels must not be NULL.
+    """
+    identity = F.struct(F.lit(1.0).alias("weight"), F.lit(0.0).alias("own"))
+
+    def composed(f: Column, s: Column) -> Column:
+        return F.struct((f["weight"] * s["weight"]).alias("weight"), (s["weight"] * f["own"] + s["own"]).alias("own"))
+
+    maps, inner = steps.select(*keys, *levels, "weight", "own"), []
+    for depth in range(len(levels) - 1, 0, -1):
+        place = [*keys, *levels[:depth]]
+        listed = F.sort_array(F.collect_list(F.struct(levels[depth], "weight", "own", *inner))).alias("inside")
+        whole = F.aggregate("inside", identity, composed).alias("whole")
+        maps = maps.groupBy(*place).agg(listed).select(*place, "inside", whole).select(*place, "whole.*", "inside")
+        inner = ["inside"]
+    earlier = Window.partitionBy(*keys).orderBy(levels[0]).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.collect_list(F.struct("weight", "own")).over(earlier)
+    begun = F.aggregate(before, F.lit(float(seed)), lambda x, s: s["weight"] * x + s["own"])
+    starts = maps.select(*keys, levels[0], *inner, begun.alias("start"))
+    for depth in range(1, len(levels)):
+        inner = inner if depth < len(levels) - 1 else []
+        starts = starts.select(*keys, *levels[:depth], F.inline_outer(_chained(starts, [levels[depth], *inner])))
+    return starts
+
+
+def _chained(starts: DataFrame, carried: list[str]) -> Column:
+    """The steps ``inside`` a row with the ``start`` of each, the first one's being the row's."""
+    step = starts.schema["inside"].dataType.elementType
+    fields = [f"{c}:{step[c].dataType.simpleString()}" for c in carried]
+    none = F.array().cast(f"array<struct<{','.join(fields)},start:double>>")
+
+    def chain(state: Column, s: Column) -> Column:
+        entry = F.struct(*[s[c].alias(c) for c in carried], state["x"].alias("start"))
+        return F.struct((s["weight"] * state["x"] + s["own"]).alias("x"), F.array_append(state["out"], entry).alias("out"))
+
+    return F.aggregate("inside", F.struct(F.col("start").alias("x"), none.alias("out")), chain, lambda state: state["out"])
+
+
 def _in_ranges(df: DataFrame, *order: Column) -> DataFrame:
     """The rows stored in ranges of about equal size, with ``__id``: their place, the range in its upper bits.
 
