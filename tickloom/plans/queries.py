@@ -18,6 +18,7 @@ from tickloom.operators import lateness as late
 from tickloom.operators import profile as p
 from tickloom.operators import registry as r
 from tickloom.operators import replay as rp
+from tickloom.operators import sketches as k
 from tickloom.operators import telemetry as t
 from tickloom.operators.scan import arrival_block, running
 from tickloom.plans import inputs as src
@@ -546,6 +547,27 @@ def second_percentiles(spark, sf):
     return plain(p.second_percentiles(_stored(_seconds(spark, sf))), 9)
 
 
+def _near(rows, value, day, fractions):
+    """Quantiles merged from sketches by day: how many rows they stand for and whether their ranks are near enough."""
+    sketches = _stored(k.day_sketches(rows.withColumn("day", day), value, ["day"]))
+    errors = k.rank_errors(rows, value, k.sketch_quantiles(sketches, fractions), fractions)
+    return errors.select("name", "fraction", "n", F.coalesce(F.col("error") <= k.RANK_ERROR, F.lit(True)).alias("near"))
+
+
+@query
+def sketched_seconds(spark, sf):
+    """Events a second, sketched by day and merged over all days."""
+    seconds = _stored(_seconds(spark, sf))
+    return _near(seconds, "events", F.to_date("second"), {"p50": 0.5, "p90": 0.9, "p99": 0.99, "max": 1.0})
+
+
+@query
+def sketched_lags(spark, sf):
+    """Lags of late events, sketched by day and merged over all days."""
+    lags = _stored(late.late_events(_marked(spark, sf)).select("window_end", "lag_ms"))
+    return _near(lags, "lag_ms", F.to_date("window_end"), {**late.LAG_FRACTIONS, "max": 1.0})
+
+
 @query
 def top_by_events(spark, sf):
     return plain(p.top_symbols(_symbols(spark, sf), "events"), 4)
