@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SKETCH_K = 800  # size of a sketch: about 0.55 % of rank at 99 % confidence
+SKETCH_K = 800  # size of a sketch: by the published formula about 0.55 % of rank at 99 % confidence
 RANK_ERROR = 0.0133  # what a merged quantile may be off in rank; far beyond what sketches of this size reach
 
 
